@@ -1,8 +1,10 @@
 """The queries of this subpackage by name, and SQL for those that SQL can express."""
 
 from canopyspark.llm.ngram_join import op10_ngram_jaccard_join
+from canopyspark.llm.quality import op3_quality_rules
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
