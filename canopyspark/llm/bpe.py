@@ -268,10 +268,18 @@ def digests(decoded: DataFrame) -> DataFrame:
     )
 
 
-def op9_bpe(spark, sf_dir: str, path: str | None = None) -> DataFrame:
-    """All of documents, encoded and decoded with the public word-end vocabulary of 49k tokens."""
-    if path is None:
-        import public_tokenizers
+def op9_columns(docs: DataFrame, path: str) -> DataFrame:
+    """Encoded, decoded again, and both as digests."""
+    return digests(bpe_decode(bpe_encode(docs, path), path))
+
+
+def default_path() -> str:
+    """The public word-end vocabulary of 49k tokens."""
+    import public_tokenizers
 
-        path = public_tokenizers.path("word_bpe_49k.json")
-    return digests(bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path), path))
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_bpe(spark, sf_dir: str, path: str | None = None) -> DataFrame:
+    """All of documents, encoded and decoded with the vocabulary at path, or else the public one."""
+    return op9_columns(table(spark, sf_dir, "documents"), path or default_path())

@@ -290,6 +290,14 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     )
 
 
+def near_duplicates_removed(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of docs, all columns, but those that a document with a smaller doc_id is linked with, directly or not. Rows without a
+    doc_id, and texts without words, stay."""
+    found = ngram_jaccard_join(docs, n, num, den)
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+
+
 def op10_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """The contract's join: three words, nine tenths, over all of documents."""
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)

@@ -1,10 +1,25 @@
 """The queries of this subpackage by name, and SQL for those that SQL can express."""
 
+from canopyspark.llm.bpe import op9_bpe
+from canopyspark.llm.decontamination import op4_benchmark_decontamination
+from canopyspark.llm.html_text import op7_html_extraction
+from canopyspark.llm.line_dedup import OP5_SQL, op5_line_dedup
 from canopyspark.llm.ngram_join import op10_ngram_jaccard_join
 from canopyspark.llm.quality import op3_quality_rules
+from canopyspark.llm.token_counts import op8_token_counts
+from canopyspark.llm.url_filters import OP6_SQL, op6_url_filters
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_url_filters": op6_url_filters,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_token_counts": op8_token_counts,
+    "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": OP5_SQL,
+    "op6_url_filters": OP6_SQL,
+}
