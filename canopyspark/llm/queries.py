@@ -3,13 +3,17 @@
 from canopyspark.llm.bpe import op9_bpe
 from canopyspark.llm.decontamination import op4_benchmark_decontamination
 from canopyspark.llm.html_text import op7_html_extraction
+from canopyspark.llm.license_scan import OP1_SQL, op1_license_scans
 from canopyspark.llm.line_dedup import OP5_SQL, op5_line_dedup
 from canopyspark.llm.ngram_join import op10_ngram_jaccard_join
 from canopyspark.llm.quality import op3_quality_rules
+from canopyspark.llm.secrets import op2_secret_scans
 from canopyspark.llm.token_counts import op8_token_counts
 from canopyspark.llm.url_filters import OP6_SQL, op6_url_filters
 
 QUERIES = {
+    "op1_license_scans": op1_license_scans,
+    "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
@@ -20,6 +24,7 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 ORACLES: dict[str, str] = {
+    "op1_license_scans": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op6_url_filters": OP6_SQL,
 }
