@@ -97,3 +97,45 @@ def outpaint_steps(width: Column, height: Column, pad_fraction, step_fraction) -
         return F.ceil(padding(side, pad_fraction) / F.greatest(F.lit(1), padding(side, step_fraction)))
 
     return F.greatest(steps(width), steps(height), F.lit(0)).cast("long")
+
+
+def _cross(a: Column, b: Column) -> Column:
+    return F.struct((a["y"] * b["z"] - a["z"] * b["y"]).alias("x"), (a["z"] * b["x"] - a["x"] * b["z"]).alias("y"), (a["x"] * b["y"] - a["y"] * b["x"]).alias("z"))
+
+
+def _length(a: Column) -> Column:
+    return F.sqrt(a["x"] * a["x"] + a["y"] * a["y"] + a["z"] * a["z"])
+
+
+def _with(value: Column, use) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _unit(a: Column) -> Column:
+    return _with(_length(a) + F.lit(1e-8), lambda size: F.struct(*((a[k] / size).alias(k) for k in "xyz")))
+
+
+def _vector(x: float, y: float, z: float) -> Column:
+    return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(z).alias("z"))
+
+
+def look_at(eye: Column, target: Column) -> Column:
+    """(right, down, forward): the axes of a camera at eye that looks at target; what is up is +Z, or +X for a view along +Z."""
+
+    def axes(forward: Column, right: Column) -> Column:
+        down = _with(_cross(forward, right), lambda up: F.struct(*((-up[k]).alias(k) for k in "xyz")))
+        return F.struct(right.alias("right"), down.alias("down"), forward.alias("forward"))
+
+    def turned(forward: Column) -> Column:
+        right = _with(_cross(forward, _vector(0.0, 0.0, 1.0)), lambda r: F.when(_length(r) < 1e-6, _cross(forward, _vector(1.0, 0.0, 0.0))).otherwise(r))
+        return _with(_with(right, _unit), lambda r: axes(forward, r))
+
+    away = F.struct(*((target[k] - eye[k]).alias(k) for k in "xyz"))
+    return _with(_with(away, _unit), turned)
+
+
+def transformed(point: Column, eye: Column, axes: Column) -> Column:
+    """A world point in the frame of a camera's axes."""
+    away = {k: point[k] - eye[k] for k in "xyz"}
+    return _with(axes, lambda m: F.struct(*(sum((m[a][k] * away[k] for k in "xyz"), F.lit(0.0)).alias(name) for a, name in (("right", "x"), ("down", "y"), ("forward", "z")))))

@@ -100,3 +100,21 @@ def fingerprint_matches(stored: DataFrame, current: DataFrame) -> DataFrame:
     old = stored.select("image_key", F.col("source_sha256").alias("__sha"), F.col("source_size").alias("__size"))
     same = (F.col("source_sha256") == F.col("__sha")) & (F.col("source_size") == F.col("__size"))
     return current.join(old, "image_key", "left").select("image_key", F.coalesce(same, F.lit(False)).alias("matches"))
+
+
+def missing_outputs(images: DataFrame, *outputs: DataFrame) -> DataFrame:
+    """Images that an earlier stage gave no row: each output (image_key, ...) is needed before the next stage can run."""
+    missing = images.select("image_key").limit(0)
+    for output in outputs:
+        missing = missing.unionByName(images.select("image_key").join(output.select("image_key"), "image_key", "left_anti"))
+    return missing.distinct()
+
+
+def as_json(manifest: DataFrame) -> DataFrame:
+    """image_key and record: each row as JSON, absent values included."""
+    return manifest.select("image_key", F.to_json(F.struct(*manifest.columns), {"ignoreNullFields": "false"}).alias("record"))
+
+
+def from_json(records: DataFrame, schema) -> DataFrame:
+    """Rows of a schema from JSON records; fields that the schema doesn't have are left out, and broken records are rows of nulls."""
+    return records.select(F.from_json("record", schema).alias("r")).select("r.*")

@@ -186,13 +186,28 @@ def embedded(canvas: DataFrame, block: DataFrame, pad_x: int, pad_y: int, values
     return out.drop("__own")
 
 
-def resized_nearest(pixels: DataFrame, w: int, h: int, new_w: int, new_h: int) -> DataFrame:
-    """Each source pixel goes to the places whose source it is: an interval on either axis."""
-    def places(at: Column, old: int, new: int) -> Column:
-        low, high = F.ceil(at * new / old).cast("int"), (F.ceil((at + 1) * new / old) - 1).cast("int")
-        return F.explode(F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>")))
+def _places(at: Column, old, new: int) -> Column:
+    low, high = F.ceil(at * new / old).cast("int"), (F.ceil((at + 1) * new / old) - 1).cast("int")
+    return F.explode(F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>")))
 
-    return pixels.withColumn("x", places(F.col("x"), w, new_w)).withColumn("y", places(F.col("y"), h, new_h))
+
+def resized_nearest(pixels: DataFrame, w, h, new_w: int, new_h: int) -> DataFrame:
+    """Each source pixel goes to the places whose source it is: an interval on either axis. w and h are numbers or columns."""
+    return pixels.withColumn("x", _places(F.col("x"), w, new_w)).withColumn("y", _places(F.col("y"), h, new_h))
+
+
+def contact_sheet(panels: DataFrame, side: int = 320, columns: int = 5) -> DataFrame:
+    """Pixels with panel (from 0), w and h as one sheet for each image: square tiles of a side, row by row."""
+    tiles = resized_nearest(panels, F.col("w"), F.col("h"), side, side)
+    return tiles.withColumn("x", F.col("panel") % columns * side + F.col("x")).withColumn("y", F.floor(F.col("panel") / columns) * side + F.col("y")).drop("w", "h")
+
+
+def overlaid(pixels: DataFrame, mask: str, interior: str, strength: float = 0.4) -> DataFrame:
+    """r, g, b with the mask's outline in red and its interior tinted green."""
+    edged = outlined(pixels, mask, "__edge")
+    tint = {"r": 0, "g": 255, "b": 0}
+    fresh = {c: F.when(F.col("__edge"), 255 if c == "r" else 0).when(F.col(interior), byte(F.col(c) * (1 - strength) + tint[c] * strength)).otherwise(F.col(c)) for c in "rgb"}
+    return edged.withColumns(fresh).drop("__edge")
 
 
 def shrunk(pixels: DataFrame, factor: int, values: Sequence[str]) -> DataFrame:

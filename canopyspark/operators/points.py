@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyspark.functions import geometry as g
@@ -97,3 +97,30 @@ def render_coverage(rendered: DataFrame, out_w: int, out_h: int) -> DataFrame:
     """Percentages of the frame that are valid and that are synthesized."""
     share = 100.0 / (out_w * out_h)
     return rendered.groupBy("image_key").agg((F.count("*") * share).alias("valid_pct"), (F.count_if("synthesized") * share).alias("synthesized_pct"))
+
+
+def seeded_sample(points: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """n points of each image, the same ones for the same seed: the first by a hash of image, point and seed. This is the feature asked
+    for; nothing else samples."""
+    key = F.md5(F.concat_ws(":", F.col("image_key").cast("string"), F.col("point_id").cast("string"), F.lit(str(seed))))
+    return points.withColumn("__h", key).withColumn("__n", F.row_number().over(Window.partitionBy("image_key").orderBy("__h"))).where(F.col("__n") <= n).drop("__h", "__n")
+
+
+def ground_planes(points: DataFrame, trials: int = 32, tolerance: float = 0.05, seed: int = 42) -> DataFrame:
+    """image_key, nx, ny, nz, offset, inliers: the plane through three sampled points that most of the image's points lie near (n.p =
+    offset; ties go to the earlier trial). Every point is held against every trial's plane; trials are few and fixed."""
+    place = Window.partitionBy("image_key").orderBy("point_id")
+    drawn = seeded_sample(points.where("is_finite"), 3 * trials, seed).withColumn("__k", F.row_number().over(place) - 1)
+    corners = drawn.groupBy("image_key", F.floor(F.col("__k") * 1.0 % trials).cast("int").alias("trial")).agg(F.sort_array(F.collect_list(F.struct("point_id", "x", "y", "z"))).alias("c")).where(F.size("c") == 3)
+    a, b, c = (F.col("c")[k] for k in range(3))
+    u, v = ({k: p[k] - a[k] for k in "xyz"} for p in (b, c))
+    n = {"nx": u["y"] * v["z"] - u["z"] * v["y"], "ny": u["z"] * v["x"] - u["x"] * v["z"], "nz": u["x"] * v["y"] - u["y"] * v["x"]}
+    size = F.sqrt(sum((x * x for x in n.values()), F.lit(0.0)))
+    planes = corners.select("image_key", "trial", *((x / size).alias(k) for k, x in n.items()), size.alias("__s"), a.alias("a")).where("__s > 1e-12")
+    planes = planes.withColumn("offset", F.col("nx") * F.col("a.x") + F.col("ny") * F.col("a.y") + F.col("nz") * F.col("a.z"))
+    packed = planes.groupBy("image_key").agg(F.collect_list(F.struct("trial", "nx", "ny", "nz", "offset")).alias("planes"))
+    near = F.transform("planes", lambda p: (F.abs(p["nx"] * F.col("x") + p["ny"] * F.col("y") + p["nz"] * F.col("z") - p["offset"]) <= tolerance).cast("long"))
+    held = points.where("is_finite").join(packed, "image_key").select("image_key", F.posexplode(F.arrays_zip("planes", near.alias("near"))).alias("k", "v"))
+    counted = held.groupBy("image_key", F.col("v.planes").alias("p")).agg(F.sum("v.near").alias("inliers"))
+    best = counted.groupBy("image_key").agg(F.max_by(F.struct("p", "inliers"), F.struct("inliers", -F.col("p.trial"))).alias("best"))
+    return best.select("image_key", "best.p.nx", "best.p.ny", "best.p.nz", "best.p.offset", "best.inliers")

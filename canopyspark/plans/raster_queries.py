@@ -382,7 +382,61 @@ def mask_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
 OUTLINE = f"""WITH {MASKED} SELECT a.image_key, a.x, a.y, a.mask AND count(b.x) < 4 AS edge
 FROM mk a LEFT JOIN mk b ON a.image_key = b.image_key AND abs(a.x - b.x) + abs(a.y - b.y) = 1 AND b.mask GROUP BY a.image_key, a.x, a.y, a.mask"""
 
+def mask_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colours with the mask's outline and interior drawn in."""
+    rows = coloured(spark, sf_dir).join(px.interior(masked(spark, sf_dir), "mask", "interior", QUANTILE).select("image_key", "x", "y", "mask", "interior"), ["image_key", "x", "y"])
+    return px.overlaid(rows, "mask", "interior").select("image_key", "x", "y", "r", "g", "b")
+
+
+_TINT = ", ".join(f"CAST(CASE WHEN o.edge THEN {255 if c == 'r' else 0} WHEN i.interior THEN {_byte(f'cl.{c} * 0.6::DOUBLE + {255 if c == chr(103) else 0} * 0.4::DOUBLE')} ELSE cl.{c} END AS INTEGER) AS {c}" for c in "rgb")
+OVERLAY = f"""WITH {COLOURED}{MASKED.removeprefix(RASTERS)}, ds AS (
+    SELECT a.image_key, a.x, a.y, a.mask, sqrt(min((a.x - b.x) ** 2 + (a.y - b.y) ** 2)) AS dist FROM mk a LEFT JOIN mk b ON a.image_key = b.image_key AND NOT b.mask GROUP BY a.image_key, a.x, a.y, a.mask),
+lim AS (SELECT image_key, quantile_cont(dist, {1 - QUANTILE}) FILTER (WHERE mask) AS lim FROM ds GROUP BY image_key),
+i AS (SELECT ds.image_key, x, y, mask AND (dist IS NULL OR dist >= lim) AS interior FROM ds JOIN lim USING (image_key)),
+o AS (SELECT a.image_key, a.x, a.y, a.mask AND count(b.x) < 4 AS edge FROM mk a LEFT JOIN mk b ON a.image_key = b.image_key AND abs(a.x - b.x) + abs(a.y - b.y) = 1 AND b.mask GROUP BY a.image_key, a.x, a.y, a.mask)
+SELECT cl.image_key, cl.x, cl.y, {_TINT} FROM cl JOIN i ON cl.image_key = i.image_key AND cl.x = i.x AND cl.y = i.y JOIN o ON cl.image_key = o.image_key AND cl.x = o.x AND cl.y = o.y"""
+
+
+def look_at_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as world points before a camera placed over them and turned to its target."""
+    centre = F.struct(F.lit(50.0).alias("x"), F.lit(12.0).alias("y"), F.lit(3.0).alias("z"))
+    axes = g.look_at(centre, g.camera_target(centre, 10.0, 25.0))
+    point = F.struct(F.col("s_suppkey").cast("double").alias("x"), (F.col("s_acctbal") / 1000).alias("y"), F.col("s_nationkey").cast("double").alias("z"))
+    seen = table(spark, sf_dir, "supplier").select("s_suppkey", g.transformed(point, centre, axes).alias("c"))
+    return rounded(seen.select("s_suppkey", F.col("c.x").alias("cam_x"), F.col("c.y").alias("cam_y"), F.col("c.z").alias("cam_z")), "cam_x", "cam_y", "cam_z", places=4)
+
+
+LOOK_AT = """WITH p AS (SELECT s_suppkey, s_acctbal / 1000 - 12 AS dy, s_nationkey - 3.0 AS dz FROM supplier)
+SELECT s_suppkey, round(-(s_suppkey - 50.0), 4) + 0.0 AS cam_x, round(sin(radians(25.0)) * dy + cos(radians(25.0)) * dz, 4) + 0.0 AS cam_y, round(-cos(radians(25.0)) * dy + sin(radians(25.0)) * dz, 4) + 0.0 AS cam_z FROM p"""
+
+
+def contact_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven rasters a sheet, in tiles of 12 pixels, three in a row."""
+    rows = rasters(spark, sf_dir).select((F.floor(F.col("image_key") / 7)).alias("image_key"), (F.col("image_key") % 7).alias("panel"), "x", "y", "v", F.lit(SIDE).alias("w"), F.lit(SIDE).alias("h"))
+    return rounded(px.contact_sheet(rows, 12, 3).select("image_key", "panel", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v"), "v")
+
+
+CONTACT_SHEET = f"""WITH {RASTERS} SELECT image_key // 7 AS image_key, image_key % 7 AS panel, image_key % 7 % 3 * 12 + nx AS x, image_key % 7 // 3 * 12 + ny AS y, round(v, 6) + 0.0 AS v
+FROM px JOIN (SELECT c AS nx, c * {SIDE} // 12 AS sx FROM range(0, 12) r(c)) ON x = sx JOIN (SELECT c AS ny, c * {SIDE} // 12 AS sy FROM range(0, 12) r(c)) ON y = sy"""
+
+
+def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten points of every raster's cloud."""
+    return pt.seeded_sample(cloud(spark, sf_dir), 10).select("image_key", "point_id")
+
+
+SEEDED = f"""WITH {RASTERS} SELECT image_key, y * {SIDE} + x AS point_id FROM px
+QUALIFY row_number() OVER (PARTITION BY image_key ORDER BY md5(image_key || ':' || (y * {SIDE} + x) || ':42')) <= 10"""
+
+
+def ground_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plane nearest to most points of every raster's cloud."""
+    return rounded(pt.ground_planes(cloud(spark, sf_dir), 8, 0.5), "nx", "ny", "nz", "offset")
+
+
 QUERIES = {
+    "mask_overlay": (mask_overlay, OVERLAY), "look_at_projection": (look_at_projection, LOOK_AT), "contact_sheet": (contact_sheet, CONTACT_SHEET), "seeded_sample": (seeded_sample, SEEDED),
+    "ground_plane": (ground_plane, None),
     "camera_pose": (camera_pose, CAMERA_POSE), "backproject_points": (backproject_points, BACKPROJECT), "depth_minmax_norm": (depth_minmax_norm, DEPTH_NORM),
     "affine_align": (affine_align, AFFINE_ALIGN), "virtual_fov": (virtual_fov, VIRTUAL_FOV), "zbuffer_render": (zbuffer_render, ZBUFFER), "render_coverage": (render_coverage, COVERAGE),
     "tilted_projection": (tilted_projection, TILTED), "hole_fill_nearest": (hole_fill_nearest, HOLE_FILL), "border_crop_decision": (border_crop_decision, BORDER_CROP),

@@ -118,7 +118,25 @@ def fingerprint_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FINGERPRINT = "SELECT doc_id AS image_key, doc_id % 2 = 0 AND doc_id % 6 <> 0 AS matches FROM documents"
 
+def missing_stage_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers without an order, or without an order of over 200,000."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("image_key"), "o_totalprice")
+    return mf.missing_outputs(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("image_key")), orders, orders.where("o_totalprice > 200000"))
+
+
+MISSING = "SELECT c_custkey AS image_key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)"
+
+
+def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage records to JSON and back."""
+    rows = stage_rows(spark, sf_dir).select("image_key", "stage", "status", "runtime_seconds")
+    return mf.from_json(mf.as_json(rows), rows.schema)
+
+
+ROUND_TRIP = f"WITH {STAGE_ROWS} SELECT image_key, stage, status, runtime_seconds FROM sr"
+
 QUERIES = {
+    "missing_stage_outputs": (missing_stage_outputs, MISSING), "record_round_trip": (record_round_trip, ROUND_TRIP),
     "discover_filter": (discover_filter, DISCOVER), "resume_worklist": (resume_worklist, WORKLIST), "invalidate_downstream": (invalidate_downstream, INVALIDATE),
     "manifest_upsert": (manifest_upsert, UPSERT), "manifest_summary_pivot": (manifest_summary_pivot, SUMMARY), "fingerprint_match": (fingerprint_match, FINGERPRINT),
 }

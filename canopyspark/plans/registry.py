@@ -4,4 +4,4 @@ from canopyspark.plans import raster_queries, record_queries
 
 _ALL = raster_queries.QUERIES | record_queries.QUERIES
 QUERIES = {name: query for name, (query, _) in _ALL.items()}
-ORACLES = {name: sql for name, (_, sql) in _ALL.items()}
+ORACLES = {name: sql for name, (_, sql) in _ALL.items() if sql}

@@ -196,3 +196,14 @@ def test_ingest_sees_each_file_once(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "out")).count() == want
         (tmp_path / "in/d.webp").write_bytes(b"new")
     assert ingest.arrivals_by_hour(spark.read.parquet(str(tmp_path / "out"))).agg(F.sum("images")).first()[0] == 3
+
+
+def test_ground_plane(spark):
+    rows = [(1, k, float(k % 10), 2.0 if k % 5 else 7.0 + k, float(k // 10), True, True, True, True) for k in range(100)]
+    r = pt.ground_planes(_points(spark, rows), 24, 0.05).first()
+    assert abs(r["ny"]) == pytest.approx(1) and r["inliers"] == 80 and abs(r["offset"]) == pytest.approx(2)
+
+
+def test_lanczos_keeps_flat_pictures():
+    out = models.LanczosUpscale().upscale(np.full((7, 9, 3), 77, np.uint8), 2.0)
+    assert out.shape == (14, 18, 3) and (out == 77).all()
