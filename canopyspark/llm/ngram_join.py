@@ -301,3 +301,21 @@ def near_duplicates_removed(docs: DataFrame, n: int = 5, num: int = 80, den: int
 def op10_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """The contract's join: three words, nine tenths, over all of documents."""
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (
+    SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
+    FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 90 * (x.n + y.n - shared.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, root) AS (SELECT a, a FROM both_ways UNION SELECT e.b, r.root FROM reach r JOIN both_ways e ON e.a = r.doc_id WHERE r.root < e.b),
+component AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id),
+degree AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.root, d.doc_id) AS component_id, coalesce(g.n, 0) AS n_links
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component c ON c.doc_id = d.doc_id LEFT JOIN degree g ON g.a = d.doc_id
+"""

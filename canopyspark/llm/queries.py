@@ -5,7 +5,7 @@ from canopyspark.llm.decontamination import op4_benchmark_decontamination
 from canopyspark.llm.html_text import op7_html_extraction
 from canopyspark.llm.license_scan import OP1_SQL, op1_license_scans
 from canopyspark.llm.line_dedup import OP5_SQL, op5_line_dedup
-from canopyspark.llm.ngram_join import op10_ngram_jaccard_join
+from canopyspark.llm.ngram_join import OP10_SQL, op10_ngram_jaccard_join
 from canopyspark.llm.quality import op3_quality_rules
 from canopyspark.llm.secrets import op2_secret_scans
 from canopyspark.llm.token_counts import op8_token_counts
@@ -27,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op1_license_scans": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op6_url_filters": OP6_SQL,
+    "op10_ngram_jaccard_join": OP10_SQL,
 }
