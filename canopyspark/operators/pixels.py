@@ -102,6 +102,27 @@ def gaussian_kernel(sigma: float) -> list[float]:
     return [w / sum(weights) for w in weights]
 
 
+def box_blurred(pixels: DataFrame, values: Sequence[str], radius: int, passes: int = 3) -> DataFrame:
+    """Means over squares, repeated; three passes with a radius of sigma come near a Gaussian. Pixels outside the image don't count."""
+    for _ in range(passes):
+        for key, along in (("y", "x"), ("x", "y")):
+            line = _rows(key, along, radius, radius)
+            pixels = pixels.withColumns({v: F.avg(v).over(line) for v in values})
+    return pixels
+
+
+def feathered(pixels: DataFrame, original: str, values: Sequence[str], width: int, passes: int = 3) -> DataFrame:
+    """values blurred in the band of generated pixels within width of an original one; originals and what is farther off stay."""
+    if width < 1:
+        return pixels
+    kept = pixels.withColumns({f"__{v}": F.col(v).cast("double") for v in values})
+    band = dilated(box_blurred(kept, [f"__{v}" for v in values], max(1, round(width / 3)), passes), original, width, "__band")
+    inside = F.col("__band") & ~F.col(original)
+    kinds = dict(pixels.dtypes)
+    fresh = {v: F.when(inside, F.col(f"__{v}").cast(kinds[v])).otherwise(F.col(v)) for v in values}
+    return band.withColumns(fresh).drop("__band", *(f"__{v}" for v in values))
+
+
 def sharpened(pixels: DataFrame, value: str, out: str, amount: float = 0.4, kernel: Sequence[float] = BINOMIAL_5) -> DataFrame:
     """value plus amount of its difference from its blur, as a byte."""
     return convolved(pixels, value, kernel, "__blur").withColumn(out, byte(F.col(value) + amount * (F.col(value) - F.col("__blur")))).drop("__blur")

@@ -49,9 +49,13 @@ class Run:
         return self.spark.read.schema(df.schema).parquet(f"{self.root.rstrip('/')}/{name}/run_id={self.run_id}")
 
 
-def vegetation(pixels: DataFrame) -> DataFrame:
-    """pixels with mask: vegetation, opened and closed, without tiny components, or all of an image that has too little."""
+def vegetation(pixels: DataFrame, masks: DataFrame | None = None) -> DataFrame:
+    """pixels with mask: vegetation, opened and closed, without tiny components, or all of an image that has too little. masks
+    (image_key, x, y, mask) takes the place of vegetation in the images it knows."""
     green = pixels.withColumn("mask", colour.is_vegetation(F.col("r"), F.col("g"), F.col("b")))
+    if masks is not None:
+        known = masks.select("image_key", "x", "y", F.col("mask").alias("__own"))
+        green = green.join(known, ["image_key", "x", "y"], "left").withColumn("mask", F.coalesce("__own", "mask")).drop("__own")
     clean = px.opened_and_closed(green, "mask", "__m").withColumn("mask", F.col("__m")).drop("__m")
     return px.mask_or_all(cc.without_small_components(clean, "mask"), "mask")
 
@@ -76,10 +80,11 @@ def extended_layers(run: Run, rasters: DataFrame, pixels: DataFrame) -> DataFram
     fit = px.affine_alignment(both.where(F.col("own_d").isNotNull()), "d", "own_d")
     aligned = F.least(F.greatest(F.col("a") * F.col("d") + F.col("b_"), F.lit(0.0)), F.lit(1.0))
     placed = both.join(fit.withColumnRenamed("b", "b_"), "image_key")
-    return placed.select(
-        "image_key", "x", "y", "r", "g", "b", "w", "h", g.metric_depth(F.coalesce("own_d", aligned)).alias("depth_m"), F.col("own_d").isNotNull().alias("is_original"),
+    out = placed.select(
+        "image_key", "x", "y", "r", "g", "b", "w", "h", F.coalesce("own_d", aligned).alias("d"), F.col("own_d").isNotNull().alias("is_original"),
         F.coalesce("mask", "wide_mask").alias("in_crop_mask"), F.coalesce("interior", F.lit(False)).alias("in_crop_interior"),
     )
+    return px.feathered(out, "is_original", ["r", "g", "b", "d"], run.config.AI_OUTPAINT_FEATHER_PX).withColumn("depth_m", g.metric_depth(F.col("d"))).drop("d")
 
 
 def rendered(run: Run, pixels: DataFrame, out_w: int, out_h: int) -> tuple[DataFrame, DataFrame]:

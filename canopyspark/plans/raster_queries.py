@@ -434,8 +434,20 @@ def ground_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(pt.ground_planes(cloud(spark, sf_dir), 8, 0.5), "nx", "ny", "nz", "offset")
 
 
+def seam_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raster on a mirrored canvas, blurred once in the two pixels next to the original."""
+    canvas = px.reflect_padded(rasters(spark, sf_dir), 3, 3)
+    return rounded(px.feathered(canvas, "is_original", ["v"], 2, passes=1).select("image_key", "x", "y", "v"), "v")
+
+
+SEAM = f"""WITH {RASTERS}, g AS (SELECT c AS n, CASE WHEN c < 3 THEN 3 - c WHEN c - 3 > {SIDE - 1} THEN {2 * (SIDE - 1)} - (c - 3) ELSE c - 3 END AS s FROM range(0, {SIDE + 6}) r(c)),
+cv AS (SELECT image_key, a.n AS x, b.n AS y, v, a.n BETWEEN 3 AND {SIDE + 2} AND b.n BETWEEN 3 AND {SIDE + 2} AS own, a.n BETWEEN 1 AND {SIDE + 4} AND b.n BETWEEN 1 AND {SIDE + 4} AS near FROM px JOIN g a ON px.x = a.s JOIN g b ON px.y = b.s),
+h AS (SELECT *, avg(v) OVER (PARTITION BY image_key, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS m FROM cv),
+w AS (SELECT *, avg(m) OVER (PARTITION BY image_key, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS mm FROM h)
+SELECT image_key, x, y, round(CASE WHEN near AND NOT own THEN mm ELSE v END, 6) + 0.0 AS v FROM w"""
+
 QUERIES = {
-    "mask_overlay": (mask_overlay, OVERLAY), "look_at_projection": (look_at_projection, LOOK_AT), "contact_sheet": (contact_sheet, CONTACT_SHEET), "seeded_sample": (seeded_sample, SEEDED),
+    "seam_feather": (seam_feather, SEAM), "mask_overlay": (mask_overlay, OVERLAY), "look_at_projection": (look_at_projection, LOOK_AT), "contact_sheet": (contact_sheet, CONTACT_SHEET), "seeded_sample": (seeded_sample, SEEDED),
     "ground_plane": (ground_plane, None),
     "camera_pose": (camera_pose, CAMERA_POSE), "backproject_points": (backproject_points, BACKPROJECT), "depth_minmax_norm": (depth_minmax_norm, DEPTH_NORM),
     "affine_align": (affine_align, AFFINE_ALIGN), "virtual_fov": (virtual_fov, VIRTUAL_FOV), "zbuffer_render": (zbuffer_render, ZBUFFER), "render_coverage": (render_coverage, COVERAGE),

@@ -26,6 +26,12 @@ def ordered(files: DataFrame, path: str = "image_key") -> DataFrame:
     return files.orderBy(F.split(path, "/"))
 
 
+def first_with_stem(files: DataFrame, stem: str, path: str = "image_key") -> DataFrame:
+    """The first file, by path, whose name without its extension is stem: one row or none."""
+    name = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]+$", "")
+    return ordered(files.where(name == stem), path).limit(1)
+
+
 def discovered(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """image_key (path below root), path, length and modified of every processable image, files without content included.
 

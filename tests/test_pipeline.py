@@ -36,7 +36,7 @@ def folder(tmp_path_factory):
     return root
 
 
-SMALL = PipelineConfig(AI_OUTPAINT_PAD_FRAC=0.2, BACKPROJECT_STRIDE=1, POST_WARP_SUPER_RESOLUTION_SCALE=1.5)
+SMALL = PipelineConfig(AI_OUTPAINT_PAD_FRAC=0.2, BACKPROJECT_STRIDE=1, AI_OUTPAINT_FEATHER_PX=3, POST_WARP_SUPER_RESOLUTION_SCALE=1.5)
 
 
 def test_discovery(spark, folder):
@@ -207,3 +207,11 @@ def test_ground_plane(spark):
 def test_lanczos_keeps_flat_pictures():
     out = models.LanczosUpscale().upscale(np.full((7, 9, 3), 77, np.uint8), 2.0)
     assert out.shape == (14, 18, 3) and (out == 77).all()
+
+
+def test_external_masks_and_stems(spark):
+    rows = spark.createDataFrame([("k", x, y, 40, 40, 40) for x in range(20) for y in range(20)], "image_key string, x long, y long, r int, g int, b int")
+    given = spark.createDataFrame([("k", x, y, x < 10) for x in range(20) for y in range(20)], "image_key string, x long, y long, mask boolean")
+    assert pipeline.vegetation(rows, given).where("mask").count() == 200
+    files = spark.createDataFrame([("b/x.png",), ("a/x.jpg",), ("a/xy.jpg",)], "image_key string")
+    assert images.first_with_stem(files, "x").first()[0] == "a/x.jpg"
