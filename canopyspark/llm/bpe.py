@@ -11,8 +11,9 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,16 @@ from pyspark.sql import functions as F
 
 from canopyspark.llm.shared import small_batches, table
 
-#: Words, and texts between white space, whose tokens a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Texts between white space, and words, whose tokens a Python worker remembers; about 200 bytes each.
+CACHE_CHUNKS, CACHE_WORDS = 350_000, 100_000
 #: Longer ones go at the next clearing.
 CACHE_LETTERS = 64
 #: Characters that str.split() takes for white space and the vocabulary does not.
 OTHER_SPACE = re.compile("[\x1c-\x1f]")
 SPACES = regex.compile(r"\p{White_Space}+")
 NONE = np.iinfo(np.int64).max
+#: Symbols of a word that is merged by going over all its pairs.
+SHORT_WORD = 48
 
 
 def byte_letters() -> list[str]:
@@ -41,16 +44,17 @@ def byte_letters() -> list[str]:
 
 
 class Recent:
-    """A dict that holds at least what the last batch asked for, and about CACHE_WORDS entries more."""
+    """A dict that holds at least what the last batch asked for, and about as many entries more as its limit."""
 
-    def __init__(self):
+    def __init__(self, limit: int):
+        self.limit = limit
         self.held: dict = {}
         self.used: set = set()
 
     def missing(self, keys: set) -> set:
         """Keys not held yet. When there are too many, those stay that this batch or, again, an earlier one since the last clearing asked for."""
-        if len(self.held) > CACHE_WORDS:
-            stay = (self.used if len(self.used) < CACHE_WORDS // 2 else set()) | keys
+        if len(self.held) > self.limit:
+            stay = (self.used if len(self.used) < self.limit // 2 else set()) | keys
             self.held = {k: v for k, v in self.held.items() if k in stay}
             self.used = set()
         old = keys & self.held.keys()
@@ -79,20 +83,28 @@ class WordBpe:
         for token, i in chain(self.ids.items(), self.special.items()):
             self.tokens[i] = token
         self.letters = byte_letters()
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: Rank of each pair that merges, and what a merge of this rank gives.
+        self.merges: dict[tuple[int, int], int] = {}
+        self.given: list[int] = []
         self.rank = np.full(size, -1, np.int64)
         self.left, self.right = np.arange(size), np.arange(size)
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             one, two, both = self.ids[a], self.ids[b], self.ids[a + b]
-            self.merges[one, two] = rank, both
+            self.merges[one, two] = rank
+            self.given.append(both)
             if self.rank[both] < 0:
                 self.rank[both], self.left[both], self.right[both] = rank, one, two
-        pairs = sorted((a * size + b, rank) for (a, b), (rank, _) in self.merges.items())
+        pairs = sorted((a * size + b, rank) for (a, b), rank in self.merges.items())
         self.pair_keys, self.pair_ranks = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
         self.longest = max(map(len, self.ids))
+        #: Length of the longest token without a word's end that starts with these two letters.
+        self.reach: dict[str, int] = {}
+        for token in self.ids:
+            if not token.endswith(self.end):
+                self.reach[token[:2]] = max(len(token), self.reach.get(token[:2], 1))
         self.whole: dict[int, bool] = {}
-        self.known, self.chunks = Recent(), Recent()
+        self.known, self.chunks = Recent(CACHE_WORDS), Recent(CACHE_CHUNKS)
 
     def normalized(self, text: str) -> str:
         """NFC, then each character's lower case (a capital sigma at a word's end is like any other)."""
@@ -104,35 +116,53 @@ class WordBpe:
         return out
 
     def merged(self, symbols: list[str]) -> list[int]:
-        """Exact merging: always the lowest rank, the leftmost first; a heap over a linked list."""
-        ids: list[int | None] = [self.ids[s] for s in symbols]
+        """Exact merging: always the lowest rank, the leftmost first."""
+        ids = [self.ids[s] for s in symbols]
+        return self._merged_short(ids) if len(ids) <= SHORT_WORD else self._merged_long(ids)
+
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        rank_of = self.merges.get
+        ranks = [rank_of(pair, NONE) for pair in pairwise(ids)]
+        while ranks and (low := min(ranks)) != NONE:
+            at = ranks.index(low)
+            ids[at : at + 2] = [self.given[low]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), NONE)
+            if at < len(ranks):
+                ranks[at] = rank_of((ids[at], ids[at + 1]), NONE)
+        return ids
+
+    def _merged_long(self, start: list[int]) -> list[int]:
+        """A heap over a linked list, for words on which going over all pairs for each merge would take too long."""
+        ids: list[int | None] = [*start]
         before, after = [*range(-1, len(ids) - 1)], [*range(1, len(ids) + 1)]
-        heap = [(m[0], k, m[1], ids[k], ids[k + 1]) for k in range(len(ids) - 1) if (m := self.merges.get((ids[k], ids[k + 1])))]
+        heap = [(rank, k, *pair) for k, pair in enumerate(pairwise(start)) if (rank := self.merges.get(pair)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, k, both, one, two = heapq.heappop(heap)
+            rank, k, one, two = heapq.heappop(heap)
             n = after[k]
             if ids[k] != one or n >= len(ids) or ids[n] != two:
                 continue
-            ids[k], ids[n], after[k] = both, None, after[n]
+            ids[k], ids[n], after[k] = self.given[rank], None, after[n]
             if after[n] < len(ids):
                 before[after[n]] = k
             for a, b in ((before[k], k), (k, after[k])):
-                if a >= 0 and b < len(ids) and (m := self.merges.get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (m[0], a, m[1], ids[a], ids[b]))
+                if a >= 0 and b < len(ids) and (rank := self.merges.get((ids[a], ids[b]))) is not None:
+                    heapq.heappush(heap, (rank, a, ids[a], ids[b]))
         return [i for i in ids if i is not None]
 
     def proposed(self, symbols: list[str]) -> list[int]:
         """Greedy longest matches; only the last token has the word's end."""
         text = "".join(symbols)[: -len(self.end)]
         out, at, size = [], 0, len(text)
+        ids = self.ids
         while at < size:
-            rest = text[at:] + self.end if size - at <= self.longest else ""
-            if rest in self.ids:
-                out.append(self.ids[rest])
+            if size - at <= self.longest and (last := ids.get(text[at:] + self.end)) is not None:
+                out.append(last)
                 break
-            for to in range(min(size - 1, at + self.longest), at, -1):
-                if (i := self.ids.get(text[at:to])) is not None:
+            for to in range(min(size - 1, at + self.reach.get(text[at : at + 2], 1)), at, -1):
+                if (i := ids.get(text[at:to])) is not None:
                     out.append(i)
                     at = to
                     break
@@ -208,9 +238,9 @@ class WordBpe:
             if fresh := self.known.missing(words):
                 self.known.add(self.learn(list(fresh)))
             of = self.known.held
-            self.chunks.add({c: tuple(chain.from_iterable(of[w] if isinstance(w, str) else (w,) for w in p)) for c, p in parts.items()})
+            self.chunks.add({c: array("i", chain.from_iterable(of[w] if isinstance(w, str) else (w,) for w in p)).tobytes() for c, p in parts.items()})
         tokens = self.chunks.held
-        return [np.fromiter(chain.from_iterable(map(tokens.__getitem__, c)), np.int32) for c in chunks]
+        return [np.frombuffer(b"".join(map(tokens.__getitem__, c)), np.int32) for c in chunks]
 
 
 @lru_cache(maxsize=2)
@@ -223,24 +253,36 @@ def token_strings(path: str) -> pa.Array:
     return pa.array(loaded(path).tokens, pa.large_string())
 
 
+def _encoded(bpe: WordBpe, texts: pa.Array) -> pa.Array:
+    ids = bpe.encoded(texts.to_pylist())
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+
+
+def _decoded(strings: pa.Array, ids: pa.Array) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+    lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), strings.take(ids.flatten()))
+    return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids (array<int>) of every row of docs, as the vocabulary file at path encodes its text.
 
     Strings of special tokens in a text become those tokens. A null or empty text has no ids; a null doc_id stays null; repeated rows
     are encoded one by one; an empty table gives an empty result; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
 
     def run(batches):
         bpe = loaded(path)
         for batch in batches:
-            ids = bpe.encoded(batch.column(1).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))], ["doc_id", "ids"])
+            yield pa.record_batch([batch.column(0), _encoded(bpe, batch.column(1))], ["doc_id", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return _rows(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -250,14 +292,23 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         strings = token_strings(path)
         for batch in batches:
-            ids = batch.column(1)
-            offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
-            lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), strings.take(ids.flatten()))
-            yield pa.record_batch([batch.column(0), ids, pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())], ["doc_id", "ids", "decoded"])
+            yield pa.record_batch([batch.column(0), batch.column(1), _decoded(strings, batch.column(1))], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
+def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """What bpe_decode gives of what bpe_encode gives, in one pass and one Python worker for each task."""
+
+    def run(batches):
+        bpe, strings = loaded(path), token_strings(path)
+        for batch in batches:
+            ids = _encoded(bpe, batch.column(1))
+            yield pa.record_batch([batch.column(0), ids, _decoded(strings, ids)], ["doc_id", "ids", "decoded"])
+
+    return _rows(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256."""
     return decoded.select(
@@ -270,7 +321,7 @@ def digests(decoded: DataFrame) -> DataFrame:
 
 def op9_columns(docs: DataFrame, path: str) -> DataFrame:
     """Encoded, decoded again, and both as digests."""
-    return digests(bpe_decode(bpe_encode(docs, path), path))
+    return digests(bpe_round_trip(docs, path))
 
 
 def default_path() -> str:
