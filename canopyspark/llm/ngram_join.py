@@ -4,6 +4,7 @@
 2. Size bands: two linked sets are in one band or in neighbours. Bands k and k+1 share a scheme that cuts the hash space into segments,
    more of them than the elements by which two linked sets of these sizes can differ, so at least one segment holds the same elements
    in both. Segments are join keys; a key's sets form a star with the smallest set id, and stars with one centre form one tile group.
+   A group of any size becomes tiles of bounded size.
 3. Within a tile, parity bitmaps: a bit that differs needs an element that only one set has, so bit counts bound the overlap from above.
    Pairs that pass connect sets to families.
 4. Families are tiled again, once, with the whole arrays; pairs that pass the bitmap bound are intersected exactly.
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopyspark.llm import textarrays as ta
@@ -161,6 +162,41 @@ def segment_keys(docs: DataFrame, t: Threshold) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "key long, f1 long")
 
 
+def stars(keyed: DataFrame) -> DataFrame:
+    """tile, f1: each set with the smallest set of each key that it shares; the smallest ones themselves are left out.
+
+    Rows are dealt by ranges of (key, f1), so a key that very many sets share is spread over as many partitions as it fills. A partition
+    takes its first set of a key for the smallest; that is wrong only for its first key, if the key began in an earlier partition, and is
+    set right from a table with two rows for each partition.
+    """
+
+    def run(batches):
+        last_key = last_tile = first_key = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, f1 = (np.asarray(batch.column(k)) for k in (0, 1))
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            new[0] = key[0] != last_key
+            tile = np.concatenate([[0 if last_tile is None else last_tile], f1[new]])[np.cumsum(new)]
+            start = first_key is None
+            first_key = key[0] if start else first_key
+            keep = (f1 != tile) | (key == first_key)
+            if start:
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in ([key[0]], [tile[0]], [tile[0]])] + [pa.array([2], pa.int8())], ["key", "tile", "f1", "kind"])
+            yield pa.record_batch([pa.array(key[keep]), pa.array(tile[keep]), pa.array(f1[keep]), pa.array((key[keep] == first_key).astype(np.int8))], ["key", "tile", "f1", "kind"])
+            last_key, last_tile = key[-1], tile[-1]
+        if last_key is not None:
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in ([last_key], [last_tile], [last_tile])] + [pa.array([2], pa.int8())], ["key", "tile", "f1", "kind"])
+
+    dealt = keyed.repartitionByRange("key", "f1").sortWithinPartitions("key", "f1")
+    found = written(dealt.mapInArrow(run, "key long, tile long, f1 long, kind byte"), "jaccard-runs")
+    begins = found.where("kind = 2").groupBy("key").agg(F.min("tile").alias("begin"))
+    right = found.where("kind = 1").join(F.broadcast(begins), "key").select(F.col("begin").alias("tile"), "f1")
+    return found.where("kind = 0").select("tile", "f1").union(right).where("f1 <> tile").distinct()
+
+
 def _possible(maps: np.ndarray, n: np.ndarray, t: Threshold, rows: slice, cols: slice) -> np.ndarray:
     """Whether bit counts leave it open that two sets are linked."""
     out = np.zeros((rows.stop - rows.start, cols.stop - cols.start), bool)
@@ -268,16 +304,14 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     known = written(profile(docs, t), "jaccard-sets")
     classes = known.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("vertex"), F.count("*").alias("copies"), F.first("bits").alias("bits")).where("vertex IS NOT NULL")
 
-    keyed = segment_keys(docs, t)
-    star = keyed.withColumn("tile", F.min("f1").over(Window.partitionBy("key"))).where("f1 <> tile").select("tile", "f1").distinct()
-    star = written(star, "jaccard-stars")
+    star = written(stars(segment_keys(docs, t)), "jaccard-stars")
     members = star.union(star.select("tile", F.col("tile").alias("f1")).distinct())
     members = written(members.join(classes, "f1").select("tile", "vertex", "n", "bits"), "jaccard-members")
-    families = connected_components(bitmap_families(tiled(members, "tile", "vertex", num, den, ROWS, UNITS), t))
+    families = connected_components(bitmap_families(tiled(members, "tile", "vertex", ROWS, UNITS), t))
     families = families.join(classes.select(F.col("vertex"), "copies", "f1", "f2"), "vertex")
     arrays = shingle_arrays(docs.join(families.select(F.col("vertex").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2"), "doc_id"), t)
     arrays = written(arrays.dropDuplicates(["vertex"]), "jaccard-arrays")
-    links = written(exact_links(tiled(arrays, "tile", "vertex", num, den, ROWS, UNITS), t), "jaccard-links")
+    links = written(exact_links(tiled(arrays, "tile", "vertex", ROWS, UNITS), t), "jaccard-links")
     found = connected_components(links).join(links.groupBy(F.col("a").alias("vertex")).agg(F.sum("links").alias("links")), "vertex", "left")
 
     classes = classes.select("f1", "f2", "n", "vertex", "copies").join(found, "vertex", "left")

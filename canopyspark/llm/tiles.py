@@ -1,4 +1,4 @@
-"""Groups cut into size-banded square tiles, so that no task holds a whole group, and a reader of sorted runs for them."""
+"""Groups cut into square tiles, so that no task holds a whole group, and a reader of sorted runs for them."""
 
 from __future__ import annotations
 
@@ -6,27 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def tiled(members: DataFrame, group: str, order: str, num: int, den: int, rows: int, units: int) -> DataFrame:
+def tiled(members: DataFrame, group: str, order: str, rows: int, units: int) -> DataFrame:
     """Members dealt to tiles (group, i, j), i <= j, sorted by tile, side and size within each partition.
 
-    members: group, order (the vertex), n (set size) and whatever a tile needs. A group's members, by size, are cut into blocks of at
-    most `rows` members or about `units` elements; a tile holds blocks i and j and exists if their sizes can still differ by no more
-    than num/den. Two members of a group that can match so meet in exactly one tile. A group of m members makes (m/rows)^2 tiles at
-    most, each of bounded size.
+    members: group, order (the vertex), n (set size) and whatever a tile needs. A group that is larger than a block, of about `rows`
+    members and `units` elements, is dealt to blocks by a hash of the vertex; a tile holds blocks i and j, so any two members of a group
+    meet in exactly one tile. A group's weight is summed before it is shuffled, and groups of one block are not joined with anything;
+    the others are fewer than there are blocks. A group of m members makes (m / rows)^2 / 2 tiles, each of bounded size.
     """
-    by_size = Window.partitionBy(group).orderBy("n", order)
     weight = F.greatest(F.lit(1.0 / rows), F.col("n") / F.lit(float(units)))
-    blocks = members.withColumn("block", F.floor(F.sum(weight).over(by_size) - 1e-9).cast("int"))
-    ranges = blocks.groupBy(group, "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    left = ranges.select(group, F.col("block").alias("i"), "hi")
-    right = ranges.select(group, F.col("block").alias("j"), "lo")
-    pairs = left.join(right, group).where((F.col("j") >= F.col("i")) & (F.col("lo") * num <= F.col("hi") * den)).select(group, "i", "j")
-    sides = F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))
-    dealt = blocks.join(pairs.select(group, "i", "j", F.explode(sides).alias("block")), [group, "block"])
+    large = members.groupBy(group).agg(F.ceil(F.sum(weight) - 1e-9).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = members.join(large, group, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(order), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks")
     return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j", "block", "n")
 
 
