@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows in one Arrow batch; with whole texts, the default of 10,000 would hold hundreds of MB in a Python worker.
-BATCH_ROWS = 500
+#: Bytes in one Arrow batch; with whole texts, the default of 10,000 rows could hold hundreds of MB in a Python worker.
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,17 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Text operators exchange few rows at a time with Python; a smaller setting of the session stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Text operators exchange few bytes at a time with Python; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key)
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; only where it is unset (tests), one of our own."""
+    """The folder in spark.checkpoint.dir, which all executors share; only where it is unset and Spark runs in one
+    process (tests), one of our own."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="canopyspark-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
