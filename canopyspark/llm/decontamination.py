@@ -6,6 +6,10 @@ samples a few steps; two strings meet in it if the sampled outputs are equal. Sy
 digits, A-Z lower-cased). Every word of a document starts a window; a window has the length of the item it is held against. Items are put
 in length classes, and samples lie in the first steps, where the pointer can't yet be past the end of the shortest window of the class.
 
+Walks over long strings with many edits drift apart for good, so an item of more than LONGEST words is searched for in pieces of at most
+PIECE words. If the item has at most its allowed edits in a text, one of its pieces has at most its own; a piece that is found so is
+verified, and then the whole item around it.
+
 A window's output at a sampled step depends only on where its pointer is then, and the windows whose pointers are at one place at one step
 have neighbouring starts. So a table is evaluated from the first sampled step: places whose symbol is one of the items' outputs there are
 walked on to the later samples, and only from those that keep an item's key the walk is undone to the interval of starts. This gives what
@@ -30,8 +34,12 @@ from canopyspark.llm.shared import small_batches, table
 MAX_EDIT_PERCENT = 20
 #: Share of items with so many edits that their windows are to meet in some table.
 TARGET_RECALL = 0.95
-#: Steps sampled by a table; tables at most.
-SAMPLED, MAX_TABLES = 2, 40
+#: Steps sampled by a table; tables of a length class after which the target counts as out of reach, which is an error.
+SAMPLED, MAX_TABLES = 2, 1000
+#: Words of an item that is searched for whole; words of a piece of a longer one.
+LONGEST, PIECE = 127, 63
+#: Cells of the rows that are verified at once.
+CELLS = 1 << 20
 #: Words of the benchmark that one pass over the documents looks for; further items take further passes.
 BLOCK_WORDS = 4_000_000
 _MARKS = 1 << 16
@@ -88,10 +96,17 @@ class Table:
 
 @dataclass
 class Index:
+    """words, allowed: of the strings searched for, items or pieces of them; item, offset: the item of each, and where in it it starts;
+    whole, whole_allowed: of the items."""
+
     ids: np.ndarray
     words: list[np.ndarray]
     allowed: np.ndarray
     tables: list[Table]
+    item: np.ndarray
+    offset: np.ndarray
+    whole: list[np.ndarray]
+    whole_allowed: np.ndarray
 
 
 def _edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
@@ -108,13 +123,17 @@ def _edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarr
 
 
 def build(ids: list, texts: list[str], percent: int = MAX_EDIT_PERCENT, target: float = TARGET_RECALL) -> Index:
-    """Tables for items with a word. Each length class gets as many tables as random edits of its own items (200 at most, evenly picked,
-    with as many edits as are allowed) need in order to meet in some table with the target's frequency."""
+    """Tables for items with a word. Each length class gets as many tables as random edits of its own strings (items, or pieces of long
+    ones; about 200, evenly picked, with as many edits as are allowed) need in order to meet in some table with the target's frequency."""
     rng = np.random.default_rng(20)
     words = item_words(texts)
     keep = [k for k, w in enumerate(words) if len(w)]
-    words = [words[k] for k in keep]
-    allowed = np.array([len(w) * percent // 100 for w in words], np.int64)
+    whole = [words[k] for k in keep]
+    parts = [np.array_split(w, -(-len(w) // PIECE) if len(w) > LONGEST else 1) for w in whole]
+    words = [x for part in parts for x in part]
+    item = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
+    offset = np.array([at for part in parts for at in np.cumsum([0, *map(len, part[:-1])])], np.int64)
+    allowed, whole_allowed = (np.array([len(w) * percent // 100 for w in own], np.int64) for own in (words, whole))
     classes: dict[int, list[int]] = {}
     for k, w in enumerate(words):
         classes.setdefault(int(len(w)).bit_length(), []).append(k)
@@ -141,7 +160,9 @@ def build(ids: list, texts: list[str], percent: int = MAX_EDIT_PERCENT, target:
             missed &= (before != after).any(axis=1)
             if missed.mean() <= 1 - target:
                 break
-    return Index(np.array([ids[k] for k in keep], np.int64), words, allowed, tables)
+        else:
+            raise ValueError(f"{MAX_TABLES} tables find {1 - missed.mean():.3f} of the edited items of {least} words and more, not {target}")
+    return Index(np.array([ids[k] for k in keep], np.int64), words, allowed, tables, item, offset, whole, whole_allowed)
 
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -181,22 +202,33 @@ def candidates(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]
     return pairs // max(1, len(index.words)), pairs % max(1, len(index.words))
 
 
-def verified(words: np.ndarray, ends: np.ndarray, start: np.ndarray, width: np.ndarray, item: np.ndarray, index: Index) -> np.ndarray:
+def _parts(cells: np.ndarray) -> Iterator[slice]:
+    """Neighbours that are held at once: 4096, or as many as CELLS has room for, each as large as the largest."""
+    at = 0
+    while at < len(cells):
+        size = 4096
+        while size > 1 and size * cells[at : at + size].max() > CELLS:
+            size //= 2
+        yield slice(at, at + size)
+        at += size
+
+
+def verified(words: np.ndarray, ends: np.ndarray, start: np.ndarray, width: np.ndarray, item: np.ndarray, strings: list[np.ndarray], most: np.ndarray) -> np.ndarray:
     """Least word edit distance of each item to a span of the text that starts in the width words from start on; a number over the allowed
     one stands for more. Banded: a cell off the diagonals by more than the allowed edits can't matter, and a candidate all of whose cells
-    are over the allowed edits is given up. ends[i]: the end of the text that word i is in."""
-    length = np.fromiter(map(len, index.words), np.int64, len(index.words))
+    are over the allowed edits is given up. ends[i]: the end of the text that word i is in; strings, most: words and allowed edits of the
+    items."""
+    length = np.fromiter(map(len, strings), np.int64, len(strings))
     far = 1 << 30
     out = np.full(len(item), far, np.int64)
     padded = np.append(words, np.uint64(0))
     order = np.argsort(length[item], kind="stable")
-    for part in np.array_split(order, len(order) // 4096 + 1):
-        if not len(part):
-            continue
-        size, allowed = length[item[part]], index.allowed[item[part]]
+    for own in _parts((length[item] + 2 * most[item] + width)[order]):
+        part = order[own]
+        size, allowed = length[item[part]], most[item[part]]
         theirs = np.zeros((len(part), size.max()), np.uint64)
         for i in np.unique(item[part]):
-            theirs[item[part] == i, : length[i]] = index.words[i]
+            theirs[item[part] == i, : length[i]] = strings[i]
         shift = np.arange(-int(allowed.max()), int(allowed.max() + width[part].max()))
         s, room, wide = start[part][:, None], (ends[start[part]] - start[part])[:, None], width[part][:, None]
         # row r, cell d: the item's first r words against the text's words up to start + r + d
@@ -238,11 +270,42 @@ def matches(data: np.ndarray, offsets: np.ndarray, index: Index) -> tuple[np.nda
     start, end, per_text = ta.words(low, offsets, ta.NOT_ALNUM)
     words = ta.span_hashes(low, start, end)
     text = np.repeat(np.arange(len(per_text)), per_text)
-    at, width, item = _runs(*candidates(words, index), text)
-    edits = verified(words, np.cumsum(per_text)[text], at, width, item, index)
-    good = edits <= index.allowed[item]
-    at, item = at[good], item[good]
-    return text[at], item, edits[good], at - (np.cumsum(per_text) - per_text)[text[at]]
+    at, width, part = _runs(*candidates(words, index), text)
+    ends, begins = np.cumsum(per_text)[text], (np.cumsum(per_text) - per_text)[text]
+    edits = verified(words, ends, at, width, part, index.words, index.allowed)
+    good = edits <= index.allowed[part]
+    at, width, part, edits = at[good], width[good], part[good], edits[good]
+    item = index.item[part]
+    cut = np.fromiter(map(len, index.words), np.int64, len(index.words))[part] < np.fromiter(map(len, index.whole), np.int64, len(index.whole))[item]
+    long_at, long_item, long_edits = _around(words, ends, begins, at[cut], width[cut], part[cut], index)
+    at, item, edits = np.concatenate([at[~cut], long_at]), np.concatenate([item[~cut], long_item]), np.concatenate([edits[~cut], long_edits])
+    return text[at], item, edits, at - begins[at]
+
+
+def _around(words: np.ndarray, ends: np.ndarray, begins: np.ndarray, at: np.ndarray, width: np.ndarray, part: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, item and edits of the items that stand around these verified pieces. Pieces of one item in one text that put its start at
+    nearly the same place are one candidate; all starts that its edits and theirs can move it to are tried."""
+    item, begin, end = index.item[part], begins[at], ends[at]
+    start = at - index.offset[part]
+    order = np.lexsort((start, begin, item))
+    item, begin, end, start, stop, slack = (x[order] for x in (item, begin, end, start, start + width, 2 * index.allowed[part]))
+    first, k = [], 0
+    while k < len(start):
+        first.append(k)
+        most = index.whole_allowed[item[k]]
+        same = np.searchsorted(item, item[k], "right")
+        same = k + np.searchsorted(begin[k:same], begin[k], "right")
+        k += max(1, int(np.searchsorted(start[k:same], start[k] + most, "right")))
+    first = np.array(first, np.int64)
+    if not len(first):
+        return first, first, first
+    item, begin, end, start = item[first], begin[first], end[first], start[first]
+    room = index.whole_allowed[item] + np.maximum.reduceat(slack, first)
+    low = np.clip(start - room, begin, end - 1)
+    high = np.clip(np.maximum.reduceat(stop, first) + room, low + 1, end)
+    edits = verified(words, ends, low, high - low, item, index.whole, index.whole_allowed)
+    good = edits <= index.whole_allowed[item]
+    return np.clip(start, begin, end - 1)[good], item[good], edits[good]
 
 
 def indexes(benchmark: DataFrame, percent: int, target: float) -> Iterator[Index]:

@@ -138,6 +138,34 @@ def test_decontamination(spark):
     assert len(got) >= decontamination.TARGET_RECALL * len(want) and len(want) > 50
 
 
+@pytest.mark.parametrize("size", [200, 2000])
+def test_decontamination_of_long_items(spark, size):
+    rng = random.Random(size)
+    items = {k: [f"v{rng.randrange(3000)}" for _ in range(size)] for k in range(3)}
+    say = lambda: [f"v{rng.randrange(3000)}" for _ in range(rng.randint(0, 300))]
+    docs = {}
+    for d in range(36):
+        own = list(items[d % 3])
+        for _ in range((0, len(own) // 5, len(own) // 5, len(own) // 3)[d // 3 % 4]):
+            at = rng.randrange(len(own))
+            rng.choice([lambda: own.__setitem__(at, "zz"), lambda: own.insert(at, "yy"), lambda: own.pop(at)])()
+        docs[d] = " ".join(say() + own + say())
+    texts = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string")
+    found = decontamination.contaminated(spark.createDataFrame([*docs.items()], "doc_id long, text string"), texts).collect()
+    got = {r["doc_id"]: (r["item_id"], r["edits"]) for r in found}
+    assert len(found) == len(got) and all(d % 3 == item for d, (item, _) in got.items())
+    assert all(got[d][1] == 0 for d in docs if d // 3 % 4 == 0)
+    edited = [d for d in docs if d // 3 % 4 in (1, 2)]
+    assert sum(d in got for d in edited) >= decontamination.TARGET_RECALL * len(edited)
+    assert all(0 < got[d][1] <= size // 5 for d in edited if d in got) and all(d not in got for d in docs if d // 3 % 4 == 3)
+
+
+def test_a_missed_target_is_an_error(monkeypatch):
+    monkeypatch.setattr(decontamination, "MAX_TABLES", 1)
+    with pytest.raises(ValueError):
+        decontamination.build([*range(50)], [" ".join(f"w{k * 40 + j}" for j in range(40)) for k in range(50)])
+
+
 def test_embedding_and_windows_agree():
     """The lazy evaluation of a table gives the windows that walking each of them gives."""
     rng = np.random.default_rng(2)
