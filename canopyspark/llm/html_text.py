@@ -40,7 +40,7 @@ IMPLIED_END = {
 SCOPE = frozenset("table td th caption html template".split())
 #: Open elements, and tables within tables, at most; what is nested deeper becomes part of the innermost.
 MAX_OPEN, MAX_TABLES = 512, 40
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*+)>", re.S)
 _HIDING = re.compile(r"(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden))", re.I)
 _START = re.compile(r"\bstart\s*=\s*[\"']?(-?\d{1,9})", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -55,7 +55,8 @@ class Node:
 
 def tree(page: str) -> Node:
     """The elements and texts of a page. Implied ends (p, li, dt, dd, table parts) close; an end tag without a start is ignored; elements
-    open at the end of the page end there. Table rows need no tbody here, and cells outside a row get one."""
+    open at the end of the page end there. A head that is open ends at a body, at text and at elements of a body. Table rows need no tbody
+    here, and cells outside a row get one."""
     root = Node("html")
     stack = [root]
 
@@ -70,14 +71,19 @@ def tree(page: str) -> Node:
         if cut:
             del stack[cut:]
 
+    def text(words: str) -> None:
+        if stack[-1].tag == "head" and _SPACE.sub("", words):
+            stack.pop()
+        stack[-1].children.append(html.unescape(words))
+
     at = 0
     while at < len(page):
         m = _TOKEN.search(page, at)
         if not m:
-            stack[-1].children.append(html.unescape(page[at:]))
+            text(page[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(html.unescape(page[at : m.start()]))
+            text(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -94,6 +100,8 @@ def tree(page: str) -> Node:
                         break
             continue
         if tag in ("html", "body"):
+            if tag == "body":
+                close({"head"}, {"template"})
             continue
         if tag in CLOSES_P:
             close({"p"}, SCOPE | {"button"})

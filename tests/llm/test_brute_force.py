@@ -238,6 +238,21 @@ def test_html(page):
         assert html_text.visible_text(page) == HTML[page]
 
 
+BROKEN_HTML = {
+    "<head><title>t</title><body>Hello <p>x": "Hello\n\nx",
+    "<html><head><meta charset=x>\n<body>\nplain text only": "plain text only",
+    "<head><title>t</title>\n text &amp; more<p>x</p>": "text & more\n\nx",
+    "<head><style>p{}</style><noscript><p>no</noscript></head><body>yes": "yes",
+    "<img alt=Joe's>seen text <b>don't</b>": "seen text don't",
+    "<p class=a\" title='x > y' id = \"1>2\">in <a href=/?q='b'>it's</a> <i data-x=\"open>out</i>": "in it's out",
+}
+
+
+@pytest.mark.parametrize("page", list(BROKEN_HTML))
+def test_html_open_heads_and_stray_quotes(page):
+    assert html_text.visible_text(page) == BROKEN_HTML[page]
+
+
 def test_html_deep_and_long():
     deep = "<div>" * 30000 + "in" + "</div>" * 30000
     assert html_text.visible_text(deep).strip() == "in"
