@@ -14,13 +14,17 @@ from canopyspark.llm.shared import small_batches, table
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("script style head title template noscript iframe noembed noframes object svg math canvas audio video select datalist textarea".split())
+HIDDEN = frozenset("script style head title template noscript iframe noembed noframes object svg math canvas audio video datalist".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre search section summary table ul".split()
 )
 #: Blocks with an empty line before and after.
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
+#: Form controls with text of their own, shown on lines of their own.
+CONTROL = frozenset("select optgroup option textarea".split())
+#: Parts of a table that its rows and cells are looked for in, as in any other element that has some.
+PARTS = frozenset("tbody thead tfoot tr td th caption colgroup".split())
 #: Start tags that close an open p.
 CLOSES_P = BLOCK - {"body", "html", "li", "dd", "dt", "legend", "summary"} | {"li", "dd", "dt"}
 #: Start tag: open elements that it closes, and those that stop the search for them.
@@ -107,7 +111,7 @@ def tree(page: str) -> Node:
             close({"p"}, SCOPE | {"button"})
         if tag in IMPLIED_END:
             close(*IMPLIED_END[tag])
-        if tag in ("td", "th") and stack[-1].tag != "tr":
+        if tag in ("td", "th") and next((n.tag for n in reversed(stack) if n.tag in ("tr", "td", "th", "table")), "") != "tr":
             stack[-1].children.append(row := Node("tr"))
             stack.append(row)
         if stack[-1].tag == "head" and tag not in ("meta", "title", "link", "base", "script", "style", "noscript", "template"):
@@ -118,7 +122,8 @@ def tree(page: str) -> Node:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
-            node.children.append(page[at : end.start() if end else len(page)])
+            inside = page[at : end.start() if end else len(page)]
+            node.children.append(html.unescape(inside.removeprefix("\n")) if tag == "textarea" else inside)
             at = page.find(">", end.start()) + 1 or len(page) if end else len(page)
             continue
         if len(stack) < MAX_OPEN:
@@ -194,26 +199,52 @@ def _visible(node: Node) -> bool:
     return node.tag not in HIDDEN and not (node.attributes and _HIDING.search(node.attributes))
 
 
-def _cells(node: Node, depth: int) -> tuple[list[list[str]], list[list[str]]]:
-    """Each visible row of a table as the texts of its cells, and its captions; inner line ends become spaces."""
-    rows, captions = [], []
-    todo = [node]
+def _holders(table: Node) -> set[int]:
+    """Elements, by id, that parts of this table are in, but for those in its cells, captions and inner tables."""
+    found, todo = set(), [(c, [id(table), None]) for c in table.children if isinstance(c, Node)]
     while todo:
-        at = todo.pop()
-        if at is not node and not _visible(at):
+        at, above = todo.pop()
+        if at.tag in PARTS:
+            up = above
+            while up and up[0] not in found:
+                found.add(up[0])
+                up = up[1]
+        if at.tag not in ("table", "td", "th", "caption") and _visible(at):
+            own = [id(at), above]
+            todo += [(c, own) for c in at.children if isinstance(c, Node)]
+    return found
+
+
+def _cells(node: Node, depth: int) -> tuple[list[list[str]], list[list[str]], list]:
+    """Each visible row of a table as the texts of its cells, its captions, and all else that is visible in it, in order; inner line ends
+    become spaces. Rows and cells count through any element that isn't a table."""
+    rows, captions, loose = [], [], []
+    holders = _holders(node)
+    todo: list[tuple] = [(c, None) for c in reversed(node.children)]
+    while todo:
+        at, row = todo.pop()
+        if isinstance(at, str):
+            loose.append(at)
+        elif not _visible(at):
             continue
-        if at.tag == "tr":
-            cells = [c for c in at.children if isinstance(c, Node) and c.tag in ("td", "th") and _visible(c)]
-            rows.append([" ".join(filter(None, rendered(c, depth))) for c in cells])
+        elif at.tag in ("td", "th"):
+            if row is None:
+                rows.append(row := [])
+            row.append(" ".join(filter(None, rendered(at, depth))))
+            loose.append(" ")
         elif at.tag == "caption":
             captions.append(rendered(at, depth))
-        elif at is node or at.tag in ("tbody", "thead", "tfoot"):
-            todo += [c for c in reversed(at.children) if isinstance(c, Node)]
-    return rows, captions
+        elif at.tag in PARTS or at.tag != "table" and id(at) in holders:
+            if at.tag == "tr" and row is None:
+                rows.append(row := [])
+            todo += [(c, row) for c in (" ", *reversed(at.children), " ")]
+        else:
+            loose.append(at)
+    return rows, captions, loose
 
 
 def _inline(node: Node) -> bool:
-    return node.tag not in BLOCK and node.tag not in ("tr", "td", "th", "tbody", "thead", "tfoot", "caption")
+    return node.tag not in BLOCK and node.tag not in CONTROL and node.tag not in ("tr", "td", "th", "tbody", "thead", "tfoot", "caption")
 
 
 def rendered(node: Node, depth: int = 0) -> list[str]:
@@ -236,15 +267,13 @@ def rendered(node: Node, depth: int = 0) -> list[str]:
             if x.tag == "img":
                 continue
             if x.tag == "table" and depth < MAX_TABLES:
-                rows, captions = _cells(x, depth + 1)
-                loose = [c for c in x.children if isinstance(c, str) and c.strip() or isinstance(c, Node) and c.tag not in ("tr", "tbody", "thead", "tfoot", "caption", "colgroup", "col")]
+                rows, captions, loose = _cells(x, depth + 1)
                 out.block(2)
                 for line in [*(line for c in captions for line in c), *_aligned(rows)]:
                     out.block(1)
                     out.write(line, keep=True)
                 out.block(2)
-                if loose:
-                    todo += [("in", c) for c in reversed(loose)]
+                todo += [("in", c) for c in reversed(loose)]
                 continue
             if not _inline(x):
                 out.block(2 if x.tag in SPACED and not (lists and x.tag in ("ul", "ol", "p")) else 1)
@@ -259,11 +288,11 @@ def rendered(node: Node, depth: int = 0) -> list[str]:
                     lists[-1][1] += 1
             elif x.tag == "hr":
                 continue
-            pre += x.tag == "pre"
+            pre += x.tag in ("pre", "textarea")
             todo.append(("out", x))
             todo += [("in", c) for c in reversed(x.children)]
             continue
-        pre -= x.tag == "pre"
+        pre -= x.tag in ("pre", "textarea")
         if x.tag in ("ul", "ol", "menu", "dir"):
             lists.pop()
         elif x.tag == "li":

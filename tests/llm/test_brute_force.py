@@ -253,6 +253,23 @@ def test_html_open_heads_and_stray_quotes(page):
     assert html_text.visible_text(page) == BROKEN_HTML[page]
 
 
+WRAPPED_HTML = {
+    "<table><tbody><form><tr><td>a</td></tr></form></tbody></table>": "a",
+    "<table><tr><form><td>a</td><td>b</td></form><td>c</td></tr><tr><td>long<td>d</table>": "a     b  c\nlong  d",
+    "<table><form><tr><th>k<tr><td>v</form></table>z": "k\nv\n\nz",
+    "<table><tbody>one<tr>two<td>x</td><b>three</b> <i>four</i></tr></tbody>five</table>": "x\n\none two three four five",
+    "<table><tr><div hidden><td>no</td></div><td>yes<table><form><tr><td>in</form></table></td></tr></table>": "yes in",
+    "<table><caption>C</caption><tr><table><tr><td>inner</table></table>": "C\n\ninner",
+    "a<textarea rows=2>\nb &lt;i>\n  c</textarea>d": "a\nb <i>\n  c\nd",
+    "pick <select><optgroup label=g><option>one<option selected>two</select> end": "pick\none\ntwo\nend",
+}
+
+
+@pytest.mark.parametrize("page", list(WRAPPED_HTML))
+def test_html_wrapped_cells_and_controls(page):
+    assert html_text.visible_text(page) == WRAPPED_HTML[page]
+
+
 def test_html_deep_and_long():
     deep = "<div>" * 30000 + "in" + "</div>" * 30000
     assert html_text.visible_text(deep).strip() == "in"
