@@ -59,6 +59,22 @@ def test_secret_network_on_unseen_findings():
     assert chosen[label > 0].mean() >= 0.95 and chosen[label < 1].mean() <= 0.01
 
 
+def test_secrets_are_found_end_to_end(spark):
+    """Keys in texts, through the whole operator, whatever their digits and whatever stands around them."""
+    findings, label = secrets.labelled_findings(1200, seed=91)
+    rows = [(k, "".join(f)) for k, f in enumerate(findings)]
+    spans = {r["doc_id"]: [(f["kind"], f["begin"], f["stop"]) for f in r["findings"]] for r in secrets.secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = np.array([any(a < len(before) + len(inside) and len(before) < b for _, a, b in spans[k]) for k, (before, inside, _) in enumerate(findings)])
+    net = np.array([any(kind == "net" for kind, _, _ in spans[k]) for k in range(len(findings))])
+    assert hit[label > 0].mean() >= 0.96 and net[label < 1].mean() <= 0.02
+
+
+def test_every_run_is_a_candidate():
+    for run in ("sk-QwErTyUiOpAsDfGhJkLz", "GhTrWqPlMnBvCxZaSdFg", "A" * 16, "1234567890123456"):
+        assert secrets.candidates(f"x {run}, y", []) == [(2, 2 + len(run))]
+    assert secrets.candidates("x fifteen-letters y", []) == [] and secrets.candidates("a " + "Z" * 20, [(3, 5)]) == []
+
+
 def test_quality_counts(spark, sf_dir, texts):
     for r in QUERIES["op3_quality_rules"](spark, sf_dir).collect():
         text = texts[r["doc_id"]] or ""
