@@ -85,6 +85,22 @@ def test_all_of_a_long_candidate_is_read(spark):
     assert len(codes) == 5 and (codes[:, charnet.BEFORE : charnet.BEFORE + charnet.INSIDE] < 2 * charnet.CODES - 1).all()
 
 
+def test_quality_sends_one_row_a_document_to_the_driver(spark, monkeypatch):
+    kind, sizes = type(spark.range(1)), []
+    plain = kind.toPandas
+
+    def counted(frame):
+        sizes.append(len(out := plain(frame)))
+        return out
+
+    text = " ".join(f"word{k}" for k in range(80))
+    docs = spark.createDataFrame([(k if k < 20 else 3, text) for k in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    monkeypatch.setattr(kind, "toPandas", counted)
+    quality.train(docs, labels)
+    assert sizes == [20]
+
+
 def test_quality_counts(spark, sf_dir, texts):
     for r in QUERIES["op3_quality_rules"](spark, sf_dir).collect():
         text = texts[r["doc_id"]] or ""
