@@ -35,18 +35,22 @@ class NearestOutpaint:
         return np.where(mask[:, :, None], image[y][:, x], image)
 
 
+def _linear(image: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Bilinear, to h x w."""
+    y, x = (np.clip((np.arange(n) + 0.5) * old / n - 0.5, 0, old - 1) for n, old in ((h, image.shape[0]), (w, image.shape[1])))
+    y0, x0 = y.astype(int), x.astype(int)
+    y1, x1 = np.minimum(y0 + 1, image.shape[0] - 1), np.minimum(x0 + 1, image.shape[1] - 1)
+    fy, fx = (y - y0)[:, None, None], (x - x0)[None, :, None]
+    f = image.astype(float)
+    top, low = f[y0][:, x0] * (1 - fx) + f[y0][:, x1] * fx, f[y1][:, x0] * (1 - fx) + f[y1][:, x1] * fx
+    return np.clip(np.rint(top * (1 - fy) + low * fy), 0, 255).astype(np.uint8)
+
+
 class LinearUpscale:
     """Bilinear."""
 
     def upscale(self, image: np.ndarray, scale: float) -> np.ndarray:
-        h, w = (max(1, round(n * scale)) for n in image.shape[:2])
-        y, x = (np.clip((np.arange(n) + 0.5) * old / n - 0.5, 0, old - 1) for n, old in ((h, image.shape[0]), (w, image.shape[1])))
-        y0, x0 = y.astype(int), x.astype(int)
-        y1, x1 = np.minimum(y0 + 1, image.shape[0] - 1), np.minimum(x0 + 1, image.shape[1] - 1)
-        fy, fx = (y - y0)[:, None, None], (x - x0)[None, :, None]
-        f = image.astype(float)
-        top, low = f[y0][:, x0] * (1 - fx) + f[y0][:, x1] * fx, f[y1][:, x0] * (1 - fx) + f[y1][:, x1] * fx
-        return np.clip(np.rint(top * (1 - fy) + low * fy), 0, 255).astype(np.uint8)
+        return _linear(image, *(max(1, round(n * scale)) for n in image.shape[:2]))
 
 
 def _lanczos(old: int, new: int, lobes: int = 4) -> np.ndarray:
@@ -106,9 +110,20 @@ def estimated_depth(rasters: DataFrame, make: Callable = RowDepth, attempts: int
     return rasters.where("ok").mapInPandas(run, "image_key string, x long, y long, d double")
 
 
-def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, make: Callable = NearestOutpaint, attempts: int = 4) -> DataFrame:
+def _painted(model, image: np.ndarray, mask: np.ndarray, max_side: int | None) -> np.ndarray:
+    """What the model makes of an image, shrunk for it to max_side and enlarged again."""
+    h, w = image.shape[:2]
+    if not max_side or max(h, w) <= max_side:
+        return np.asarray(model.outpaint(image, mask), np.uint8)
+    small = [max(1, round(n * max_side / max(h, w))) for n in (h, w)]
+    y, x = (((np.arange(n) + 0.5) * old / n).astype(int) for n, old in zip(small, (h, w), strict=True))
+    made = np.asarray(model.outpaint(_linear(image, *small), mask[y][:, x]), np.uint8)
+    return _linear(made, h, w) if made.shape == (*small, 3) else made
+
+
+def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, make: Callable = NearestOutpaint, attempts: int = 4, max_side: int | None = None) -> DataFrame:
     """Raster rows with pad_x and pad_y: each raster grown ring by ring to its pads (halves to even). What was there is pasted back
-    after the last ring, so that no model can change it."""
+    after the last ring, so that no model can change it. A model is given at most max_side pixels a side; only what it adds is enlarged."""
 
     def run(frames):
         model = _loaded(make)
@@ -126,7 +141,7 @@ def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, ma
                     seed = np.pad(seed, ((more[1] - room[1],) * 2, (more[0] - room[0],) * 2, (0, 0)), mode="edge")
                     ring = np.ones(seed.shape[:2], bool)
                     ring[more[1] : more[1] + canvas.shape[0], more[0] : more[0] + canvas.shape[1]] = False
-                    filled = np.asarray(retried(lambda seed=seed, ring=ring: model.outpaint(seed, ring), attempts), np.uint8)
+                    filled = np.asarray(retried(lambda seed=seed, ring=ring: _painted(model, seed, ring, max_side), attempts), np.uint8)
                     if filled.shape != seed.shape:
                         raise ValueError(f"{row.image_key}: the outpaint model gave {filled.shape} for {seed.shape}")
                     canvas = np.where(ring[:, :, None], filled, seed)

@@ -29,11 +29,12 @@ RECORD = "image_key string, stage string, status string, runtime_seconds double,
 
 @dataclass(frozen=True)
 class Models:
-    """Functions that make the three models."""
+    """Functions that make the three models; masks, if given, makes (image_key, x, y, mask) of raster rows, in place of vegetation."""
 
     depth: Callable = models.RowDepth
     outpaint: Callable = models.NearestOutpaint
     upscale: Callable = models.LinearUpscale
+    masks: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass
@@ -63,14 +64,16 @@ def vegetation(pixels: DataFrame, masks: DataFrame | None = None) -> DataFrame:
 def canvas(run: Run, rasters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raster rows of the extended images, and their pads."""
     pad = run.config.AI_OUTPAINT_PAD_FRAC if run.config.AI_OUTPAINT_ENABLED else 0.0
-    grown = run.layer(models.outpainted(rasters, pad, run.config.AI_OUTPAINT_STEP_FRAC, run.models.outpaint, run.config.AI_OUTPAINT_MAX_RETRIES + 1), "canvas")
+    grown = models.outpainted(rasters, pad, run.config.AI_OUTPAINT_STEP_FRAC, run.models.outpaint, run.config.AI_OUTPAINT_MAX_RETRIES + 1, run.config.AI_OUTPAINT_MAX_SIDE)
+    grown = run.layer(grown, "canvas")
     return grown, grown.select("image_key", "pad_x", "pad_y")
 
 
 def extended_layers(run: Run, rasters: DataFrame, pixels: DataFrame) -> DataFrame:
     """The canvas's pixels with depth d, is_original, in_crop_mask and in_crop_interior: what the original has is kept where it is, and the
     canvas's depth is aligned to it."""
-    own = px.interior(vegetation(pixels), "mask", "interior", run.config.CROP_INTERIOR_QUANTILE).select("image_key", "x", "y", "mask", "interior")
+    masks = run.models.masks(rasters) if run.models.masks else None
+    own = px.interior(vegetation(pixels, masks), "mask", "interior", run.config.CROP_INTERIOR_QUANTILE).select("image_key", "x", "y", "mask", "interior")
     own = own.join(models.estimated_depth(rasters, run.models.depth), ["image_key", "x", "y"]).withColumnRenamed("d", "own_d")
     grown, pads = canvas(run, rasters)
     wide = vegetation(codecs.pixels_of(grown)).select("image_key", "x", "y", "r", "g", "b", "w", "h", F.col("mask").alias("wide_mask"))

@@ -162,6 +162,30 @@ def test_outpaint_keeps_the_original(spark):
     assert (r["pad_x"], r["pad_y"], wide.shape) == (6, 4, (18, 26, 3)) and (wide[4:14, 6:20] == image).all()
 
 
+def test_outpaint_side_limit(spark):
+    class Limited(models.NearestOutpaint):
+        def outpaint(self, image, mask):
+            assert max(image.shape) <= 32 and mask.shape == image.shape[:2] and mask.any()
+            return super().outpaint(image, mask)
+
+    image = field_picture(40, 56)
+    raster = spark.createDataFrame([("a", True, None, 56, 40, image.tobytes())], models._RASTER)
+    r = models.outpainted(raster, 0.45, 0.12, Limited, 1, 32).first()
+    got = np.frombuffer(r.data, np.uint8).reshape(r.h, r.w, 3)
+    assert (got[r.pad_y : r.pad_y + 40, r.pad_x : r.pad_x + 56] == image).all() and (r.w, r.h) == (56 + 2 * r.pad_x, 40 + 2 * r.pad_y)
+
+
+def test_masks_and_side_limit_reach_the_run(spark, tmp_path, monkeypatch):
+    sides, plain = [], models.outpainted
+    monkeypatch.setattr(models, "outpainted", lambda *a: sides.append(a[-1]) or plain(*a))
+    image = field_picture(40, 56)
+    raster = spark.createDataFrame([("a", True, None, 56, 40, image.tobytes())], models._RASTER)
+    left = lambda rasters: codecs.pixels_of(rasters).select("image_key", "x", "y", (F.col("x") < 20).alias("mask"))
+    run = pipeline.Run(spark, str(tmp_path), PipelineConfig(AI_OUTPAINT_MAX_SIDE=64), pipeline.Models(masks=left))
+    out = pipeline.extended_layers(run, raster, codecs.pixels_of(raster)).where("is_original").toPandas()
+    assert sides == [64] and set(out.x[out.in_crop_mask] - out.x.min()) == set(range(20))
+
+
 def test_models_are_checked(spark):
     class Wrong:
         def estimate(self, image):
