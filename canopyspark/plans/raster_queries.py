@@ -434,6 +434,22 @@ def ground_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(pt.ground_planes(cloud(spark, sf_dir), 8, 0.5), "nx", "ny", "nz", "offset")
 
 
+GROUND_PLANE = f"""WITH {CLOUD},
+drawn AS (SELECT * FROM pc QUALIFY row_number() OVER (PARTITION BY image_key ORDER BY md5(image_key || ':' || point_id || ':42')) <= 24),
+dealt AS (SELECT *, (row_number() OVER (PARTITION BY image_key ORDER BY point_id) - 1) % 8 AS trial FROM drawn),
+corners AS (SELECT image_key, trial, list({{'x': x, 'y': y, 'z': z}} ORDER BY point_id) AS c FROM dealt GROUP BY image_key, trial HAVING count(*) = 3),
+sides AS (
+    SELECT image_key, trial, c[1] AS a, c[2].x - c[1].x AS ux, c[2].y - c[1].y AS uy, c[2].z - c[1].z AS uz, c[3].x - c[1].x AS vx, c[3].y - c[1].y AS vy, c[3].z - c[1].z AS vz FROM corners),
+crossed AS (SELECT image_key, trial, a, uy * vz - uz * vy AS nx, uz * vx - ux * vz AS ny, ux * vy - uy * vx AS nz FROM sides),
+sized AS (SELECT *, sqrt(nx * nx + ny * ny + nz * nz) AS size FROM crossed),
+planes AS (SELECT image_key, trial, nx / size AS nx, ny / size AS ny, nz / size AS nz, nx / size * a.x + ny / size * a.y + nz / size * a.z AS far FROM sized WHERE size > 1e-12),
+counted AS (
+    SELECT p.image_key, p.trial, p.nx, p.ny, p.nz, p.far, count(*) FILTER (WHERE abs(p.nx * c.x + p.ny * c.y + p.nz * c.z - p.far) <= 0.5) AS inliers
+    FROM planes p JOIN pc c ON p.image_key = c.image_key GROUP BY ALL)
+SELECT image_key, round(nx, 6) + 0.0 AS nx, round(ny, 6) + 0.0 AS ny, round(nz, 6) + 0.0 AS nz, round(far, 6) + 0.0 AS "offset", inliers
+FROM counted QUALIFY row_number() OVER (PARTITION BY image_key ORDER BY inliers DESC, trial) = 1"""
+
+
 def seam_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raster on a mirrored canvas, blurred once in the two pixels next to the original."""
     canvas = px.reflect_padded(rasters(spark, sf_dir), 3, 3)
@@ -448,7 +464,7 @@ SELECT image_key, x, y, round(CASE WHEN near AND NOT own THEN mm ELSE v END, 6)
 
 QUERIES = {
     "seam_feather": (seam_feather, SEAM), "mask_overlay": (mask_overlay, OVERLAY), "look_at_projection": (look_at_projection, LOOK_AT), "contact_sheet": (contact_sheet, CONTACT_SHEET), "seeded_sample": (seeded_sample, SEEDED),
-    "ground_plane": (ground_plane, None),
+    "ground_plane": (ground_plane, GROUND_PLANE),
     "camera_pose": (camera_pose, CAMERA_POSE), "backproject_points": (backproject_points, BACKPROJECT), "depth_minmax_norm": (depth_minmax_norm, DEPTH_NORM),
     "affine_align": (affine_align, AFFINE_ALIGN), "virtual_fov": (virtual_fov, VIRTUAL_FOV), "zbuffer_render": (zbuffer_render, ZBUFFER), "render_coverage": (render_coverage, COVERAGE),
     "tilted_projection": (tilted_projection, TILTED), "hole_fill_nearest": (hole_fill_nearest, HOLE_FILL), "border_crop_decision": (border_crop_decision, BORDER_CROP),
