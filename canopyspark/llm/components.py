@@ -1,35 +1,41 @@
-"""Connected components of an edge table, by contraction: DataFrame joins only, each round's small tables checkpointed."""
+"""Connected components of an edge table, by contraction: DataFrame joins only, each round's tables written."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopyspark.llm.shared import checkpointed
+from canopyspark.llm.shared import Scratch
 
 
-def connected_components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
-    """Columns vertex and component (the smallest vertex reachable) for every vertex of the edges.
+def connected_components(edges: DataFrame, scratch: Scratch, left: str = "a", right: str = "b") -> DataFrame:
+    """Columns vertex and component (one vertex that stands for all that are reachable) for every vertex of the edges.
 
-    Each round sends every vertex to the smallest of itself and its neighbours, rewrites the edges between the results and drops those
-    that became loops; a star is done in one round, a path of length k in about log k. Edges with a null end are ignored, repeated
-    edges and loops change nothing, and an empty table gives an empty result.
+    Each round orders the vertices by a new hash, sends every vertex to the first of itself and its neighbours, rewrites the edges between
+    the results and drops those that became loops. A star is done in one round; as the order is random, whatever the vertices' numbers,
+    about two thirds of a path's vertices are left after a round, and fewer of any denser graph's: a path of 1,000 takes about 10. Tables
+    shrink from round to round, and at the end the rounds' steps are put together from the last to the first. Edges with a null end are
+    ignored, repeated edges and loops change nothing, and an empty table gives an empty result.
     """
     ends = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
-    live = checkpointed(ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    loops = ends.where("a = b").select(F.col("a").alias("vertex"), F.col("a").alias("component"))
-    labels = None
+    live = scratch.written(ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    steps: list[DataFrame] = []
     while not live.isEmpty():
+        order = lambda v, k=len(steps): F.xxhash64(v, F.lit(k))
         both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = checkpointed(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("to")))
-        if labels is None:
-            labels = step.select(F.col("a").alias("vertex"), F.col("to").alias("component"))
-        else:
-            moved = labels.join(step, labels.component == step.a, "left")
-            labels = checkpointed(moved.select("vertex", F.coalesce("to", "component").alias("component")))
-        one = live.join(step, "a").select(F.col("to").alias("x"), "b")
-        two = one.join(step.withColumnRenamed("to", "y"), one.b == step.a).select("x", "y").where("x <> y")
-        live = checkpointed(two.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    if labels is None:
-        return loops.distinct()
-    return labels.union(loops.join(labels.select("vertex"), "vertex", "left_anti").distinct())
+        first = both.groupBy("a").agg(F.min_by("b", order("b")).alias("b"))
+        step = scratch.written(first.select(F.col("a").alias("vertex"), F.when(order("b") < order("a"), F.col("b")).otherwise(F.col("a")).alias("to")), "step")
+        steps.append(step)
+        one = live.join(step, live["a"] == step["vertex"]).select(F.col("to").alias("x"), "b")
+        two = one.join(step, one["b"] == step["vertex"]).select("x", F.col("to").alias("y")).where("x <> y")
+        live = scratch.written(two.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+    loops = ends.where("a = b").select(F.col("a").alias("vertex")).distinct()
+    if not steps:
+        return loops.select("vertex", F.col("vertex").alias("component"))
+    labels = steps.pop()
+    for step in reversed(steps):
+        later = labels.select(F.col("vertex").alias("__v"), F.col("to").alias("__to"))
+        labels = step.join(later, step["to"] == later["__v"], "left").select("vertex", F.coalesce("__to", "to").alias("to"))
+    labels = labels.select("vertex", F.col("to").alias("component"))
+    alone = loops.join(labels.select(F.col("vertex").alias("__v")), F.col("vertex") == F.col("__v"), "left_anti")
+    return labels.union(alone.select("vertex", F.col("vertex").alias("component")))

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopyspark.llm.shared import table, written
+from canopyspark.llm.shared import Scratch, table
 
 #: Licence and notice. Fixed values of the templates.
 TEMPLATES = (
@@ -129,8 +129,9 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     empty result.
     """
     rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "text")
-    found = written(units(rows), "licence-units")
-    return inherited(written(detected(found, threshold), "licence-files"))
+    scratch = Scratch(files.sparkSession, "licence-scan")
+    found = scratch.written(units(rows), "units")
+    return scratch.result(inherited(scratch.written(detected(found, threshold), "files")), "licence-scan-result")
 
 
 #: The tree that the query lays documents out in: source, language, thousands, hundreds; every twentieth document is a licence file, every

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopyspark.llm.shared import table, written
+from canopyspark.llm.shared import Scratch, table
 
 #: A line is boilerplate if it stands on more than this percentage of its host's pages, and on MIN_PAGES of them at least.
 MAX_PERCENT, MIN_PAGES = 3, 3
@@ -44,7 +44,7 @@ def line_dedup(docs: DataFrame, host: str = "source", max_percent: int = MAX_PER
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     site = F.coalesce(F.concat(F.lit("h"), F.col(f"`{host}`").cast("string")), F.lit("n"))
     pages = docs.select(site.alias("host"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    found = written(boilerplate(pages, max_percent, min_pages), "boilerplate-lines")
+    found = Scratch(docs.sparkSession, "line-dedup").written(boilerplate(pages, max_percent, min_pages), "boilerplate")
     entries = found.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
 
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), site.alias("host"))

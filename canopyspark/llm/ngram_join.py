@@ -1,21 +1,22 @@
 """N-gram Jaccard join: size-banded tiles, hashed bitmap signatures, exact sorted-array intersection.
 
-1. Each text becomes a sorted array of 64-bit shingle hashes; copies of one set are one class (128-bit fingerprint and size).
-2. Size bands: two linked sets are in one band or in neighbours. Bands k and k+1 share a scheme that cuts the hash space into segments,
-   more of them than the elements by which two linked sets of these sizes can differ, so at least one segment holds the same elements
-   in both. Segments are join keys; a key's sets form a star with the smallest set id, and stars with one centre form one tile group.
-   A group of any size becomes tiles of bounded size.
-3. Within a tile, parity bitmaps: a bit that differs needs an element that only one set has, so bit counts bound the overlap from above.
-   Pairs that pass connect sets to families.
-4. Families are tiled again, once, with the whole arrays; pairs that pass the bitmap bound are intersected exactly.
+1. Each text becomes a sorted array of 64-bit shingle hashes; copies of one set are one class, named by its 64-bit fingerprint and kept
+   apart by a second one and the size.
+2. Size bands: any two sets that can be linked share a band. A band cuts the hash space into segments, more of them than the elements by
+   which two linked sets of these sizes can differ, so at least one segment holds the same elements in both. Segments are join keys; of a
+   set, only as many as it needs for its own size. A key's sets form a star with the smallest, and stars with one centre are one group.
+3. Groups are compared in tiles of bounded size by parity bitmaps: a bit that differs needs an element that only one set has, so bit
+   counts bound the overlap from above. Pairs that pass connect sets to families.
+4. Families are compared in the same way with the whole arrays: bitmaps first, then exact intersection.
 5. Connected components over the links.
 
-Nothing is approximate but for 64-bit hash collisions, and nothing is capped: large groups become more tiles of bounded size.
+A text is read twice at most: once for its bitmap and keys, which are written, and once more for its array if it is in a family. Nothing is
+approximate but for 64-bit hash collisions, and nothing is capped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,13 +26,28 @@ from pyspark.sql import functions as F
 
 from canopyspark.llm import textarrays as ta
 from canopyspark.llm.components import connected_components
-from canopyspark.llm.shared import small_batches, table, written
-from canopyspark.llm.tiles import joined, runs, tiled
+from canopyspark.llm.shared import Scratch, small_batches, table
+from canopyspark.llm.tiles import connecting_edges, joined, runs, tiled
 
 #: Sets, and elements, in one block of a tile.
 ROWS, UNITS = 512, 2_000_000
 #: Cells of one step of the bitmap comparison.
 CELLS = 1 << 21
+#: By how much the sizes that a band begins with grow from one band to the next.
+GROWTH = 1.6
+
+
+@dataclass(frozen=True)
+class Bands:
+    """Of each band: the sizes that are its own (low to next, exclusive), the largest size that one of them can be linked with, the most
+    elements by which one of its own sets differs from a larger linked one, its segments, and how many of a set's may be empty without
+    further keys."""
+
+    low: np.ndarray
+    high: np.ndarray
+    differ: np.ndarray
+    segments: np.ndarray
+    spare: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -42,24 +58,22 @@ class Threshold:
     num: int = 80
     den: int = 100
 
-    def bands(self, largest: int) -> np.ndarray:
-        """Least size of each band; the last ones are beyond the largest set."""
+    def differ(self, size: np.ndarray) -> np.ndarray:
+        """The most elements by which a set of this size and a linked one that is at least as large differ: both together have less than
+        size * (1 + den / num) elements, and (den - num) / (den + num) of them at most are not shared."""
+        return size * (self.den - self.num) // self.num
+
+    def bands(self, largest: int) -> Bands:
         low = [1]
         while low[-1] <= largest:
-            low.append(max(low[-1] + 1, (low[-1] - 1) * self.den // self.num + 1))
-        low.append(max(low[-1] + 1, (low[-1] - 1) * self.den // self.num + 1))
-        return np.array([*low, max(low[-1] + 1, (low[-1] - 1) * self.den // self.num + 1)])
-
-    def segments(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each scheme (bands k and k+1): the number of segments, and how many of a set's may be empty without further keys."""
-        most = low[2:] - 1
-        differ = 2 * most * (self.den - self.num) // (self.den + self.num)
-        count, spare = differ + 1, np.zeros(len(differ), np.int64)
+            low.append(max(low[-1] + 1, int(low[-1] * GROWTH)))
+        low, top = np.array(low[:-1]), np.array(low[1:]) - 1
+        differ, least = self.differ(top), self.differ(low)
+        spare = np.zeros(len(low), np.int64)
         for _ in range(6):
-            empty = count * np.exp(-low[:-2] / count)
+            empty = (least + 1 + spare) * np.exp(-low / (differ + 1 + spare))
             spare = np.where(differ > 0, np.maximum(1, np.ceil(empty + 2 * np.sqrt(empty))), 0).astype(np.int64)
-            count = differ + 1 + spare
-        return count, spare
+        return Bands(low, top * self.den // self.num, differ, differ + 1 + spare, spare)
 
     def passes(self, a: np.ndarray, b: np.ndarray, shared: np.ndarray) -> np.ndarray:
         return self.den * shared >= self.num * (a + b - shared)
@@ -99,70 +113,67 @@ def _words_for(n: int) -> int:
     return 1 << max(0, int(n - 1).bit_length() - 6)
 
 
-def _folded(maps: list[np.ndarray]) -> np.ndarray:
-    least = min(map(len, maps))
-    return np.stack([np.bitwise_xor.reduce(m.reshape(-1, least), axis=0) for m in maps])
+def _keys(value: np.ndarray, text: np.ndarray, count: np.ndarray, t: Threshold, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Segment keys and the text of each, by text.
+
+    A set of the size s emits its first differ(s) + 1 + spare segments, so a linked pair has at least 1 + spare like ones among those that
+    both emit. Empty segments have no key unless a set has more than spare of them: if at most one of the two has, a like one that isn't
+    empty is left. A set that can differ from a larger one by nothing is linked with its copies alone.
+    """
+    running = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(ta.mixed(value ^ np.uint64(0x7FB5D329728EA185)), out=running[1:])
+    home = np.searchsorted(bands.low, count, "right") - 1
+    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for back in range(len(bands.low)):
+        band = np.maximum(home - back, 0)
+        fits = (count > 0) & (home >= back) & (count <= bands.high[band])
+        if not fits.any():
+            break
+        differ = np.minimum(t.differ(count), bands.differ[band])
+        used = fits & (differ > 0)
+        emitted = np.where(used, differ + 1 + bands.spare[band], 0)
+        # hashes are sorted within a text, so segments of the hash space are runs
+        segment = ((value >> np.uint64(32)) * bands.segments[band][text].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        new = np.ones(len(value), bool)
+        new[1:] = (segment[1:] != segment[:-1]) | (text[1:] != text[:-1])
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(value))
+        keep = segment[begin] < emitted[text[begin]]
+        begin, end = begin[keep], end[keep]
+        owner = text[begin]
+        tag = ta.mixed((band[owner].astype(np.uint64) << np.uint64(32)) + segment[begin].astype(np.uint64))
+        keys.append(ta.mixed(running[end] - running[begin] + tag))
+        owners.append(owner)
+        full = np.bincount(owner, minlength=len(count))
+        for i in np.flatnonzero(emitted - full > bands.spare[band]):
+            empty = np.setdiff1d(np.arange(emitted[i]), segment[begin[owner == i]])
+            keys.append(ta.mixed(ta.mixed((np.uint64(band[i]) << np.uint64(32)) + empty.astype(np.uint64)) + np.uint64(1)))
+            owners.append(np.full(len(empty), i))
+    key, owner = np.concatenate(keys), np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return key[order], owner[order]
 
 
 def profile(docs: DataFrame, t: Threshold) -> DataFrame:
-    """doc_id, n, f1, f2 (fingerprint of the set) and bitmap of every row."""
+    """doc_id, n, f1, f2 (fingerprint of the set), bitmap and segment keys of every row."""
 
     def run(batches):
+        bands = t.bands(1 << 16)
         for batch in batches:
-            for part, value, _, count in _sets(batch, t.n):
+            for part, value, text, count in _sets(batch, t.n):
+                if count.max(initial=0) >= bands.low[-1]:
+                    bands = t.bands(int(count.max()))
                 f1, f2 = _prints(value, count)
                 maps = [bitmap(v, _words_for(len(v))).tobytes() if len(v) else b"" for v in np.split(value, np.cumsum(count)[:-1])]
-                yield pa.record_batch([part.column(0), pa.array(count, pa.int64()), pa.array(f1), pa.array(f2), pa.array(maps, pa.binary())], ["doc_id", "n", "f1", "f2", "bits"])
+                key, owner = _keys(value, text, count, t, bands)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(count)))]).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.view(np.int64)))
+                yield pa.record_batch([part.column(0), pa.array(count, pa.int64()), pa.array(f1), pa.array(f2), pa.array(maps, pa.binary()), keys], ["doc_id", "n", "f1", "f2", "bits", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bits binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bits binary, keys array<long>")
 
 
-def segment_keys(docs: DataFrame, t: Threshold) -> DataFrame:
-    """key, f1: the segment keys of every set, of the two schemes it belongs to."""
-
-    def run(batches):
-        low = t.bands(1 << 16)
-        segments, spare = t.segments(low)
-        for batch in batches:
-            for _, value, text, count in _sets(batch, t.n):
-                if not len(value):
-                    continue
-                if count.max() >= low[-3]:
-                    low = t.bands(int(count.max()))
-                    segments, spare = t.segments(low)
-                f1, _ = _prints(value, count)
-                running = np.zeros(len(value) + 1, np.uint64)
-                np.cumsum(ta.mixed(value ^ np.uint64(0x7FB5D329728EA185)), out=running[1:])
-                band = np.searchsorted(low, count, "right") - 1
-                keys, owners = [], []
-                for back in (0, 1):
-                    scheme = band - back
-                    used = (count > 0) & (scheme >= 0)
-                    of = np.where(used, scheme, 0)
-                    # hashes are sorted within a text, so segments of the hash space are runs
-                    segment = ((value >> np.uint64(32)) * segments[of][text].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-                    new = np.ones(len(value), bool)
-                    new[1:] = (segment[1:] != segment[:-1]) | (text[1:] != text[:-1])
-                    begin = np.flatnonzero(new)
-                    end = np.append(begin[1:], len(value))
-                    owner = text[begin]
-                    tag = ta.mixed((of[owner].astype(np.uint64) << np.uint64(32)) + segment[begin].astype(np.uint64))
-                    key = ta.mixed(running[end] - running[begin] + tag)
-                    keep = used[owner]
-                    keys.append(key[keep])
-                    owners.append(owner[keep])
-                    full = np.bincount(owner, minlength=len(count))
-                    for i in np.flatnonzero(used & (segments[of] - full > spare[of])):
-                        empty = np.setdiff1d(np.arange(segments[of[i]]), segment[begin[owner == i]])
-                        keys.append(ta.mixed(ta.mixed((np.uint64(of[i]) << np.uint64(32)) + empty.astype(np.uint64)) + np.uint64(1)))
-                        owners.append(np.full(len(empty), i))
-                key, owner = np.concatenate(keys), np.concatenate(owners)
-                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(f1[owner])], ["key", "f1"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, f1 long")
-
-
-def stars(keyed: DataFrame) -> DataFrame:
+def stars(keyed: DataFrame, scratch: Scratch) -> DataFrame:
     """tile, f1: each set with the smallest set of each key that it shares; the smallest ones themselves are left out.
 
     Rows are dealt by ranges of (key, f1), so a key that very many sets share is spread over as many partitions as it fills. A partition
@@ -191,59 +202,69 @@ def stars(keyed: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(x, pa.int64()) for x in ([last_key], [last_tile], [last_tile])] + [pa.array([2], pa.int8())], ["key", "tile", "f1", "kind"])
 
     dealt = keyed.repartitionByRange("key", "f1").sortWithinPartitions("key", "f1")
-    found = written(dealt.mapInArrow(run, "key long, tile long, f1 long, kind byte"), "jaccard-runs")
+    found = scratch.written(dealt.mapInArrow(run, "key long, tile long, f1 long, kind byte"), "runs")
     begins = found.where("kind = 2").groupBy("key").agg(F.min("tile").alias("begin"))
     right = found.where("kind = 1").join(F.broadcast(begins), "key").select(F.col("begin").alias("tile"), "f1")
     return found.where("kind = 0").select("tile", "f1").union(right).where("f1 <> tile").distinct()
 
 
-def _possible(maps: np.ndarray, n: np.ndarray, t: Threshold, rows: slice, cols: slice) -> np.ndarray:
-    """Whether bit counts leave it open that two sets are linked."""
-    out = np.zeros((rows.stop - rows.start, cols.stop - cols.start), bool)
-    step = max(1, CELLS // max(1, out.shape[1] * maps.shape[1]))
-    for at in range(rows.start, rows.stop, step):
-        to = min(rows.stop, at + step)
-        apart = np.bitwise_count(maps[at:to, None, :] ^ maps[None, cols, :]).sum(axis=2, dtype=np.int64)
-        a, b = n[at:to, None], n[None, cols]
-        out[at - rows.start : to - rows.start] = t.passes(a, b, np.minimum((a + b - apart) // 2, np.minimum(a, b)))
-    return out
-
-
-def _sides(tile: pa.Table) -> tuple[slice, slice]:
-    """Rows and columns of the tile's matrix: all by all on the diagonal, else block i by block j."""
-    block, i, j = (tile.column(k)[0].as_py() if k != "block" else np.asarray(tile.column(k)) for k in ("block", "i", "j"))
-    if i == j:
-        return slice(0, len(block)), slice(0, len(block))
-    cut = int(np.searchsorted(block, j))
-    return slice(0, cut), slice(cut, len(block))
-
-
-def _square(part: np.ndarray, rows: slice, cols: slice, size: int) -> np.ndarray:
-    whole = np.zeros((size, size), bool)
-    whole[rows, cols] = part
-    return whole | whole.T
-
+class Bitmaps:
+    """Bitmaps of a tile's rows, folded to every width that one of them has, so that two rows are compared at the narrower one's."""
+
+    def __init__(self, n: np.ndarray, maps: list[np.ndarray], t: Threshold):
+        self.n, self.t = n, t
+        self.width = np.array([len(m) for m in maps])
+        self.at: dict[int, np.ndarray] = {}
+        for width in np.unique(self.width):
+            self.at[int(width)] = held = np.zeros((len(maps), width), np.uint64)
+            for row in np.flatnonzero(self.width >= width):
+                held[row] = np.bitwise_xor.reduce(maps[row].reshape(-1, width), axis=0)
+
+    def near(self, row: int, others: np.ndarray) -> np.ndarray:
+        """Whether bit counts leave it open that the row is linked with others."""
+        out = np.zeros(len(others), bool)
+        narrower = np.minimum(self.width[others], self.width[row])
+        for width, maps in self.at.items():
+            own = np.flatnonzero(narrower == width)
+            for part in np.array_split(own, len(own) * width // CELLS + 1):
+                apart = np.bitwise_count(maps[others[part]] ^ maps[row]).sum(axis=1, dtype=np.int64)
+                a, b = self.n[row], self.n[others[part]]
+                out[part] = self.t.passes(a, b, np.minimum((a + b - apart) // 2, np.minimum(a, b)))
+        return out
+
+
+def by_bitmaps(t: Threshold) -> Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]:
+    return lambda tile: Bitmaps(np.asarray(tile.column("n")), [np.frombuffer(b, np.uint64) for b in tile.column("bits").to_pylist()], t).near
+
+
+def by_arrays(t: Threshold) -> Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]:
+    """Exact links of those that the bitmaps leave open."""
+
+    def of(tile: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+        n, sets = np.asarray(tile.column("n")), [np.frombuffer(b, np.uint64) for b in tile.column("hashes").to_pylist()]
+        bound = Bitmaps(n, [bitmap(v, _words_for(len(v))) for v in sets], t)
+
+        def near(row: int, others: np.ndarray) -> np.ndarray:
+            out = bound.near(row, others)
+            open_rows = np.flatnonzero(out)
+            at = 0
+            while at < len(open_rows):
+                sizes = n[others[open_rows[at:]]]
+                to = at + max(1, int(np.searchsorted(np.cumsum(sizes), CELLS, "right")))
+                part, sizes = open_rows[at:to], sizes[: to - at]
+                theirs, own = np.concatenate([sets[r] for r in others[part]]), sets[row]
+                found = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                out[part] = t.passes(len(own), sizes, np.add.reduceat(found, np.cumsum(sizes) - sizes))
+                at = to
+            return out
 
-def bitmap_families(tiles: DataFrame, t: Threshold) -> DataFrame:
-    """a, b: vertices of each tile that possible pairs connect, with the tile's smallest of each component."""
+        return near
 
-    def run(batches):
-        for tile in runs(batches, ["tile", "i", "j"]):
-            if tile.num_rows < 2:
-                continue
-            vertex, n = np.asarray(tile.column("vertex")), np.asarray(tile.column("n"))
-            maps = _folded([np.frombuffer(b, np.uint64) for b in tile.column("bits").to_pylist()])
-            rows, cols = _sides(tile)
-            if rows.stop and cols.stop > cols.start:
-                root = joined(_square(_possible(maps, n, t, rows, cols), rows, cols, len(n)))
-                moved = root != np.arange(len(n))
-                yield pa.record_batch([pa.array(vertex[moved]), pa.array(vertex[root[moved]])], ["a", "b"])
-
-    return tiles.select("tile", "i", "j", "block", "vertex", "n", "bits").mapInArrow(run, "a long, b long")
+    return of
 
 
 def shingle_arrays(docs: DataFrame, t: Threshold) -> DataFrame:
-    """group, vertex, n, copies and the sorted hashes (bytes) of rows with doc_id = vertex whose set has the class's fingerprint."""
+    """tile (the family), vertex (f1), n, copies and the sorted hashes (bytes) of rows whose set has the fingerprint f1, f2 beside it."""
 
     def run(batches):
         for batch in batches:
@@ -251,77 +272,81 @@ def shingle_arrays(docs: DataFrame, t: Threshold) -> DataFrame:
                 f1, f2 = _prints(value, count)
                 same = (f1 == np.asarray(part.column(4))) & (f2 == np.asarray(part.column(5)))
                 sets = [v.tobytes() for v in np.split(value, np.cumsum(count)[:-1])]
-                out = pa.record_batch([part.column(2), part.column(0), pa.array(count, pa.int64()), part.column(3), pa.array(sets, pa.binary())], ["tile", "vertex", "n", "copies", "hashes"])
+                out = pa.record_batch([part.column(2), part.column(4), pa.array(count, pa.int64()), part.column(3), pa.array(sets, pa.binary())], ["tile", "vertex", "n", "copies", "hashes"])
                 yield out.filter(pa.array(same))
 
     return docs.select("doc_id", "text", "family", "copies", "f1", "f2").mapInArrow(run, "tile long, vertex long, n long, copies long, hashes binary")
 
 
-def exact_links(tiles: DataFrame, t: Threshold) -> DataFrame:
-    """a, b, links: each vertex of a tile with the smallest vertex it is connected to there, and the documents it is linked with there."""
+def all_links(tiles: DataFrame, t: Threshold) -> DataFrame:
+    """a, b, links: each vertex of a tile with one it is connected to there, and the number of rows it is linked with there."""
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in runs(batches, ["tile", "i", "j"]):
-            if tile.num_rows < 2:
-                continue
-            vertex, n, copies = (np.asarray(tile.column(k)) for k in ("vertex", "n", "copies"))
-            sets = [np.frombuffer(b, np.uint64) for b in tile.column("hashes").to_pylist()]
-            width = _words_for(int(n.min()))
-            maps = np.stack([bitmap(v, width) for v in sets])
-            rows, cols = _sides(tile)
-            if not rows.stop or cols.stop <= cols.start:
-                continue
-            open_pairs = _possible(maps, n, t, rows, cols)
-            if rows == cols:
-                open_pairs = np.triu(open_pairs, 1)
-            linked = np.zeros_like(open_pairs)
-            for r in np.flatnonzero(open_pairs.any(axis=1)):
-                other = np.flatnonzero(open_pairs[r]) + cols.start
-                own, sizes = sets[r], n[other]
-                theirs = np.concatenate([sets[c] for c in other])
-                found = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
-                shared = np.add.reduceat(found, np.cumsum(sizes) - sizes)
-                linked[r, other - cols.start] = t.passes(len(own), sizes, shared)
-            whole = _square(linked, rows, cols, len(n))
-            root = joined(whole)
-            has = whole.any(axis=1)
-            yield pa.record_batch([pa.array(vertex[has]), pa.array(vertex[root[has]]), pa.array((whole @ copies)[has])], ["a", "b", "links"])
+            vertex, copies, block = (np.asarray(tile.column(k)) for k in ("vertex", "copies", "block"))
+            near = by_arrays(t)(tile)
+            linked = np.zeros((len(vertex), len(vertex)), bool)
+            diagonal = tile.column("i")[0] == tile.column("j")[0]
+            for row in range(len(vertex)):
+                others = np.arange(row + 1, len(vertex))
+                others = others if diagonal else others[block[others] != block[row]]
+                if len(others):
+                    linked[row, others] = near(row, others)
+            linked |= linked.T
+            has = linked.any(axis=1)
+            yield pa.record_batch([pa.array(vertex[has]), pa.array(vertex[joined(linked)[has]]), pa.array((linked @ copies)[has])], ["a", "b", "links"])
 
     return tiles.select("tile", "i", "j", "block", "vertex", "n", "copies", "hashes").mapInArrow(run, "a long, b long, links long")
 
 
-def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links for every row of docs (doc_id long, text string; further columns are ignored).
+def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, count_links: bool = False) -> DataFrame:
+    """doc_id, n_shingles and component_id for every row of docs (doc_id long, text string; further columns are ignored).
 
     A set is the distinct runs of n words (A-Z lower-cased; words are separated by space and \\x09-\\x0D); a shorter text is one run.
-    Two documents are linked if den * intersection >= num * union. component_id is the smallest doc_id reachable, n_links the number of
-    other documents linked directly. A null or blank text has an empty set, its own id as component and no links. Rows that share a
-    doc_id are one document; a null doc_id stays null and is linked through its copies only. An empty table gives an empty result.
+    Two documents are linked if den * intersection >= num * union. component_id is the smallest doc_id reachable. A null or blank text has
+    an empty set, its own id as component and no links. Rows that share a doc_id are one document, and so reach what any of them reaches;
+    a null doc_id stays null and is linked through its copies only. An empty table gives an empty result.
+
+    With count_links there is also n_links, the number of other rows that a row's set is linked with: then every pair of a family is
+    intersected, and a family of m different sets is shuffled m / ROWS times, instead of once.
     """
     t = Threshold(n, num, den)
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
+    scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    known = written(profile(docs, t), "jaccard-sets")
-    classes = known.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("vertex"), F.count("*").alias("copies"), F.first("bits").alias("bits")).where("vertex IS NOT NULL")
-
-    star = written(stars(segment_keys(docs, t)), "jaccard-stars")
-    members = star.union(star.select("tile", F.col("tile").alias("f1")).distinct())
-    members = written(members.join(classes, "f1").select("tile", "vertex", "n", "bits"), "jaccard-members")
-    families = connected_components(bitmap_families(tiled(members, "tile", "vertex", ROWS, UNITS), t))
-    families = families.join(classes.select(F.col("vertex"), "copies", "f1", "f2"), "vertex")
-    arrays = shingle_arrays(docs.join(families.select(F.col("vertex").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2"), "doc_id"), t)
-    arrays = written(arrays.dropDuplicates(["vertex"]), "jaccard-arrays")
-    links = written(exact_links(tiled(arrays, "tile", "vertex", ROWS, UNITS), t), "jaccard-links")
-    found = connected_components(links).join(links.groupBy(F.col("a").alias("vertex")).agg(F.sum("links").alias("links")), "vertex", "left")
-
-    classes = classes.select("f1", "f2", "n", "vertex", "copies").join(found, "vertex", "left")
-    out = known.select("doc_id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"], "left")
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "vertex", "doc_id").alias("component_id"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"),
-    )
+    known = scratch.written(profile(docs, t), "sets")
+    worded = known.where("n > 0")
+    classes = worded.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+
+    star = scratch.written(stars(worded.select(F.explode("keys").alias("key"), "f1"), scratch), "stars")
+    members = star.select("tile", F.col("f1").alias("vertex")).union(star.select("tile", F.col("tile").alias("vertex")).distinct())
+    bitmaps = worded.where("doc_id IS NOT NULL").select(F.col("f1").alias("vertex"), "n", "bits").dropDuplicates(["vertex", "n"])
+    members = scratch.written(members.join(bitmaps, "vertex").select("tile", "vertex", "n", "bits"), "members")
+    families = connected_components(connecting_edges(members, by_bitmaps(t), "bits", ROWS, UNITS, scratch), scratch)
+    families = families.join(classes.where("least IS NOT NULL").select(F.col("f1").alias("vertex"), "f1", "f2", "copies", "least"), "vertex")
+    asked = families.select(F.col("least").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2")
+    arrays = shingle_arrays(docs.join(asked, "doc_id"), t).dropDuplicates(["vertex"])
+    arrays = scratch.written(arrays, "arrays")
+    if count_links:
+        links = scratch.written(all_links(tiled(arrays, "tile", "vertex", ROWS, UNITS), t), "links")
+    else:
+        links = connecting_edges(arrays, by_arrays(t), "hashes", ROWS, UNITS, scratch)
+
+    # rows of one doc_id with different texts are one document
+    several = worded.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("f1").alias("a"), F.max("f1").alias("z")).where("a <> z").select("doc_id", "a")
+    same_id = worded.join(several, "doc_id").select("a", F.col("f1").alias("b"))
+    found = scratch.written(connected_components(links.select("a", "b").union(same_id), scratch), "components")
+
+    named = classes.join(found, F.col("f1") == F.col("vertex"), "left").drop("vertex")
+    least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(least, "component", "left").select("f1", "f2", "n", "copies", F.coalesce("component_id", "least").alias("component_id"))
+    out = known.select("doc_id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")]
+    if count_links:
+        out = out.join(links.groupBy(F.col("a").alias("f1")).agg(F.sum("links").alias("links")), "f1", "left")
+        columns.append((F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"))
+    return scratch.result(out.select(*columns), "ngram-join-result")
 
 
 def near_duplicates_removed(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -348,8 +373,7 @@ shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JO
 links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared.n >= 90 * (x.n + y.n - shared.n)),
 both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(doc_id, root) AS (SELECT a, a FROM both_ways UNION SELECT e.b, r.root FROM reach r JOIN both_ways e ON e.a = r.doc_id WHERE r.root < e.b),
-component AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id),
-degree AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
-SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.root, d.doc_id) AS component_id, coalesce(g.n, 0) AS n_links
-FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component c ON c.doc_id = d.doc_id LEFT JOIN degree g ON g.a = d.doc_id
+component AS (SELECT doc_id, min(root) AS root FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component c ON c.doc_id = d.doc_id
 """

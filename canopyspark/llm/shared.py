@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,36 +15,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Text operators exchange few bytes at a time with Python; a smaller setting of the session stays."""
+    """Lowers the session's limit of Arrow batches to BATCH_BYTES, as text operators exchange whole texts with Python; the limit is read
+    when a plan runs, so it can't be set for one operator alone. A smaller limit, in whatever unit, stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = spark.conf.get(key)
-    if not held.isdigit() or int(held) > BATCH_BYTES:
+    held = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < held <= BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; only where it is unset and Spark runs in one
-    process (tests), one of our own."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        if not re.match(r"local(\[|$)", context.master):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="canopyspark-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named)
-    return named
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage, survives lost executors, keeps column pruning."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df.checkpoint() in the shared folder, for small tables that an iteration replaces each time."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_root(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; where it is unset, one in the warehouse, which driver and executors share as well."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/canopyspark-scratch").rstrip("/")
+
+
+class Scratch:
+    """One run's intermediate tables, in a folder of its own below the shared root. They cut lineage, survive lost executors and keep
+    column pruning. The folder goes with drop, or at the latest when the driver's JVM ends."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.held = spark, 0
+        self.folder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self._path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._store = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._store.mkdirs(self._path)
+        self._store.deleteOnExit(self._path)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """df as a Parquet table of the run."""
+        self.held += 1
+        path = f"{self.folder}/{self.held}-{name}.parquet"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        self._store.delete(self._path, True)
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        """df as a table of another folder, when nothing else of the run is needed any more."""
+        out = Scratch(self.spark, name).written(df, "result")
+        self.drop()
+        return out

@@ -4,18 +4,25 @@ A cascade of filters over a universe of keys: level 0 holds the listed keys; lev
 through by mistake; level 2 the listed keys that level 1 lets through; and so on until nothing is let through by mistake. A key is listed
 if the first level that rejects it has an odd number. For keys of the universe this is exact, so pages are judged where they are read,
 without a join. The universe is every key of every url: its host and all parent domains.
+
+Keys are dealt to shards by hash, and each shard has a cascade of its own, made in one task and kept as a row; a shard holds about
+SHARD_KEYS keys, whatever the size of the list and the corpus. Cascades that fit BROADCAST_BYTES together go to every task that reads
+pages. Larger ones stay where they are: each distinct host's keys are sent to their shards' cascades, and the hosts found are joined to
+the pages.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopyspark.llm.shared import small_batches, table, written
+from canopyspark.llm import textarrays as ta
+from canopyspark.llm.shared import Scratch, small_batches, table
+from canopyspark.llm.tiles import runs
 
 #: Host suffix, path start, verdict. Fixed values of the rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -23,8 +30,10 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 LISTED = ("adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org")
 #: Bits for each key of a level, and hashes of a key.
 BITS_PER_KEY, HASHES = 10, 7
-#: Largest size of all levels together that is sent to the executors; about 25 million listed keys.
-MAX_BYTES = 64 << 20
+#: Keys, listed or not, of one shard, about; its cascade has up to SHARD_KEYS * BITS_PER_KEY / 8 bytes and a few hundredths more.
+SHARD_KEYS = 1_000_000
+#: Size of all cascades up to which they are sent to every task.
+BROADCAST_BYTES = 64 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -54,26 +63,45 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
     return (F.lit(None).cast("string"), F.lit(None).cast("string")) if rule is None else (rule, verdict)
 
 
-@dataclass(frozen=True)
-class Level:
-    seed: int
-    bits: np.ndarray
+def _places(one: np.ndarray, two: np.ndarray, level: int, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word and bit of each hash of keys, given as two 64-bit hashes, in the filter of a level. Keys are hashed anew for each level, so
+    that two that share all bits of one level part in another."""
+    salt = np.uint64(0x9E3779B97F4A7C15 * (level + 1) % (1 << 64))
+    first, step = ta.mixed(one + salt), ta.mixed(two ^ salt) | np.uint64(1)
+    for k in range(HASHES):
+        at = (first + np.uint64(k) * step) % np.uint64(words * 64)
+        yield (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+
+
+def _made(one: np.ndarray, two: np.ndarray, level: int) -> np.ndarray:
+    bits = np.zeros(max(1, -(-len(one) * BITS_PER_KEY // 64)), np.uint64)
+    for word, bit in _places(one, two, level, len(bits)):
+        np.bitwise_or.at(bits, word, bit)
+    return bits
+
+
+def _holds(bits: np.ndarray, level: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether all bits of keys are set."""
+    out = np.ones(len(one), bool)
+    for word, bit in _places(one, two, level, len(bits)):
+        out &= bits[word] & bit != 0
+    return out
+
 
-    def holds(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Whether all bits of keys, given as two 64-bit hashes, are set."""
-        size = np.uint64(len(self.bits) * 64)
-        out = np.ones(len(one), bool)
-        for k in range(HASHES):
-            at = (one + np.uint64(k + 1 + self.seed * HASHES) * (two | np.uint64(1))) % size
-            out &= (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return out
+def cascade(one: np.ndarray, two: np.ndarray, is_listed: np.ndarray) -> list[np.ndarray]:
+    """Levels over the keys of a shard. Each level's keys are a few hundredths of the level before the last, so few are needed."""
+    inside, outside, levels = np.flatnonzero(is_listed), np.flatnonzero(~is_listed), []
+    while len(inside):
+        levels.append(_made(one[inside], two[inside], len(levels)))
+        inside, outside = outside[_holds(levels[-1], len(levels) - 1, one[outside], two[outside])], inside
+    return levels
 
 
-def listed(levels: list[Level], one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def listed(levels: list[np.ndarray], one: np.ndarray, two: np.ndarray) -> np.ndarray:
     out = np.full(len(one), len(levels) % 2 == 1)
     open_keys = np.arange(len(one))
-    for number, level in enumerate(levels):
-        inside = level.holds(one[open_keys], two[open_keys])
+    for number, bits in enumerate(levels):
+        inside = _holds(bits, number, one[open_keys], two[open_keys])
         out[open_keys[~inside]] = number % 2 == 1
         open_keys = open_keys[inside]
     return out
@@ -83,48 +111,30 @@ def _hashed(key: Column) -> list[Column]:
     return [F.xxhash64(key).alias("one"), F.xxhash64(F.concat(F.lit("\x01"), key)).alias("two")]
 
 
-def _through(keys: DataFrame, level: Level) -> DataFrame:
-    """The keys that a level lets through."""
+def _pair(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.asarray(batch.column(k)).view(np.uint64) for k in ("one", "two"))
 
-    def run(batches):
-        for batch in batches:
-            one, two = (np.asarray(batch.column(k)).view(np.uint64) for k in (0, 1))
-            yield batch.filter(pa.array(level.holds(one, two)))
 
-    return keys.mapInArrow(run, keys.schema)
+def cascades(universe: DataFrame, listed_keys: DataFrame, scratch: Scratch, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
+    """shard and levels (array of binary) of every shard with a listed key, over the distinct keys (one column, key) of the universe and
+    the list; and the number of shards. Keys are distinct before they are dealt, so shards are about as large as each other."""
+    names = scratch.written(listed_keys.select(*_hashed(F.col("key"))).distinct(), "listed")
+    others = scratch.written(universe.select(*_hashed(F.col("key"))).distinct().join(names, ["one", "two"], "left_anti"), "others")
+    shards = max(1, -(-max(names.count(), others.count()) // shard_keys))
+    both = names.withColumn("is_listed", F.lit(True)).union(others.withColumn("is_listed", F.lit(False)))
 
+    def run(batches):
+        for shard in runs(batches, ["shard"]):
+            levels = cascade(*_pair(shard), shard.column("is_listed").to_numpy())
+            if levels:
+                yield pa.record_batch([shard.column("shard")[:1].combine_chunks(), pa.array([[x.tobytes() for x in levels]], pa.list_(pa.binary()))], ["shard", "levels"])
 
-def _level(keys: DataFrame, count: int, seed: int) -> Level:
-    """Set bits are gathered as (word, bits), at most one row for each word of the filter."""
-    words = max(1, -(-count * BITS_PER_KEY // 64))
+    dealt = both.withColumn("shard", F.pmod("one", F.lit(shards)).cast("long")).repartition("shard").sortWithinPartitions("shard")
+    return scratch.written(dealt.mapInArrow(run, "shard long, levels array<binary>"), "cascades"), shards
 
-    def run(batches):
-        for batch in batches:
-            one, two = (np.asarray(batch.column(k)).view(np.uint64) for k in (0, 1))
-            at = np.concatenate([(one + np.uint64(k + 1 + seed * HASHES) * (two | np.uint64(1))) % np.uint64(words * 64) for k in range(HASHES)]) if len(one) else one
-            yield pa.record_batch([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], ["word", "bits"])
-
-    set_bits = keys.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(words, np.uint64)
-    bits[set_bits["word"].to_numpy(np.int64)] = set_bits["bits"].to_numpy(np.int64).view(np.uint64)
-    return Level(seed, bits)
-
-
-def cascade(universe: DataFrame, listed_keys: DataFrame) -> list[Level]:
-    """Levels over the distinct keys (one column, key) of the universe and the list. Each level's keys are a few hundredths of the level
-    before the last, so few levels are needed; the size of all is checked against MAX_BYTES before any bits are gathered."""
-    names = written(listed_keys.select(*_hashed(F.col("key"))).distinct(), "bloom-listed")
-    others = written(universe.select(*_hashed(F.col("key"))).distinct().join(names, ["one", "two"], "left_anti"), "bloom-others")
-    inside, outside, levels, held = names, others, [], 0
-    count = inside.count()
-    while count:
-        held += count * BITS_PER_KEY // 8
-        if held > MAX_BYTES:
-            raise ValueError(f"the cascade takes over {MAX_BYTES} bytes; judge with listed_by_join")
-        levels.append(_level(inside, count, len(levels)))
-        inside, outside = written(_through(outside, levels[-1]), "bloom-through"), inside
-        count = inside.count()
-    return levels
+
+def _levels(held: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in held]
 
 
 def url_filter(pages: DataFrame, listed_domains: DataFrame, rules=RULES) -> DataFrame:
@@ -133,7 +143,7 @@ def url_filter(pages: DataFrame, listed_domains: DataFrame, rules=RULES) -> Data
     The longest fitting rule decides; without one, a url is blocked if its host or a parent domain is in listed_domains (column key), and
     else allowed. A null url, or one without ://, has an empty host and path, no rule, and is allowed. A null page_id stays null; repeated
     rows are judged one by one; null and repeated listed keys change nothing; empty tables give an empty result, or no blocks; other
-    columns are ignored. A list too large for the cascade's bound is looked up by a join of the distinct hosts instead.
+    columns are ignored.
     """
     small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -141,30 +151,63 @@ def url_filter(pages: DataFrame, listed_domains: DataFrame, rules=RULES) -> Data
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule"))
     hosts = rows.select("host").distinct()
     names = listed_domains.select(F.col("key").cast("string").alias("key")).dropna()
-    try:
-        levels = cascade(hosts.select(F.explode(domains(F.col("host"))).alias("key")), names)
-    except ValueError:
-        bad = hosts.select("host", F.explode(domains(F.col("host"))).alias("key")).join(names.distinct(), "key", "left_semi").select("host").distinct()
-        judged = rows.join(bad.withColumn("listed", F.lit(True)), "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
-    else:
+    scratch = Scratch(pages.sparkSession, "url-filters")
+    made, shards = cascades(hosts.select(F.explode(domains(F.col("host"))).alias("key")), names, scratch)
+    size = made.agg(F.coalesce(F.sum(F.aggregate("levels", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
         keys = F.transform(domains(F.col("host")), lambda key: F.struct(*_hashed(key)))
-        judged = _judged(rows.withColumn("keys", keys), levels)
+        judged = _judged(rows.withColumn("keys", keys), {r["shard"]: _levels(r["levels"]) for r in made.collect()}, shards)
+    else:
+        bad = scratch.written(_sent(hosts, made, shards).distinct(), "hosts").withColumn("listed", F.lit(True))
+        judged = rows.join(bad, "host", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
     return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
 
 
-def _judged(rows: DataFrame, levels: list[Level]) -> DataFrame:
+def _judged(rows: DataFrame, held: dict[int, list[np.ndarray]], shards: int) -> DataFrame:
+    """rows with listed: whether one of a row's keys is."""
+
     def run(batches):
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("keys"))
             flat = lists.flatten()
             one, two = (np.asarray(flat.field(k)).view(np.uint64) for k in (0, 1))
+            shard = np.mod(one.view(np.int64), shards)
+            found = np.zeros(len(one), bool)
+            for k in np.unique(shard):
+                if int(k) in held:
+                    own = np.flatnonzero(shard == k)
+                    found[own] = listed(held[int(k)], one[own], two[own])
             row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-            hit = np.bincount(row[listed(levels, one, two)], minlength=len(lists)) > 0
+            hit = np.bincount(row[found], minlength=len(lists)) > 0
             yield pa.record_batch([*(batch.column(k) for k in range(5)), pa.array(hit)], [*batch.schema.names[:5], "listed"])
 
     return rows.mapInArrow(run, "page_id long, host string, path string, rule string, by_rule string, listed boolean")
 
 
+def _sent(hosts: DataFrame, made: DataFrame, shards: int) -> DataFrame:
+    """The hosts with a listed key. A shard's keys follow its cascade in a partition and are judged batch by batch."""
+
+    def run(batches):
+        levels, last = [], None
+        for batch in batches:
+            shard = np.asarray(batch.column("shard"))
+            cuts = np.flatnonzero(np.diff(shard)) + 1
+            for part in (batch.slice(int(a), int(b - a)) for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True) if b > a):
+                own = part.column("shard")[0].as_py()
+                if own != last:
+                    levels, last = [], own
+                if part.column("levels")[0].is_valid:
+                    levels, part = _levels(part.column("levels")[0].as_py()), part.slice(1)
+                if levels and part.num_rows:
+                    yield pa.record_batch([part.column("host").filter(pa.array(listed(levels, *_pair(part))))], ["host"])
+
+    keys = hosts.select("host", F.explode(F.transform(domains(F.col("host")), lambda key: F.struct(*_hashed(key)))).alias("k"))
+    keys = keys.select(F.pmod("k.one", F.lit(shards)).cast("long").alias("shard"), "host", "k.one", "k.two", F.lit(None).cast("array<binary>").alias("levels"))
+    none = F.lit(None)
+    rows = keys.union(made.select("shard", none.cast("string").alias("host"), none.cast("long").alias("one"), none.cast("long").alias("two"), "levels"))
+    return rows.repartition("shard").sortWithinPartitions("shard", F.col("levels").isNull()).mapInArrow(run, "host string")
+
+
 def op6_url_filters(spark, sf_dir: str) -> DataFrame:
     """All of pages, by the fixed rules and the listed domains."""
     return url_filter(table(spark, sf_dir, "pages"), spark.createDataFrame([(x,) for x in LISTED], "key string"))

@@ -235,12 +235,17 @@ def test_embedding_and_windows_agree():
     assert got == want and (50, 0) in got
 
 
-def test_url_cascade_is_exact(spark):
+@pytest.mark.parametrize(("shard_keys", "most"), [(url_filters.SHARD_KEYS, url_filters.BROADCAST_BYTES), (200, url_filters.BROADCAST_BYTES), (200, 0)])
+def test_url_cascade_is_exact(spark, monkeypatch, shard_keys, most):
+    """In one shard and in many, sent to every task or not."""
+    monkeypatch.setattr(url_filters.cascades, "__defaults__", (shard_keys,))
+    monkeypatch.setattr(url_filters, "BROADCAST_BYTES", most)
     rng = random.Random(1)
     hosts = [f"{rng.choice(['a', 'b', 'www'])}{k}.s{k % 50}.{rng.choice(['example.com', 'example.org', 'net'])}" for k in range(3000)]
     listed = [h for k, h in enumerate(hosts) if k % 17 == 0] + ["s3.example.com", None, "s3.example.com"]
     urls = [(k, f"https://{h.upper()}/{rng.choice(['en', 'de', 'fr'])}/{k}?q=/x") for k, h in enumerate(hosts)] + [(9001, None), (9002, "no scheme"), (None, "x://a.net"), (9003, "http://Bad.s3.example.com#/fr/")]
     got = {r["page_id"]: r for r in url_filters.url_filter(spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame([(x,) for x in listed], "key string")).collect()}
+    assert len(got) == len(urls)
     for k, url in urls:
         m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
         host, path = (lower(m[1]), m[2]) if m else ("", "")
@@ -251,12 +256,6 @@ def test_url_cascade_is_exact(spark):
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, fits[0][1] if fits else None, verdict)
 
 
-def test_url_list_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(url_filters, "MAX_BYTES", 0)
-    pages = spark.createDataFrame([(1, "http://x.bad.com/"), (2, "http://good.com/")], "page_id long, url string")
-    assert {r["page_id"]: r["verdict"] for r in url_filters.url_filter(pages, spark.createDataFrame([("bad.com",)], "key string")).collect()} == {1: "block", 2: "allow"}
-
-
 HTML = {
     "<p>one<p>two": "one\n\ntwo",
     "<ul><li>a<li>b<ul><li>c</ul><li>d</ul>": "- a\n- b\n  - c\n- d",
@@ -434,6 +433,46 @@ def test_ngram_join(spark, texts, n, num):
         assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), want[r["doc_id"]])
 
 
+@pytest.mark.parametrize(("n", "num"), [(3, 90), (2, 80)])
+def test_ngram_join_of_large_groups(spark, monkeypatch, n, num):
+    """Groups of several blocks: chains whose ends aren't linked, and documents that share half of their words and no more."""
+    monkeypatch.setattr(ngram_join, "ROWS", 8)
+    rng = random.Random(n)
+    rows, words, passage = {}, [f"w{k}" for k in range(90)], [f"p{k}" for k in range(60)]
+    for k in range(150):
+        if k % 50 == 0:
+            words = [f"w{k}-{j}" for j in range(90)]
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"new{k}"
+        rows[k] = " ".join(words)
+        rows[1000 + k] = " ".join(passage + [f"o{k}-{j}" for j in range(rng.randint(5, 60))])
+    sets = {d: _shingles(x, n) for d, x in rows.items()}
+    want = _components(sets, num, 100)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_jaccard_join(spark.createDataFrame([*rows.items()], "doc_id long, text string"), n, num, 100).collect()}
+    assert got == want and 3 < len(set(want.values())) < 250
+
+
+def test_segment_keys_lose_no_linked_pair():
+    """Any two linked sets, of all small sizes and some large ones, share a key."""
+    rng = np.random.default_rng(8)
+    for num in (50, 80, 90, 97):
+        t = ngram_join.Threshold(3, num, 100)
+        bands = t.bands(1 << 16)
+        for size in [*range(1, 60), 137, 600, 3000]:
+            for _ in range(6):
+                base = rng.integers(1, 1 << 63, size, dtype=np.uint64)
+                shared = int(rng.integers(1, size + 1))
+                most = int((100 * shared) // num) + 1
+                total = int(rng.integers(shared, most + 1))
+                cut = int(rng.integers(0, total - shared + 1))
+                one, two = np.sort(np.append(base[:shared], rng.integers(1, 1 << 63, cut, dtype=np.uint64))), np.sort(np.append(base[:shared], rng.integers(1, 1 << 63, total - shared - cut, dtype=np.uint64)))
+                if 100 * shared < num * total or cut == 0 == total - shared:
+                    continue
+                text = np.repeat([0, 1], [len(one), len(two)])
+                key, owner = ngram_join._keys(np.concatenate([one, two]), text, np.array([len(one), len(two)]), t, bands)
+                assert set(key[owner == 0]) & set(key[owner == 1])
+
+
 def test_license_inheritance(spark):
     rows = [
         (1, "a/LICENSE", "Released under the MIT License"), (2, "a/b/x.py", "code"), (3, "a/b/c/LICENSE.txt", "first line\nLicensed under the Apache License, Version 2.0.\nmore"), (4, "a/b/c/d/y.py", "z"),

@@ -4,7 +4,7 @@ use inside."""
 import pytest
 from pyspark.sql import functions as F
 
-from canopyspark.llm import bpe, decontamination, html_text, license_scan, line_dedup, ngram_join, quality, secrets, token_counts, url_filters
+from canopyspark.llm import bpe, components, decontamination, html_text, license_scan, line_dedup, ngram_join, quality, secrets, shared, token_counts, url_filters
 
 #: Names that operators give their own columns.
 CLASHING = "host row kept hit keys salt line lines n text_ vertex component tile f1 f2 bits a b key one two level word bits_ findings kind best edits item_id score own dir up depth origin __gone __hit n_words label family copies".split()
@@ -115,5 +115,35 @@ def test_large_group_makes_bounded_tiles(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "ROWS", 16)
     base = [f"w{k}" for k in range(60)]
     rows = [(k, " ".join([*base[:59], f"x{k}"]), "en", "s", 1) for k in range(120)]
-    got = ngram_join.ngram_jaccard_join(_docs(spark, rows)).collect()
+    got = ngram_join.ngram_jaccard_join(_docs(spark, rows), count_links=True).collect()
     assert {r["component_id"] for r in got} == {0} and all(r["n_links"] == 119 for r in got)
+    assert {r["component_id"] for r in ngram_join.ngram_jaccard_join(_docs(spark, rows)).collect()} == {0}
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    one, two = ([f"{c}{k}" for k in range(60)] for c in "ab")
+    rows = [(5, " ".join(one), "en", "s", 1), (5, " ".join(two), "en", "s", 1), (6, " ".join([*one, "x"]), "en", "s", 1), (7, " ".join([*two, "y"]), "en", "s", 1), (8, " ".join(two[:30]), "en", "s", 1)]
+    got = sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in ngram_join.ngram_jaccard_join(_docs(spark, rows), 3, 90, 100, count_links=True).collect())
+    assert got == [(5, 5, 1), (5, 5, 1), (6, 5, 1), (7, 5, 1), (8, 8, 0)]
+
+
+def test_components_of_a_long_path(spark):
+    """Ids that rise along a chain, as of revisions of a page, take few rounds."""
+    scratch = shared.Scratch(spark, "components-test")
+    edges = spark.range(1000).selectExpr("id AS a", "id + 1 AS b").union(spark.sql("SELECT 5000L, 5000L UNION ALL SELECT null, 3L UNION ALL SELECT 7000L, 6000L"))
+    got = {}
+    for r in components.connected_components(edges, scratch).collect():
+        got.setdefault(r["component"], set()).add(r["vertex"])
+    assert sorted(got.values(), key=len) == [{5000}, {6000, 7000}, set(range(1001))] and scratch.held <= 1 + 2 * 12
+    assert components.connected_components(spark.createDataFrame([], "a long, b long"), scratch).collect() == []
+    scratch.drop()
+
+
+def test_smaller_limit_of_batches_stays(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key)
+    for given, want in (("64k", "64k"), ("100m", str(shared.BATCH_BYTES)), ("1000", "1000")):
+        spark.conf.set(key, given)
+        shared.small_batches(spark)
+        assert spark.conf.get(key) == want
+    spark.conf.set(key, held)
