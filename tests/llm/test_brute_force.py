@@ -299,7 +299,7 @@ WRAPPED_HTML = {
     "<table><tr><form><td>a</td><td>b</td></form><td>c</td></tr><tr><td>long<td>d</table>": "a     b  c\nlong  d",
     "<table><form><tr><th>k<tr><td>v</form></table>z": "k\nv\n\nz",
     "<table><tbody>one<tr>two<td>x</td><b>three</b> <i>four</i></tr></tbody>five</table>": "x\n\none two three four five",
-    "<table><tr><div hidden><td>no</td></div><td>yes<table><form><tr><td>in</form></table></td></tr></table>": "yes in",
+    "<table><tr><div hidden><td>no</td></div><td>yes<table><form><tr><td>in</form></table></td></tr></table>": "yes\nin",
     "<table><caption>C</caption><tr><table><tr><td>inner</table></table>": "C\n\ninner",
     "a<textarea rows=2>\nb &lt;i>\n  c</textarea>d": "a\nb <i>\n  c\nd",
     "pick <select><optgroup label=g><option>one<option selected>two</select> end": "pick\none\ntwo\nend",
@@ -311,6 +311,61 @@ def test_html_wrapped_cells_and_controls(page):
     assert html_text.visible_text(page) == WRAPPED_HTML[page]
 
 
+SEEN_HTML = {
+    '<p title="the hidden gem">text</p>': "text",
+    '<div class="nav hidden lg:flex">menu</div>': "menu",
+    '<div data-x="a style=display:none">v</div>': "v",
+    "<p aria-hidden=true>on screen</p>": "on screen",
+    "<p HIDDEN>no</p><p hidden=''>no</p><p hidden=until-found>no</p>yes": "yes",
+    "<div style='visibility: hidden'>no <b style='visibility:visible'>yes <i>this</i></b> no</div>": "yes this",
+    "<div style='color:red; DISPLAY : none !important'>no<b style=display:block>no</b></div>yes": "yes",
+    "<div style='display:none;display:block'>yes</div>": "yes",
+    "<a title=it's>link</a>": "link",
+    "<dialog>no</dialog><dialog open>yes</dialog>": "yes",
+    "<noscript><p>no</noscript>yes<object><div>no</object>, too": "yes, too",
+    "a<svg width=1/><p>b<svg><path/><text>no</text></svg>": "a\n\nb",
+    "<h1>one<h2>two</h3>three": "one\n\ntwo\n\nthree",
+    "<div><span>a<div>b</span>c</div>d": "a\nbc\nd",
+    "<ul><li>a<table><tr><td><li>in</table><li>b</ul>": "- a\n\n- in\n\n- b",
+    "<a href='x": "",
+    "a <a href=\"x>b</a> c": "a b c",
+    "<textarea>a <b>": "a <b>",
+}
+
+
+@pytest.mark.parametrize("page", list(SEEN_HTML))
+def test_html_visibility_and_ends(page):
+    assert html_text.visible_text(page) == SEEN_HTML[page]
+
+
+def test_html_spans_and_cells_of_several_lines():
+    assert html_text.visible_text("<table><tr><th colspan=2>Head<th>Z<tr><td>aa<td>b<td>c</table>") == "Head   Z\naa  b  c"
+    assert html_text.visible_text("<table><tr><td rowspan=2>one<td>two<tr><td>three<tr><td colspan=2>a long text over both<tr><td rowspan=0>x<td>y<tr><td>z</table>") == (
+        "one  two\n     three\na long text over both\nx    y\n     z"
+    )
+    assert html_text.visible_text("<table><tr><td><pre>p1\n  p2</pre><td>q<br>r<tr><td>s</table>") == "p1    q\n  p2  r\ns"
+    nested = "<table><tr><td>out<td><table><tr><td>a<td>b<tr><td>cc<td>d</table><td>end</table>"
+    assert html_text.visible_text(nested) == "out  a   b  end\n     cc  d"
+
+
+def test_html_takes_linear_time():
+    """Pages of about a megabyte that are made to be slow."""
+    import time
+
+    slow = [
+        "<a '" * 250_000, "<a x='" * 170_000, "<a x=\"<a x='" * 90_000, "<" * 10**6, "</" * 500_000, "<!--" * 250_000, "<!" * 500_000, "<p " * 330_000, "<script>" * 125_000, "<textarea>" * 100_000,
+        "<div>" * 200_000, "<ul><li>x" * 100_000, "<b><p>" * 160_000, "<p><table>" * 100_000, "<table><tr><td>x" * 60_000, "<a href=" * 120_000, "<i" + " " * 10**6,
+        "<table><tr>" + "<td rowspan=9999>x" * 25_000 + "<tr><td>y" * 50_000 + "</table>", "<table>" + "<tr><td colspan=999>x<td>" * 40_000, "<table><tr><td>" + "word " * 9000 + "<td>x" + "<tr><td>a<td>b" * 50_000,
+    ]
+    for page in slow:
+        began = time.perf_counter()
+        text = html_text.visible_text(page)
+        assert time.perf_counter() - began < 12 and len(text) < 40 * len(page), page[:30]
+    assert "no" not in html_text.visible_text("<div>" * 10_000 + "<p hidden>no</p>" + "<div style=display:none>" + "<div>" * 10_000 + "no")
+    marks = html_text.visible_text("<div>" * 5000 + "<ul><li>a<li>b</ul><ol start=7><li>c<table><tr><td>d<td>e</table></ol>")
+    assert marks == "- a\n- b\n\n7. c\n\nd  e"
+
+
 def test_html_deep_and_long():
     deep = "<div>" * 30000 + "in" + "</div>" * 30000
     assert html_text.visible_text(deep).strip() == "in"
