@@ -325,7 +325,8 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     members = scratch.written(members.join(bitmaps, "vertex").select("tile", "vertex", "n", "bits"), "members")
     families = connected_components(connecting_edges(members, by_bitmaps(t), "bits", ROWS, UNITS, scratch), scratch)
     families = families.join(classes.where("least IS NOT NULL").select(F.col("f1").alias("vertex"), "f1", "f2", "copies", "least"), "vertex")
-    asked = families.select(F.col("least").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2")
+    # written, so that its size is known and texts are shuffled only where it is too large to broadcast
+    asked = scratch.written(families.select(F.col("least").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2"), "asked")
     arrays = shingle_arrays(docs.join(asked, "doc_id"), t).dropDuplicates(["vertex"])
     arrays = scratch.written(arrays, "arrays")
     if count_links:
