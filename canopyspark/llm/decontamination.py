@@ -6,6 +6,10 @@ samples a few steps; two strings meet in it if the sampled outputs are equal. Sy
 digits, A-Z lower-cased). Every word of a document starts a window; a window has the length of the item it is held against. Items are put
 in length classes, and samples lie in the first steps, where the pointer can't yet be past the end of the shortest window of the class.
 
+Where many items share a key, as items with one prompt in front do, that key's items are walked from their ends instead, and then sampled
+at more steps, until few share one. Tables are added until random edits of a class's items meet with the target's frequency; for a class that MAX_TABLES don't bring there, exact
+candidates are added: of an item with k edits, one of k + 1 segments stands in the text as it is.
+
 Walks over long strings with many edits drift apart for good, so an item of more than LONGEST words is searched for in pieces of at most
 PIECE words. If the item has at most its allowed edits in a text, one of its pieces has at most its own; a piece that is found so is
 verified, and then the whole item around it.
@@ -34,8 +38,9 @@ from canopyspark.llm.shared import small_batches, table
 MAX_EDIT_PERCENT = 20
 #: Share of items with so many edits that their windows are to meet in some table.
 TARGET_RECALL = 0.95
-#: Steps sampled by a table; tables of a length class after which the target counts as out of reach, which is an error.
-SAMPLED, MAX_TABLES = 2, 1000
+#: Steps sampled by a table; items that may share a key before it is made of more steps; tables of a length class after which exact
+#: candidates are added if the target isn't met.
+SAMPLED, SHARED, MAX_TABLES = 2, 8, 64
 #: Words of an item that is searched for whole; words of a piece of a longer one.
 LONGEST, PIECE = 127, 63
 #: Cells of the rows that are verified at once.
@@ -84,10 +89,12 @@ def _mark(key: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Table:
-    """Sampled steps of one walk for one length class; marks[i]: which prefixes of i + 1 outputs items have; keys in order, with their items."""
+    """Sampled steps of one walk for one length class; marks[i]: which prefixes of i + 1 outputs items have; keys in order, with their
+    items; back: whether strings are walked from their ends."""
 
     walk: int
     gram: int
+    back: bool
     steps: list[int]
     marks: list[np.ndarray] = field(default_factory=list)
     keys: np.ndarray | None = None
@@ -97,7 +104,7 @@ class Table:
 @dataclass
 class Index:
     """words, allowed: of the strings searched for, items or pieces of them; item, offset: the item of each, and where in it it starts;
-    whole, whole_allowed: of the items."""
+    whole, whole_allowed: of the items; segments: by length in words, hashes in order with the string and the place in it of each."""
 
     ids: np.ndarray
     words: list[np.ndarray]
@@ -107,6 +114,7 @@ class Index:
     offset: np.ndarray
     whole: list[np.ndarray]
     whole_allowed: np.ndarray
+    segments: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
 
 
 def _edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
@@ -124,7 +132,8 @@ def _edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarr
 
 def build(ids: list, texts: list[str], percent: int = MAX_EDIT_PERCENT, target: float = TARGET_RECALL) -> Index:
     """Tables for items with a word. Each length class gets as many tables as random edits of its own strings (items, or pieces of long
-    ones; about 200, evenly picked, with as many edits as are allowed) need in order to meet in some table with the target's frequency."""
+    ones; about 200, evenly picked, with as many edits as are allowed) need in order to meet in some table with the target's frequency, or
+    MAX_TABLES and exact candidates."""
     rng = np.random.default_rng(20)
     words = item_words(texts)
     keep = [k for k, w in enumerate(words) if len(w)]
@@ -138,31 +147,77 @@ def build(ids: list, texts: list[str], percent: int = MAX_EDIT_PERCENT, target:
     for k, w in enumerate(words):
         classes.setdefault(int(len(w)).bit_length(), []).append(k)
     tables: list[Table] = []
+    exact: list[int] = []
     for members in classes.values():
         least = min(len(words[k]) for k in members)
         gram = 2 if least >= 4 else 1
         steps = least + 1 - gram
-        some = members[:: max(1, len(members) // 200)]
-        tries = [symbols(words[k], gram) for k in some], [symbols(_edited(words[k], int(allowed[k]), rng), gram) for k in some]
-        own = [symbols(words[k], gram) for k in members]
+        some = np.arange(0, len(members), max(1, len(members) // 200))
+        own = [[symbols(words[k][::way], gram) for k in members] for way in (1, -1)]
+        changed = [_edited(words[members[k]], int(allowed[members[k]]), rng) for k in some]
+        edited = [[symbols(x[::way], gram) for x in changed] for way in (1, -1)]
         missed = np.ones(len(some), bool)
         for walk in range(MAX_TABLES):
-            t = Table(walk, gram, sorted(rng.choice(steps, min(SAMPLED, steps), replace=False).tolist()))
-            prefix = np.zeros(len(members), np.uint64)
-            for i, column in enumerate(embedded(own, walk, steps)[:, t.steps].T):
-                prefix = ta.mixed(prefix + column) if i else column
-                t.marks.append(np.zeros(_MARKS, bool))
-                t.marks[-1][_mark(prefix)] = True
-            order = np.argsort(prefix, kind="stable")
-            t.keys, t.items = prefix[order], np.array(members)[order]
-            tables.append(t)
-            before, after = (embedded(x, walk, steps)[:, t.steps] for x in tries)
-            missed &= (before != after).any(axis=1)
+            outputs = [embedded(x, walk, steps) for x in own]
+            same = [x[some] == embedded(y, walk, steps) for x, y in zip(outputs, edited, strict=True)]
+            for t, cold in _tables(outputs, walk, gram, np.array(members), rng.permutation(steps)):
+                tables.append(t)
+                missed &= ~(cold[some] & same[t.back][:, t.steps].all(axis=1))
             if missed.mean() <= 1 - target:
                 break
         else:
-            raise ValueError(f"{MAX_TABLES} tables find {1 - missed.mean():.3f} of the edited items of {least} words and more, not {target}")
-    return Index(np.array([ids[k] for k in keep], np.int64), words, allowed, tables, item, offset, whole, whole_allowed)
+            exact += members
+    index = Index(np.array([ids[k] for k in keep], np.int64), words, allowed, tables, item, offset, whole, whole_allowed)
+    index.segments = _segments(exact, words, allowed)
+    return index
+
+
+def _tables(outputs: list[np.ndarray], walk: int, gram: int, members: np.ndarray, order: np.ndarray) -> Iterator[tuple[Table, np.ndarray]]:
+    """Tables of one walk, and which members each has: all whose key few others share, then the others from their ends, then with twice
+    the steps, and so on. outputs: of strings, and of strings from their ends."""
+    left, count, back = np.ones(len(members), bool), min(SAMPLED, len(order)), False
+    while left.any():
+        rows = np.flatnonzero(left)
+        t = Table(walk, gram, back, sorted(order[:count].tolist()))
+        prefixes = [outputs[back][rows, t.steps[0]]]
+        for step in t.steps[1:]:
+            prefixes.append(ta.mixed(prefixes[-1] + outputs[back][rows, step]))
+        _, of, sharing = np.unique(prefixes[-1], return_inverse=True, return_counts=True)
+        few = (sharing[of] <= SHARED) | back & (count == len(order))
+        t.marks = [np.zeros(_MARKS, bool) for _ in prefixes]
+        for mark, prefix in zip(t.marks, prefixes, strict=True):
+            mark[_mark(prefix[few])] = True
+        place = np.argsort(prefixes[-1][few], kind="stable")
+        t.keys, t.items = prefixes[-1][few][place], members[rows[few]][place]
+        cold = np.zeros(len(members), bool)
+        cold[rows[few]] = True
+        if few.any():
+            yield t, cold
+        left &= ~cold
+        count, back = (min(len(order), 2 * count), False) if back else (count, True)
+
+
+def _windows(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of so many words."""
+    total = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for k in range(size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(total)]
+    return ta.mixed(total)
+
+
+def _segments(members: list[int], words: list[np.ndarray], allowed: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    found: dict[int, list[tuple]] = {}
+    for k in members:
+        at = 0
+        for part in np.array_split(words[k], min(len(words[k]), int(allowed[k]) + 1)):
+            found.setdefault(len(part), []).append((_windows(part, len(part))[0], k, at))
+            at += len(part)
+    out = {}
+    for size, rows in found.items():
+        key, string, place = (np.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True))
+        order = np.argsort(key, kind="stable")
+        out[size] = key[order], string[order], place[order]
+    return out
 
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -173,12 +228,13 @@ def candidates(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]
     """Window starts and items that meet in a table; words may hold many texts in a row, as exact verification follows."""
     found = [np.zeros(0, np.int64)]
     kinds = {}
-    for gram in {t.gram for t in index.tables}:
-        symbol = np.append(symbols(words, gram), np.uint64(0))
-        kinds[gram] = symbol, _mark(symbol[:-1]).astype(np.uint16)
+    for gram, back in {(t.gram, t.back) for t in index.tables}:
+        symbol = np.append(symbols(words[::-1] if back else words, gram), np.uint64(0))
+        kinds[gram, back] = symbol, _mark(symbol[:-1]).astype(np.uint16)
     last = len(words)
+    length = np.fromiter(map(len, index.words), np.int64, len(index.words))
     for t in index.tables:
-        symbol, mark = kinds[t.gram]
+        symbol, mark = kinds[t.gram, t.back]
         place = np.flatnonzero(t.marks[0][mark])
         at, key = place, symbol[place]
         for i in range(1, len(t.steps)):
@@ -197,7 +253,19 @@ def candidates(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]
             high = high - moves(symbol[high], t.walk, j)
             some = low <= high
             low, high, item = low[some], high[some], item[some]
+        if t.back:  # windows end here; edits move their starts
+            low, high = last - high - length[item] - index.allowed[item], last - low - length[item] + index.allowed[item]
+            low, high = np.clip(low, 0, last - 1), np.clip(high, 0, last - 1)
         found.append(_ranges(low, high - low + 1) * len(index.words) + np.repeat(item, high - low + 1))
+    for size, (keys, string, offset) in index.segments.items():
+        key = _windows(words, size)
+        first = np.searchsorted(keys, key, "left")
+        count = np.searchsorted(keys, key, "right") - first
+        row = _ranges(first, count)
+        start, far = np.repeat(np.arange(len(key)), count) - offset[row], index.allowed[string[row]]
+        low = np.clip(start - far, 0, last - 1)
+        wide = np.clip(start + far, low, last - 1) - low + 1
+        found.append(_ranges(low, wide) * len(index.words) + np.repeat(string[row], wide))
     pairs = np.unique(np.concatenate(found))
     return pairs // max(1, len(index.words)), pairs % max(1, len(index.words))
 

@@ -202,10 +202,44 @@ def test_decontamination_of_long_items(spark, size):
     assert all(0 < got[d][1] <= size // 5 for d in edited if d in got) and all(d not in got for d in docs if d // 3 % 4 == 3)
 
 
-def test_a_missed_target_is_an_error(monkeypatch):
-    monkeypatch.setattr(decontamination, "MAX_TABLES", 1)
-    with pytest.raises(ValueError):
-        decontamination.build([*range(50)], [" ".join(f"w{k * 40 + j}" for j in range(40)) for k in range(50)])
+@pytest.mark.parametrize(("size", "tables"), [(k, None) for k in (1, 3, 5, 7, 10, 20, 45, 100, 180, 400, 800)] + [(30, 1), (7, 1)])
+def test_decontamination_meets_its_target_in_every_class(monkeypatch, size, tables):
+    """Fresh edits of items of each length; with one table, through exact candidates, all of them."""
+    if tables:
+        monkeypatch.setattr(decontamination, "MAX_TABLES", tables)
+    rng = random.Random(size)
+    most = size * decontamination.MAX_EDIT_PERCENT // 100
+    items = [[f"v{rng.randrange(5000)}" for _ in range(rng.randint(max(1, size - size // 8), size + size // 8))] for _ in range(60)]
+    index = decontamination.build([*range(60)], [" ".join(x) for x in items])
+    assert bool(index.segments) or not tables
+    hit = tried = 0
+    for turn in range(2 if size < 200 else 1):
+        texts = []
+        for own in items:
+            own = list(own)
+            for _ in range(len(own) * decontamination.MAX_EDIT_PERCENT // 100):
+                at = rng.randrange(len(own))
+                rng.choice([lambda: own.__setitem__(at, "zz"), lambda: own.insert(at, "yy"), lambda: own.pop(at)])()
+            texts.append(" ".join(["before"] * turn + own + ["after", "it"]))
+        data = [t.encode() for t in texts]
+        text, item, edits, _ = decontamination.matches(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), index)
+        hit += len({t for t, i in zip(text.tolist(), item.tolist(), strict=True) if t == i})
+        tried += 60
+        assert (edits <= index.whole_allowed[item]).all()
+    assert hit >= (1 if tables or most == 0 else decontamination.TARGET_RECALL - 0.03) * tried
+
+
+def test_items_that_begin_alike_make_few_candidates():
+    """A long text against 1,000 items with one prompt in front."""
+    rng = random.Random(5)
+    prompt = "answer the question below by one letter and give no reasons for your choice".split()
+    items = [" ".join([*prompt, *(f"v{rng.randrange(900)}" for _ in range(18))]) for _ in range(1000)]
+    index = decontamination.build([*range(1000)], items)
+    text = " ".join(w for k in range(220) for w in [*prompt, *(f"v{rng.randrange(900)}" for _ in range(17))])
+    words = decontamination.item_words([text])[0]
+    assert len(decontamination.candidates(words, index)[0]) < 40 * len(words)
+    data = items[77].encode()
+    assert 77 in decontamination.matches(np.frombuffer(data, np.uint8), np.array([0, len(data)]), index)[1]
 
 
 def test_embedding_and_windows_agree():
