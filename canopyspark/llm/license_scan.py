@@ -1,37 +1,22 @@
-"""Licence scans: TF-IDF cosine of every line, and of whole licence files, to templates; then inheritance from the nearest directory.
+"""Licence scans: TF-IDF cosine of headers, lines and licence files to licence texts; then inheritance from the nearest directory.
 
-A unit is a line of a text, and for a licence file its whole text as well. A unit's vector has one weight, the inverse document frequency
-over all units, for each distinct word; words that no template has weigh as much as one never seen. Units with no template word have a
-cosine of 0, and those with too small a share of template words can't reach the threshold; only the others are scored.
+A file's units are its lines, its comment blocks (lines that each begin with a comment mark, put together), its paragraphs, and for a
+licence file its whole text. A unit's vector has, for each of its words, the number of times it stands there, times the word's inverse
+document frequency over all files; so has a template's. A unit in which too little of the weight can be on template words can't reach the
+threshold; only the others are kept, joined with their words' frequencies, and scored.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canopyspark.llm.licence_texts import TEMPLATES
 from canopyspark.llm.shared import Scratch, table
 
-#: Licence and notice. Fixed values of the templates.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal"),
-    ("LicenseRef-All-Rights-Reserved", "All rights reserved"),
-)
 #: Words without weight.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "by", "for", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "with", "you")
 #: Least cosine of a licence.
@@ -39,12 +24,14 @@ THRESHOLD = 0.6
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BREAK = r"[^\p{L}\p{N}]+"
+#: A line end with the next line's comment mark, and one with a blank line.
+_COMMENT, _PARAGRAPH = r"\n[ \t]*(?:#+|//+|\*+|;+|--+|%+)[ \t]*", r"\n[ \t]*\n"
 
 
-def _python_words(text: str) -> list[str]:
-    """Distinct weighted words of a template (ASCII)."""
+def _python_words(text: str) -> dict[str, int]:
+    """Weighted words of a template (ASCII), with their numbers."""
     clean = "".join(c if c.isalnum() else " " for c in text.lower())
-    return [w for w in dict.fromkeys(clean.split()) if w not in STOP_WORDS or w == "by" and "CC BY" in text]
+    return Counter(w for w in clean.split() if w not in STOP_WORDS or w == "by" and "CC BY" in text)
 
 
 _TERMS = [(name, _python_words(text)) for name, text in TEMPLATES]
@@ -56,44 +43,78 @@ def _strings(words) -> Column:
     return F.array(*(F.lit(w) for w in words))
 
 
-def _unit(text: Column) -> Column:
-    """(n, known): the number of distinct weighted words of a unit, and those that templates have."""
-    words = F.array_except(F.split(F.translate(text, _UPPER, _LOWER), _BREAK), _strings(_IGNORED))
-    return F.struct(F.size(words).alias("n"), F.array_intersect(words, _strings(VOCABULARY)).alias("known"))
+def _map(values: dict) -> Column:
+    return F.create_map(*(x for k, v in values.items() for x in (F.lit(k), F.lit(v))))
 
 
-def units(files: DataFrame) -> DataFrame:
-    """doc_id, path, n_units, hits: the units of each file with a template word. The whole text is read; no row is shuffled."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: line != "")
-    whole = F.when(F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE) & (text != ""), F.array(text)).otherwise(F.array().cast("array<string>"))
-    every = F.concat(lines, whole)
-    hits = F.filter(F.transform(every, _unit), lambda u: F.size(u["known"]) > 0)
-    return files.select("doc_id", "path", F.size(every).alias("n_units"), hits.alias("hits"))
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.translate(text, _UPPER, _LOWER), _BREAK), lambda w: ~w.isin(_IGNORED))
 
 
-def detected(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, path, own (licence or null) and score (largest cosine of the file's units, to 6 places, or 0) of what units has found.
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
-    Only the vocabulary's document frequencies, a few hundred numbers at most, come to the driver.
+
+def frequencies(files: DataFrame) -> DataFrame:
+    """word and df: the number of files with the word. Counts are summed before they are shuffled."""
+    return files.select(F.explode(F.array_distinct(_words(_text()))).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+
+
+def _idf(total: int, df: Column) -> Column:
+    return F.log(F.lit(float(total + 1)) / (df + 1)) + 1
+
+
+def candidates(files: DataFrame, squares: dict[str, float], least: float, threshold: float) -> DataFrame:
+    """row (a number of its own for each file), doc_id, path and units (arrays of words): the units that may reach the threshold.
+
+    squares: template words' squared weights; least: that of the most frequent word. Of a cosine's square, no more than the share of the
+    squared length that is on template words is left.
     """
-    total = found.agg(F.sum("n_units")).first()[0] or 0
-    terms = found.select(F.explode("hits.known").alias("known")).select(F.explode("known").alias("word"))
-    frequency = dict(terms.groupBy("word").count().collect())
-    weight = {w: (math.log((total + 1) / (frequency.get(w, 0) + 1)) + 1) ** 2 for w in VOCABULARY}
-    unseen = (math.log(total + 1) + 1) ** 2
-    weights = F.create_map(*(x for w, v in weight.items() for x in (F.lit(w), F.lit(v))))
-    summed = lambda words: F.aggregate(words, F.lit(0.0), lambda a, w: a + F.element_at(weights, w))
-
-    def best(u: Column) -> Column:
-        length = summed(u["known"]) + (u["n"] - F.size(u["known"])) * F.lit(unseen)
-        scores = [F.struct(F.round(summed(F.array_intersect(u["known"], _strings(words))) / F.sqrt(length * F.lit(sum(weight[w] for w in words))), 6).alias("score"), F.lit(name).alias("licence")) for name, words in _TERMS]
-        return F.array_max(F.array(*scores))
-
-    possible = F.filter("hits", lambda u: F.size(u["known"]) >= F.lit(threshold * threshold - 1e-9) * u["n"])
-    scored = found.select("doc_id", "path", F.array_max(F.transform(possible, best)).alias("best"))
+    text = _text()
+    lines = F.split(text, "\n")
+    blocks = F.when(text.rlike(_COMMENT), F.split(F.regexp_replace(text, _COMMENT, " "), "\n")).otherwise(F.array().cast("array<string>"))
+    whole = F.when(F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE), F.array(text)).otherwise(F.array().cast("array<string>"))
+    weights, known = _map(squares), _strings(VOCABULARY)
+
+    def possible(unit: Column) -> Column:
+        found = F.array_intersect(unit, known)
+        times = lambda w: F.size(F.filter(unit, lambda x: x == w))
+        on = F.aggregate(found, F.lit(0.0), lambda a, w: a + times(w) * times(w) * F.element_at(weights, w))
+        others = F.size(unit) - F.aggregate(found, F.lit(0), lambda a, w: a + times(w))
+        return (F.size(found) > 0) & (on * (1 - threshold * threshold + 1e-9) >= others * F.lit(threshold * threshold * least))
+
+    kept = lambda units: F.filter(F.transform(units, _words), possible)
+    larger = F.concat(blocks, F.when(text.rlike(_PARAGRAPH), F.split(text, _PARAGRAPH)).otherwise(F.array().cast("array<string>")), whole)
+    some = F.arrays_overlap(_words(text), known)
+    units = F.when(some, F.array_distinct(F.concat(kept(lines), kept(larger)))).otherwise(F.array().cast("array<array<string>>"))
+    return files.select(F.monotonically_increasing_id().alias("row"), "doc_id", "path", units.alias("units"))
+
+
+def detected(files: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, path, own (licence or null) and score (the largest cosine of its units, to 6 places; 0 below the threshold) of
+    every file.
+
+    Only the template words' frequencies, a few hundred numbers, come to the driver.
+    """
+    known = scratch.written(frequencies(files), "frequencies")
+    total = files.count()
+    df = dict(known.where(F.col("word").isin(VOCABULARY)).collect())
+    idf = lambda n: math.log((total + 1) / (n + 1)) + 1
+    squares = {w: idf(df.get(w, 0)) ** 2 for w in VOCABULARY}
+    least = idf(known.agg(F.max("df")).first()[0] or 0) ** 2
+    found = scratch.written(candidates(files, squares, least, threshold), "candidates")
+
+    units = found.select("row", F.posexplode("units").alias("unit", "words"))
+    words = units.select("row", "unit", F.explode("words").alias("word")).groupBy("row", "unit", "word").agg(F.count("*").alias("n"))
+    weighed = words.join(known, "word").select("row", "unit", "word", "n", (F.col("n") * F.col("n") * F.pow(_idf(total, F.col("df")), 2)).alias("square"))
+    of_templates = [F.sum(F.coalesce(F.element_at(_map({w: float(n * squares[w]) for w, n in words.items()}), F.col("word")), F.lit(0.0)) * F.col("n")).alias(f"t{k}") for k, (_, words) in enumerate(_TERMS)]
+    dots = weighed.groupBy("row", "unit").agg(F.sum("square").alias("square"), *of_templates)
+    length = [math.sqrt(sum(n * n * squares[w] for w, n in words.items())) for _, words in _TERMS]
+    scores = [F.struct(F.round(F.col(f"t{k}") / (F.sqrt("square") * F.lit(length[k])), 6).alias("score"), F.lit(name).alias("licence")) for k, (name, _) in enumerate(_TERMS)]
+    best = dots.select("row", F.array_max(F.array(*scores)).alias("best")).groupBy("row").agg(F.max("best").alias("best"))
+    scored = found.select("row", "doc_id", "path").join(best, "row", "left")
     high = F.col("best.score") >= threshold
-    return scored.select("doc_id", "path", F.when(high, F.col("best.licence")).alias("own"), F.coalesce("best.score", F.lit(0.0)).alias("score"))
+    return scored.select("doc_id", "path", F.when(high, F.col("best.licence")).alias("own"), F.when(high, F.col("best.score")).otherwise(0.0).alias("score"))
 
 
 def _directory(path: Column) -> Column:
@@ -130,8 +151,7 @@ def license_scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), "text")
     scratch = Scratch(files.sparkSession, "licence-scan")
-    found = scratch.written(units(rows), "units")
-    return scratch.result(inherited(scratch.written(detected(found, threshold), "files")), "licence-scan-result")
+    return scratch.result(inherited(scratch.written(detected(rows, scratch, threshold), "files")), "licence-scan-result")
 
 
 #: The tree that the query lays documents out in: source, language, thousands, hundreds; every twentieth document is a licence file, every
@@ -151,36 +171,35 @@ def _sql_list(words) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 
-_TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', {_sql_list(words)})" for k, (name, words) in enumerate(_TERMS))
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{w}', {n})" for k, (name, words) in enumerate(_TERMS) for w, n in words.items())
+
+
+def _sql_words(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(translate({text}, '{_UPPER}', '{_LOWER}'), '[^\\p{{L}}\\p{{N}}]+'), lambda w: NOT list_contains({_sql_list(_IGNORED)}, w))"
+
+
 OP1_SQL = rf"""
 WITH files AS (SELECT doc_id, {_PATH.format(div1000="doc_id // 1000", div100="doc_id // 100")} AS path, coalesce(text, '') AS text FROM documents),
 named AS (SELECT *, regexp_matches(list_extract(string_split(path, '/'), -1), '(?i)^(license|licence|copying|notice)([.-].*)?$') AS own_file FROM files),
+total AS (SELECT count(*) AS n FROM files),
+frequency AS (SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct({_sql_words("text")})) AS word FROM files) GROUP BY word),
+idf AS (SELECT word, ln((total.n + 1) / (df + 1)::DOUBLE) + 1 AS weight FROM frequency CROSS JOIN total),
 units AS (
-    SELECT doc_id, path, unnest(list_concat(list_filter(string_split(text, chr(10)), lambda x: x <> ''), CASE WHEN own_file AND text <> '' THEN [text] ELSE [] END)) AS unit
+    SELECT doc_id, path, unnest(list_concat(string_split(text, chr(10)), string_split(regexp_replace(text, '{_COMMENT}', ' ', 'g'), chr(10)), regexp_split_to_array(text, '{_PARAGRAPH}'),
+        CASE WHEN own_file THEN [text] ELSE [] END)) AS unit
     FROM named),
-words AS (
-    SELECT doc_id, path, row_number() OVER () AS unit_no,
-        list_filter(list_distinct(regexp_split_to_array(translate(unit, '{_UPPER}', '{_LOWER}'), '[^\p{{L}}\p{{N}}]+')), lambda w: NOT list_contains({_sql_list(_IGNORED)}, w)) AS w
-    FROM units),
-vocabulary AS (SELECT unnest({_sql_list(VOCABULARY)}) AS word),
-total AS (SELECT count(*) AS n FROM units),
-known AS (SELECT doc_id, path, unit_no, len(w) AS n, unnest(list_filter(w, lambda x: list_contains({_sql_list(VOCABULARY)}, x))) AS word FROM words),
-frequency AS (SELECT word, count(*) AS df FROM known GROUP BY word),
-weights AS (
-    SELECT v.word, (ln((t.n + 1) / (coalesce(f.df, 0) + 1)) + 1) ** 2 AS weight FROM vocabulary v CROSS JOIN total t LEFT JOIN frequency f ON v.word = f.word),
-templates AS (SELECT k, name, unnest(words) AS word FROM (VALUES {_TEMPLATE_ROWS}) AS x(k, name, words)),
-template_length AS (SELECT k, sum(weight) AS length FROM templates JOIN weights USING (word) GROUP BY k),
-unit_length AS (
-    SELECT doc_id, path, unit_no, sum(weight) + (any_value(known.n) - count(*)) * (ln(any_value(total.n) + 1) + 1) ** 2 AS length
-    FROM known JOIN weights USING (word) CROSS JOIN total GROUP BY doc_id, path, unit_no HAVING count(*) >= {THRESHOLD * THRESHOLD} * any_value(known.n) - 1e-9),
+numbered AS (SELECT *, row_number() OVER () AS unit_no FROM units),
+words AS (SELECT unit_no, word, count(*) AS n FROM (SELECT unit_no, unnest({_sql_words("unit")}) AS word FROM numbered) GROUP BY unit_no, word),
+templates(k, name, word, n) AS (VALUES {_TEMPLATE_ROWS}),
+known AS (SELECT t.*, coalesce(idf.weight, ln(total.n + 1) + 1) AS weight FROM templates t CROSS JOIN total LEFT JOIN idf ON idf.word = t.word),
+template_length AS (SELECT k, sqrt(sum(n * n * weight * weight)) AS length FROM known GROUP BY k),
+unit_length AS (SELECT unit_no, sqrt(sum(n * n * weight * weight)) AS length FROM words JOIN idf USING (word) GROUP BY unit_no),
 scores AS (
-    SELECT u.doc_id, u.path, t.name, round(sum(w.weight) / sqrt(any_value(u.length) * any_value(l.length)), 6) AS score
-    FROM unit_length u JOIN known k USING (unit_no) JOIN weights w ON k.word = w.word JOIN templates t ON t.word = k.word JOIN template_length l ON l.k = t.k
-    GROUP BY u.doc_id, u.path, u.unit_no, t.k, t.name),
-best AS (SELECT doc_id, path, max({{'score': score, 'name': name}}) AS b FROM scores GROUP BY doc_id, path),
+    SELECT w.unit_no, t.name, round(sum(w.n * t.n * t.weight * t.weight) / (any_value(u.length) * any_value(l.length)), 6) AS score
+    FROM words w JOIN known t ON t.word = w.word JOIN unit_length u ON u.unit_no = w.unit_no JOIN template_length l ON l.k = t.k GROUP BY w.unit_no, t.k, t.name),
+best AS (SELECT doc_id, path, max({{'score': score, 'name': name}}) AS b FROM scores JOIN numbered USING (unit_no) WHERE score >= {THRESHOLD} GROUP BY doc_id, path),
 judged AS (
-    SELECT n.doc_id, n.path, n.own_file, CASE WHEN b.b.score >= {THRESHOLD} THEN b.b.name END AS own, coalesce(b.b.score, 0.0) AS score,
-        regexp_extract(n.path, '^(.*)/[^/]*$', 1, 's') AS dir
+    SELECT n.doc_id, n.path, n.own_file, b.b.name AS own, coalesce(b.b.score, 0.0) AS score, regexp_extract(n.path, '^(.*)/[^/]*$', 1, 's') AS dir
     FROM named n LEFT JOIN best b ON n.doc_id = b.doc_id AND n.path = b.path),
 given AS (SELECT dir, max({{'score': score, 'own': own}}) AS g FROM judged WHERE own_file AND own IS NOT NULL GROUP BY dir),
 nearest AS (

@@ -573,6 +573,21 @@ def test_license_inheritance(spark):
     assert {k: v for k, v in got.items() if k < 100} == want and all(v == (None, None) for k, v in got.items() if k >= 100)
 
 
+def test_license_headers_and_texts(spark):
+    """A header wrapped over comment lines, a licence text over paragraphs, and weights of words outside the templates."""
+    mit, apache, bsd2, bsd3 = (max((t for name, t in license_scan.TEMPLATES if name == want), key=len) for want in ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause"))
+    wrap = lambda text, mark: "\n".join(f"{mark} {' '.join(text.split()[k : k + 9])}" for k in range(0, len(text.split()), 9))
+    code = "\n".join(f"value_{k} = call_{k}(argument{k})" for k in range(60))
+    rows = [
+        (1, "p/a.py", f"#!/bin/sh\n{wrap(apache, '#')}\n\n{code}"), (2, "q/b.c", f"{wrap(mit, ' *')}\n{code}"), (3, "r/LICENSE", "\n\n".join(bsd3.split(". "))), (4, "s/c.js", f"{code}\n\n{wrap(bsd2, '//')}"),
+        (5, "t/d.py", code), (6, "u/e.py", f"# Permission slips and notice boards of the software club\n{code}"), (7, "v/f.txt", f"{' '.join(mit.split()[:60])} {' '.join(f'other{k} thing{k}' for k in range(200))}"),
+    ]
+    filler = [(100 + k, f"f/{k}.txt", "\n".join(f"plain prose number {k} {j} with several words and some software" for j in range(20))) for k in range(40)]
+    got = {r["doc_id"]: r["own"] for r in license_scan.license_scan(spark.createDataFrame(rows + filler, "doc_id long, path string, text string")).collect()}
+    assert {k: v for k, v in got.items() if k < 100} == {1: "Apache-2.0", 2: "MIT", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: None, 6: None, 7: None}
+    assert all(v is None for k, v in got.items() if k >= 100)
+
+
 def test_line_dedup_by_join_gives_the_same(spark, docs, monkeypatch):
     want = rows_of(line_dedup.line_dedup(docs).toPandas())
     monkeypatch.setattr(line_dedup, "BROADCAST_ENTRIES", -1)
