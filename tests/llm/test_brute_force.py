@@ -69,6 +69,26 @@ def test_secrets_are_found_end_to_end(spark):
     assert hit[label > 0].mean() >= 0.96 and net[label < 1].mean() <= 0.02
 
 
+def test_network_learns_from_the_corpus(spark, sf_dir):
+    """Runs that the patterns find are told from other runs on held-out findings, and planted keys are still found."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    found = secrets.corpus_findings(docs, 300)
+    assert 0 < found["label"].sum() <= 300 and (found["label"] == 0).sum() <= 300 and not found["inside"].duplicated().any()
+    net, figures = secrets.trained(found)
+    assert figures["recall"] >= 0.98 and figures["precision"] >= 0.9
+    findings, label = secrets.labelled_findings(1000, seed=55)
+    assert (net.score(charnet.encoded(findings)) >= net.threshold)[label > 0].mean() >= 0.95
+
+
+def test_long_text_full_of_findings_takes_linear_time():
+    import time
+
+    text = "\n".join(f'token = "{k:016x}{k * 7919:016x}" and {"Ab9" * 8}{k}' for k in range(30_000))
+    began = time.perf_counter()
+    spans = [s for k in range(3) for s in secrets.base_spans(text, k)]
+    assert len(secrets.candidates(text, spans)) == 30_000 and time.perf_counter() - began < 5
+
+
 def test_every_run_is_a_candidate():
     for run in ("sk-QwErTyUiOpAsDfGhJkLz", "GhTrWqPlMnBvCxZaSdFg", "A" * 16, "1234567890123456"):
         assert secrets.candidates(f"x {run}, y", []) == [(2, 2 + len(run))]
