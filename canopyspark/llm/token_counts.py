@@ -1,6 +1,7 @@
 """Edit-aware token counts: a segment tree of pre-tokens for each document, of which an edit re-encodes only what it touches.
 
-A leaf is a run of pre-tokens: its text, their lengths, and its sums of characters and tokens; the inner nodes hold subtree sums. The
+A leaf is a run of pre-tokens: its text, their lengths and token counts, and the sums of both; the inner nodes hold subtree sums. Trees can
+be kept as a table of texts, lengths and counts, so that later edits of the same corpus encode nothing else either. The
 pre-token pattern reads a text from left to right, looks at most one character past what ends a match, and never back. So an edit changes
 no pre-token that ends two characters before it, and once a new boundary falls on an old one behind the edit, the rest stays as it was.
 """
@@ -47,11 +48,11 @@ class Counter:
                 self.known[piece] = found
         return found
 
-    def total(self, pieces: list[str]) -> int:
+    def each(self, pieces: list[str]) -> list[int]:
         try:
-            return sum(map(self.known.__getitem__, pieces))
+            return list(map(self.known.__getitem__, pieces))
         except KeyError:
-            return sum(map(self, pieces))
+            return list(map(self, pieces))
 
 
 @lru_cache(maxsize=2)
@@ -63,19 +64,36 @@ class TokenTree:
     """Token count of a text under edits."""
 
     def __init__(self, text: str, count: Counter):
-        self.count = count
         pieces = count.pattern.findall(text)
+        self._start(text, list(map(len, pieces)), count.each(pieces), count)
         self.encoded = len(pieces)
-        self._build([pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)])
-        self.encoded_by_edits = 0
 
-    def _build(self, leaves: list[list[str]]) -> None:
-        self.texts = ["".join(x) for x in leaves] or [""]
-        self.lengths = [list(map(len, x)) for x in leaves] or [[]]
-        self.size = 1 << (len(self.texts) - 1).bit_length()
+    @classmethod
+    def stored(cls, text: str, lengths: list[int], counts: list[int], count: Counter) -> TokenTree:
+        """The tree that parts gave; nothing is encoded."""
+        tree = cls.__new__(cls)
+        tree._start(text, lengths, counts, count)
+        tree.encoded = 0
+        return tree
+
+    def parts(self) -> tuple[str, list[int], list[int]]:
+        """What a tree is kept as: its text, and the lengths and token counts of its pre-tokens."""
+        return self.text, [n for x in self.lengths for n in x], [n for x in self.counts for n in x]
+
+    def _start(self, text: str, lengths: list[int], counts: list[int], count: Counter) -> None:
+        self.count, self.encoded_by_edits = count, 0
+        self._build(text, lengths, counts)
+
+    def _build(self, text: str, lengths: list[int], counts: list[int]) -> None:
+        self.lengths = [lengths[k : k + LEAF] for k in range(0, len(lengths), LEAF)] or [[]]
+        self.counts = [counts[k : k + LEAF] for k in range(0, len(counts), LEAF)] or [[]]
+        self.size = 1 << (len(self.lengths) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
-        for k, (text, pieces) in enumerate(zip(self.texts, leaves, strict=False)):
-            self.chars[self.size + k], self.tokens[self.size + k] = len(text), self.count.total(pieces)
+        self.texts, at = [], 0
+        for k, own in enumerate(self.lengths):
+            self.chars[self.size + k], self.tokens[self.size + k] = sum(own), sum(self.counts[k])
+            self.texts.append(text[at : at + self.chars[self.size + k]])
+            at += self.chars[self.size + k]
         for k in range(self.size - 1, 0, -1):
             self.chars[k], self.tokens[k] = self.chars[2 * k] + self.chars[2 * k + 1], self.tokens[2 * k] + self.tokens[2 * k + 1]
 
@@ -102,10 +120,10 @@ class TokenTree:
                 node += 1
         return node - self.size, place
 
-    def _set(self, leaf: int, text: str, lengths: list[int], tokens: int) -> None:
-        self.texts[leaf], self.lengths[leaf] = text, lengths
+    def _set(self, leaf: int, text: str, lengths: list[int], counts: list[int]) -> None:
+        self.texts[leaf], self.lengths[leaf], self.counts[leaf] = text, lengths, counts
         node = self.size + leaf
-        self.chars[node], self.tokens[node] = len(text), tokens
+        self.chars[node], self.tokens[node] = len(text), sum(counts)
         while node := node // 2:
             self.chars[node], self.tokens[node] = self.chars[2 * node] + self.chars[2 * node + 1], self.tokens[2 * node] + self.tokens[2 * node + 1]
 
@@ -126,7 +144,7 @@ class TokenTree:
         region = before + new + self.texts[last][end - last_start :]
         shift = len(region) - (last_start + len(self.texts[last]) - leaf_start - offset)
         # old boundaries, as places in the region
-        old, place, behind = set(), last_start - leaf_start - offset + shift, list(self.lengths[last])
+        old, place, behind = set(), last_start - leaf_start - offset + shift, list(zip(self.lengths[last], self.counts[last], strict=True))
         edit_end = len(before) + len(new)
         for size in [0, *self.lengths[last]]:
             place += size
@@ -147,47 +165,78 @@ class TokenTree:
                 break
             last += 1
             place = len(region)
-            behind += self.lengths[last]
+            behind += zip(self.lengths[last], self.counts[last], strict=True)
             region += self.texts[last]
             for size in self.lengths[last]:
                 place += size
                 old.add(place)
-        rest_lengths: list[int] = []
-        rest: list[str] = []
-        if done < len(region):
-            # from here on, the pre-tokens are as they were
-            cut = len(region)
-            for size in reversed(behind):
-                if cut <= done:
-                    break
-                cut -= size
-                rest_lengths.append(size)
-            rest_lengths.reverse()
-            place = done
-            for size in rest_lengths:
-                rest.append(region[place : place + size])
-                place += size
+        # from the last boundary on, the pre-tokens are as they were
+        cut, left = len(region), len(behind)
+        while cut > done:
+            left -= 1
+            cut -= behind[left][0]
+        rest = behind[left:]
         self.encoded_by_edits += len(pieces)
+        lengths = self.lengths[first][:kept] + list(map(len, pieces)) + [n for n, _ in rest]
+        counts = self.counts[first][:kept] + self.count.each(pieces) + [n for _, n in rest]
         text = self.texts[first][:offset] + region
-        old_pieces, place = [], 0
-        for size in self.lengths[first][:kept]:
-            old_pieces.append(text[place : place + size])
-            place += size
-        lengths = self.lengths[first][:kept] + list(map(len, pieces)) + rest_lengths
         for leaf in range(first + 1, last + 1):
-            self._set(leaf, "", [], 0)
-        self._set(first, text, lengths, self.count.total(old_pieces) + self.count.total(pieces) + self.count.total(rest))
+            self._set(leaf, "", [], [])
+        self._set(first, text, lengths, counts)
         if len(lengths) > CROWDED * LEAF:
-            self._rebuilt()
-
-    def _rebuilt(self) -> None:
-        pieces = []
-        for text, lengths in zip(self.texts, self.lengths, strict=True):
-            place = 0
-            for size in lengths:
-                pieces.append(text[place : place + size])
-                place += size
-        self._build([pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)])
+            self._build(*self.parts())
+
+
+_TREE = "text string, lengths array<int>, counts array<int>"
+_EDITS = "array<struct<start:bigint,stop:bigint,text:string>>"
+
+
+def _edit(tree: TokenTree, edits: pa.Scalar) -> None:
+    for e in edits.as_py() or []:
+        if e is not None:
+            tree.replace(e["start"] or 0, e["stop"] or 0, e["text"] or "")
+
+
+def token_trees(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id and the tree of every row's text (text, lengths, counts), to be kept for edits to come; what edited_counts says of nulls
+    and repeats holds."""
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        count = counter(path, pattern)
+        for batch in batches:
+            rows = [TokenTree(text.as_py() or "", count).parts() for text in batch.column(1)]
+            yield _tree_batch([batch.column(0)], rows, ["doc_id"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id long, {_TREE}")
+
+
+def _tree_batch(columns: list, rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+    parts = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.record_batch([*columns, *(pa.array(c, t) for c, t in zip(parts, kinds, strict=True))], [*names, "text", "lengths", "counts"])
+
+
+def edited_trees(trees: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, n_reencoded and the tree of every row of trees (doc_id, text, lengths, counts, edits) after its edits. Only what
+    the edits touch is encoded."""
+    small_batches(trees.sparkSession)
+
+    def run(batches):
+        count = counter(path, pattern)
+        for batch in batches:
+            rows, figures = [], []
+            for text, lengths, counts, edits in zip(*(batch.column(k) for k in range(1, 5)), strict=True):
+                tree = TokenTree.stored(text.as_py() or "", lengths.as_py() or [], counts.as_py() or [], count)
+                _edit(tree, edits)
+                rows.append(tree.parts())
+                figures.append((tree.n_tokens, tree.encoded_by_edits))
+            n_tokens, n_reencoded = list(zip(*figures, strict=True)) or [()] * 2
+            yield _tree_batch([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(n_reencoded, pa.int64())], rows, ["doc_id", "n_tokens", "n_reencoded"])
+
+    rows = trees.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lengths", "counts", F.col("edits").cast(_EDITS).alias("edits"))
+    return rows.mapInArrow(run, f"doc_id long, n_tokens long, n_reencoded long, {_TREE}")
 
 
 def edited_counts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -207,14 +256,12 @@ def edited_counts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for text, edits in zip(batch.column(1), batch.column(2), strict=True):
                 tree = TokenTree(text.as_py() or "", count)
                 before = tree.n_tokens
-                for e in edits.as_py() or []:
-                    if e is not None:
-                        tree.replace(e["start"] or 0, e["stop"] or 0, e["text"] or "")
+                _edit(tree, edits)
                 rows.append((before, tree.encoded, tree.n_tokens, tree.encoded_by_edits, tree.n_chars))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.record_batch([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], ["doc_id", "n_tokens", "n_pretokens", "n_tokens_edited", "n_reencoded", "n_chars_edited"])
 
-    edits = F.col("edits").cast("array<struct<start:bigint,stop:bigint,text:string>>")
+    edits = F.col("edits").cast(_EDITS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), edits.alias("edits"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, n_pretokens long, n_tokens_edited long, n_reencoded long, n_chars_edited long")
 

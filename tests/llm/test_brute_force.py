@@ -467,6 +467,46 @@ def test_token_tree_encodes_little():
     assert tree.encoded_by_edits < 50 * 12
 
 
+def test_token_tree_encodes_no_neighbour():
+    """An edit beside a pre-token of 10,000 characters, which no worker remembers, encodes the edit's own pre-tokens only."""
+    import public_tokenizers
+
+    plain = token_counts.counter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+    class Counting(token_counts.Counter):
+        def __init__(self):
+            self.encoding, self.pattern, self.known, self.asked = plain.encoding, plain.pattern, {}, []
+
+        def __call__(self, piece):
+            self.asked.append(piece)
+            return super().__call__(piece)
+
+    count = Counting()
+    text = "one two " + "x" * 10_000 + " three four. " + "several more words " * 300
+    tree = token_counts.TokenTree(text, count)
+    again = token_counts.TokenTree.stored(*tree.parts(), count)
+    for own in (tree, again):
+        count.asked.clear()
+        own.replace(len(text) - 500, len(text) - 495, "new")
+        own.replace(0, 3, "three")
+        new = "three" + text[3:-500] + "new" + text[-495:]
+        assert (own.text, own.n_tokens) == (new, len(plain.encoding.encode_ordinary(new)))
+        assert len(count.asked) < 12 and max(map(len, count.asked), default=0) < 20
+    assert again.encoded == 0
+
+
+def test_token_trees_are_kept(spark):
+    """Trees written, edited and edited again give the counts of the texts."""
+    path, pattern = _tiktoken()
+    docs = spark.createDataFrame([(1, "plain words of a text. " * 60), (2, ""), (3, None), (None, "x" * 9000)], "doc_id long, text string")
+    trees = token_counts.token_trees(docs, path, pattern)
+    for turn in range(2):
+        trees = token_counts.edited_trees(trees.withColumn("edits", token_counts.review_edits(F.col("text"))), path, pattern)
+    count = token_counts.counter(path, pattern)
+    for r in trees.collect():
+        assert r["text"].startswith("Note: ") and r["n_tokens"] == len(count.encoding.encode_ordinary(r["text"])) == sum(r["counts"]) and r["n_reencoded"] < 40
+
+
 def test_token_counts_query(spark, sf_dir, texts):
     import public_tokenizers
 
