@@ -504,7 +504,7 @@ def test_token_trees_are_kept(spark):
         trees = token_counts.edited_trees(trees.withColumn("edits", token_counts.review_edits(F.col("text"))), path, pattern)
     count = token_counts.counter(path, pattern)
     for r in trees.collect():
-        assert r["text"].startswith("Note: ") and r["n_tokens"] == len(count.encoding.encode_ordinary(r["text"])) == sum(r["counts"]) and r["n_reencoded"] < 40
+        assert r["text"].endswith("End.") and r["n_tokens"] == len(count.encoding.encode_ordinary(r["text"])) == sum(r["counts"]) and r["n_reencoded"] < 40
 
 
 def test_token_counts_query(spark, sf_dir, texts):
