@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from canopyspark.operators.groups import run_starts, whole_groups
+
 
 def labelled_runs(pixels: DataFrame, mask: str) -> DataFrame:
     """image_key, y, x0, x1: the horizontal runs of the mask."""
@@ -15,11 +19,12 @@ def labelled_runs(pixels: DataFrame, mask: str) -> DataFrame:
     return inside.groupBy("image_key", "y", "__run").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("__run")
 
 
-def _joined(runs: pd.DataFrame) -> pd.DataFrame:
-    """label of each run: the smallest run number of its component. Rows are swept with two pointers."""
-    runs = runs.sort_values(["y", "x0"], ignore_index=True)
-    y, x0, x1 = (runs[c].to_numpy() for c in ("y", "x0", "x1"))
-    parent = np.arange(len(runs))
+def _roots(image: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """For each run, the first run of its component; runs are sorted by image, y and x0, and images are swept in one go."""
+    # rows of two images never follow each other
+    line = (y + image * (int(y.max(initial=0)) + 2)).tolist()
+    left, right = x0.tolist(), x1.tolist()
+    parent = list(range(len(line)))
 
     def root(k: int) -> int:
         while parent[k] != k:
@@ -28,16 +33,28 @@ def _joined(runs: pd.DataFrame) -> pd.DataFrame:
         return k
 
     above = 0
-    for k in range(len(runs)):
-        while above < k and (y[above] < y[k] - 1 or y[above] == y[k] - 1 and x1[above] < x0[k] - 1):
+    for k in range(len(line)):
+        while above < k and (line[above] < line[k] - 1 or line[above] == line[k] - 1 and right[above] < left[k] - 1):
             above += 1
         other = above
-        while other < k and y[other] == y[k] - 1 and x0[other] <= x1[k] + 1:
+        while other < k and line[other] == line[k] - 1 and left[other] <= right[k] + 1:
             a, b = root(k), root(other)
             parent[max(a, b)] = min(a, b)
             other += 1
-    runs["label"] = [root(k) for k in range(len(runs))]
-    return runs
+    return np.array([root(k) for k in range(len(line))], np.int64)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs with first_y, first_x (where their component begins) and its area; many images at a time, each whole."""
+    for rows in whole_groups(batches, ["image_key"]):
+        start = run_starts(rows, ["image_key"])
+        image = np.repeat(np.arange(len(start)), np.diff(np.append(start, rows.num_rows)))
+        y, x0, x1 = (np.asarray(rows.column(rows.schema.get_field_index(c))) for c in ("y", "x0", "x1"))
+        root = _roots(image, y, x0, x1)
+        area = np.bincount(root, x1 - x0 + 1, len(root)).astype(np.int64)[root]
+        for name, values in (("first_y", y[root]), ("first_x", x0[root]), ("area", area)):
+            rows = rows.append_column(name, pa.array(values, pa.int64()))
+        yield rows
 
 
 def components(pixels: DataFrame, mask: str) -> DataFrame:
@@ -48,10 +65,10 @@ def components(pixels: DataFrame, mask: str) -> DataFrame:
     width = pixels.groupBy("image_key").agg((F.max("x") + 1).cast("long").alias("__w"))
     runs = labelled_runs(pixels, mask).select("image_key", F.col("y").cast("long").alias("y"), F.col("x0").cast("long").alias("x0"), F.col("x1").cast("long").alias("x1"))
     key = dict(runs.dtypes)["image_key"]
-    joined = runs.groupBy("image_key").applyInPandas(_joined, f"image_key {key}, y long, x0 long, x1 long, label long")
-    whole = joined.groupBy("image_key", "label").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("area"), F.min(F.struct("y", "x0")).alias("first"))
-    named = joined.join(whole, ["image_key", "label"]).join(width, "image_key")
-    return named.select("image_key", F.explode(F.sequence("x0", "x1")).alias("x"), "y", (F.col("first.y") * F.col("__w") + F.col("first.x0")).alias("label"), "area")
+    dealt = runs.repartition("image_key").sortWithinPartitions("image_key", "y", "x0")
+    joined = dealt.mapInArrow(_joined, f"image_key {key}, y long, x0 long, x1 long, first_y long, first_x long, area long")
+    named = joined.join(width, "image_key")
+    return named.select("image_key", F.explode(F.sequence("x0", "x1")).alias("x"), "y", (F.col("first_y") * F.col("__w") + F.col("first_x")).alias("label"), "area")
 
 
 def without_small_components(pixels: DataFrame, mask: str, least_share: float = 0.0005) -> DataFrame:

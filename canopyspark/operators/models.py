@@ -78,11 +78,11 @@ def _loaded(make: Callable):
 
 
 def retried(call: Callable, attempts: int):
-    """The first result of at most so many attempts; the last error if all fail."""
+    """The first result of at most so many attempts. Only lack of memory is tried again; any other error is final."""
     for k in range(attempts):
         try:
             return call()
-        except Exception:
+        except MemoryError:
             if k == attempts - 1:
                 raise
 
@@ -91,23 +91,54 @@ def _image(row) -> np.ndarray:
     return np.frombuffer(row.data, np.uint8).reshape(row.h, row.w, 3)
 
 
-def estimated_depth(rasters: DataFrame, make: Callable = RowDepth, attempts: int = 1) -> DataFrame:
-    """image_key, x, y, d: each raster's depth scaled to 0..1. A model that returns other shapes or numbers that aren't finite fails."""
+def _by_row(rasters: DataFrame, make: Callable, work: Callable, extra: str, absent: tuple) -> DataFrame:
+    """Raster rows that work(model, row) makes of decoded ones, as (h, w, bytes, *extra); an image that a model fails on, whatever the
+    error, has ok false and the error, and stops no other."""
 
     def run(frames):
         model = _loaded(make)
+        names = ["image_key", "ok", "error", "w", "h", "data", *(f.split()[0] for f in extra.split(", "))]
+        for frame in frames:
+            rows = []
+            for row in frame.itertuples():
+                try:
+                    h, w, data, *more = work(model, row)
+                    rows.append((row.image_key, True, None, w, h, data, *more))
+                except Exception as e:  # whatever a model raises
+                    rows.append((row.image_key, False, f"{type(e).__name__}: {e}"[:500], None, None, None, *absent))
+            out = pd.DataFrame(rows, columns=names)
+            yield out.astype({"w": "Int32", "h": "Int32"})
+
+    return rasters.where("ok").mapInPandas(run, f"{_RASTER}, {extra}")
+
+
+def estimated_depth(rasters: DataFrame, make: Callable = RowDepth, attempts: int = 1) -> DataFrame:
+    """Raster rows with each image's depth scaled to 0..1, as 64-bit numbers. A model that returns other shapes or numbers that aren't
+    finite fails."""
+
+    def work(model, row):
+        depth = np.asarray(retried(lambda: model.estimate(_image(row)), attempts), float)
+        if depth.shape != (row.h, row.w) or not np.isfinite(depth).all():
+            raise ValueError(f"the depth model gave {depth.shape} for {(row.h, row.w)}, or numbers that are not finite")
+        d = (depth - depth.min()) / max(depth.max() - depth.min(), 1e-6)
+        return row.h, row.w, d.tobytes(), attempts
+
+    return _by_row(rasters, make, work, "attempts int", (attempts,)).drop("attempts")
+
+
+def depth_pixels(depths: DataFrame) -> DataFrame:
+    """image_key, x, y, d of the rows of estimated_depth that are ok."""
+
+    def run(frames):
         for frame in frames:
             for row in frame.itertuples():
-                depth = np.asarray(retried(lambda row=row: model.estimate(_image(row)), attempts), float)
-                if depth.shape != (row.h, row.w) or not np.isfinite(depth).all():
-                    raise ValueError(f"{row.image_key}: the depth model gave {depth.shape} for {(row.h, row.w)}, or numbers that are not finite")
-                d = (depth - depth.min()) / max(depth.max() - depth.min(), 1e-6)
+                d = np.frombuffer(row.data, float).reshape(row.h, row.w)
                 for top in range(0, row.h, max(1, (1 << 17) // row.w)):
                     part = d[top : top + max(1, (1 << 17) // row.w)]
                     y, x = np.divmod(np.arange(part.size), row.w)
                     yield pd.DataFrame({"image_key": row.image_key, "x": x, "y": y + top, "d": part.ravel()})
 
-    return rasters.where("ok").mapInPandas(run, "image_key string, x long, y long, d double")
+    return depths.where("ok").select("image_key", "w", "h", "data").mapInPandas(run, "image_key string, x long, y long, d double")
 
 
 def _painted(model, image: np.ndarray, mask: np.ndarray, max_side: int | None) -> np.ndarray:
@@ -125,46 +156,38 @@ def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, ma
     """Raster rows with pad_x and pad_y: each raster grown ring by ring to its pads (halves to even). What was there is pasted back
     after the last ring, so that no model can change it. A model is given at most max_side pixels a side; only what it adds is enlarged."""
 
-    def run(frames):
-        model = _loaded(make)
-        for frame in frames:
-            rows = []
-            for row in frame.itertuples():
-                original = _image(row)
-                pads = [round(n * pad_fraction) for n in (row.w, row.h)]
-                steps = [max(1, round(n * step_fraction)) for n in (row.w, row.h)]
-                canvas, done = original, [0, 0]
-                while done[0] < pads[0] or done[1] < pads[1]:
-                    more = [min(s, p - n) for s, p, n in zip(steps, pads, done, strict=True)]
-                    room = [min(m, s - 1) for m, s in zip(more, (canvas.shape[1], canvas.shape[0]), strict=True)]
-                    seed = np.pad(canvas, ((room[1],) * 2, (room[0],) * 2, (0, 0)), mode="reflect")
-                    seed = np.pad(seed, ((more[1] - room[1],) * 2, (more[0] - room[0],) * 2, (0, 0)), mode="edge")
-                    ring = np.ones(seed.shape[:2], bool)
-                    ring[more[1] : more[1] + canvas.shape[0], more[0] : more[0] + canvas.shape[1]] = False
-                    filled = np.asarray(retried(lambda seed=seed, ring=ring: _painted(model, seed, ring, max_side), attempts), np.uint8)
-                    if filled.shape != seed.shape:
-                        raise ValueError(f"{row.image_key}: the outpaint model gave {filled.shape} for {seed.shape}")
-                    canvas = np.where(ring[:, :, None], filled, seed)
-                    done = [n + m for n, m in zip(done, more, strict=True)]
-                canvas = canvas.copy()
-                canvas[pads[1] : pads[1] + row.h, pads[0] : pads[0] + row.w] = original
-                rows.append((row.image_key, True, None, canvas.shape[1], canvas.shape[0], canvas.tobytes(), pads[0], pads[1]))
-            yield pd.DataFrame(rows, columns=["image_key", "ok", "error", "w", "h", "data", "pad_x", "pad_y"])
-
-    return rasters.where("ok").mapInPandas(run, _RASTER + ", pad_x int, pad_y int")
+    def work(model, row):
+        original = _image(row)
+        pads = [round(n * pad_fraction) for n in (row.w, row.h)]
+        steps = [max(1, round(n * step_fraction)) for n in (row.w, row.h)]
+        canvas, done = original, [0, 0]
+        while done[0] < pads[0] or done[1] < pads[1]:
+            more = [min(s, p - n) for s, p, n in zip(steps, pads, done, strict=True)]
+            room = [min(m, s - 1) for m, s in zip(more, (canvas.shape[1], canvas.shape[0]), strict=True)]
+            seed = np.pad(canvas, ((room[1],) * 2, (room[0],) * 2, (0, 0)), mode="reflect")
+            seed = np.pad(seed, ((more[1] - room[1],) * 2, (more[0] - room[0],) * 2, (0, 0)), mode="edge")
+            ring = np.ones(seed.shape[:2], bool)
+            ring[more[1] : more[1] + canvas.shape[0], more[0] : more[0] + canvas.shape[1]] = False
+            filled = np.asarray(retried(lambda seed=seed, ring=ring: _painted(model, seed, ring, max_side), attempts), np.uint8)
+            if filled.shape != seed.shape:
+                raise ValueError(f"the outpaint model gave {filled.shape} for {seed.shape}")
+            canvas = np.where(ring[:, :, None], filled, seed)
+            done = [n + m for n, m in zip(done, more, strict=True)]
+        canvas = canvas.copy()
+        canvas[pads[1] : pads[1] + row.h, pads[0] : pads[0] + row.w] = original
+        return canvas.shape[0], canvas.shape[1], canvas.tobytes(), pads[0], pads[1]
+
+    return _by_row(rasters, make, work, "pad_x int, pad_y int", (0, 0))
 
 
 def upscaled(rasters: DataFrame, scale: float, max_dimension: int, make: Callable = LinearUpscale, attempts: int = 4) -> DataFrame:
     """Raster rows with scale: each raster enlarged as far as its longer side may grow, never made smaller."""
 
-    def run(frames):
-        model = _loaded(make)
-        for frame in frames:
-            rows = []
-            for row in frame.itertuples():
-                own = max(1.0, min(scale, max_dimension / max(row.w, row.h)))
-                image = np.asarray(retried(lambda row=row, own=own: model.upscale(_image(row), own), attempts), np.uint8)
-                rows.append((row.image_key, True, None, image.shape[1], image.shape[0], image.tobytes(), own))
-            yield pd.DataFrame(rows, columns=["image_key", "ok", "error", "w", "h", "data", "scale"])
+    def work(model, row):
+        own = max(1.0, min(scale, max_dimension / max(row.w, row.h)))
+        image = np.asarray(retried(lambda: model.upscale(_image(row), own), attempts), np.uint8)
+        if image.ndim != 3 or image.shape[2] != 3 or image.shape[0] < row.h or image.shape[1] < row.w:
+            raise ValueError(f"the upscale model gave {image.shape} for {(row.h, row.w, 3)} at {own}")
+        return image.shape[0], image.shape[1], image.tobytes(), own
 
-    return rasters.where("ok").mapInPandas(run, _RASTER + ", scale double")
+    return _by_row(rasters, make, work, "scale double", (1.0,))

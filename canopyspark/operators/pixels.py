@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyspark.functions.colour import byte
+from canopyspark.operators.groups import run_starts, whole_groups
 
 #: Half widths of the rows of a 7x7 elliptic structuring element.
 ELLIPSE_7 = (0, 2, 3, 3, 3, 2, 0)
@@ -39,13 +42,18 @@ def mask_or_all(pixels: DataFrame, mask: str, least_share: float = 0.05) -> Data
     return pixels.withColumn("used_fallback", fallback).withColumn(mask, F.col(mask) | F.col("used_fallback"))
 
 
+def _by_image(pixels: DataFrame) -> DataFrame:
+    """Dealt by image once: windows over rows and over columns of images then need no further shuffle."""
+    return pixels.repartition("image_key")
+
+
 def _rows(key: str, along: str, back: int, ahead: int):
     return _image(key).orderBy(along).rowsBetween(-back, ahead)
 
 
 def dilated(pixels: DataFrame, mask: str, k: int, out: str) -> DataFrame:
     """mask grown by a square of 2k + 1 pixels: two one-dimensional windows."""
-    wide = pixels.withColumn("__wide", F.max(mask).over(_rows("y", "x", k, k)))
+    wide = _by_image(pixels).withColumn("__wide", F.max(mask).over(_rows("y", "x", k, k)))
     return wide.withColumn(out, F.max("__wide").over(_rows("x", "y", k, k))).drop("__wide")
 
 
@@ -69,7 +77,7 @@ def dilated_by(pixels: DataFrame, mask: str, out: str, halves: Sequence[int] = E
 
 def opened_and_closed(pixels: DataFrame, mask: str, out: str, halves: Sequence[int] = ELLIPSE_7) -> DataFrame:
     """Small specks go, small holes fill."""
-    step = dilated_by(eroded_by(pixels, mask, "__a", halves), "__a", "__b", halves)
+    step = dilated_by(eroded_by(_by_image(pixels), mask, "__a", halves), "__a", "__b", halves)
     return eroded_by(dilated_by(step, "__b", "__c", halves), "__c", out, halves).drop("__a", "__b", "__c")
 
 
@@ -89,7 +97,7 @@ def _tap(value: str, along: str, across: str, k: int) -> Column:
 def convolved(pixels: DataFrame, value: str, kernel: Sequence[float], out: str) -> DataFrame:
     """A separable kernel with mirrored borders: one pass along rows, one along columns."""
     half = len(kernel) // 2
-    wide = pixels.withColumn("__row", sum((_tap(value, "x", "y", k - half) * w for k, w in enumerate(kernel)), F.lit(0.0)))
+    wide = _by_image(pixels).withColumn("__row", sum((_tap(value, "x", "y", k - half) * w for k, w in enumerate(kernel)), F.lit(0.0)))
     return wide.withColumn(out, sum((_tap("__row", "y", "x", k - half) * w for k, w in enumerate(kernel)), F.lit(0.0))).drop("__row")
 
 
@@ -104,6 +112,7 @@ def gaussian_kernel(sigma: float) -> list[float]:
 
 def box_blurred(pixels: DataFrame, values: Sequence[str], radius: int, passes: int = 3) -> DataFrame:
     """Means over squares, repeated; three passes with a radius of sigma come near a Gaussian. Pixels outside the image don't count."""
+    pixels = _by_image(pixels)
     for _ in range(passes):
         for key, along in (("y", "x"), ("x", "y")):
             line = _rows(key, along, radius, radius)
@@ -131,21 +140,49 @@ def sharpened(pixels: DataFrame, value: str, out: str, amount: float = 0.4, kern
 def squared_distance(pixels: DataFrame, mask: str, out: str) -> DataFrame:
     """Exact squared distance of each mask pixel to the nearest pixel outside the mask, in its image; null where there is none, 0 outside.
 
-    Separable: the nearest one in the column by windows, then the least sum over the row's columns. A row is the largest unit held.
+    Separable: the nearest one in the column by windows, then the least sum over the row's columns, for whole rows at a time, in steps of
+    one column as far as the distances found so far let it matter. A row is the largest unit held.
     """
     up = F.last(F.when(~F.col(mask), F.col("y")), True).over(_image("x").orderBy("y").rowsBetween(Window.unboundedPreceding, 0))
     down = F.first(F.when(~F.col(mask), F.col("y")), True).over(_image("x").orderBy("y").rowsBetween(0, Window.unboundedFollowing))
-    near = pixels.withColumn("__g", F.least(F.col("y") - up, down - F.col("y")))
-    row = F.sort_array(F.collect_list(F.when(F.col("__g").isNotNull(), F.struct(F.col("x").alias("x"), F.col("__g").alias("g")))).over(_image("y")))
-    distance = F.array_min(F.transform("__row", lambda p: (p["x"] - F.col("x")) * (p["x"] - F.col("x")) + p["g"] * p["g"]))
-    return near.withColumn("__row", row).withColumn(out, distance.cast("double")).drop("__g", "__row")
+    near = _by_image(pixels).withColumn("__g", F.least(F.col("y") - up, down - F.col("y")).cast("double"))
+    names = near.columns
+
+    def run(batches):
+        for rows in whole_groups(batches, ["image_key", "y"]):
+            table = pa.Table.from_batches([rows])
+            start = run_starts(rows, ["image_key", "y"])
+            g = table.column("__g").to_numpy()
+            yield rows.append_column(out, pa.array(_least_sums(g * g, start), pa.float64(), from_pandas=True))
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in near.dtypes) + f", `{out}` double"
+    return near.select(*names).sortWithinPartitions("image_key", "y", "x").mapInArrow(run, schema).drop("__g")
+
+
+def _least_sums(column: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For each place of each row (rows begin at start), the least of column + squared distance over the row; nan where all are."""
+    far = np.where(np.isnan(column), np.inf, column)
+    best, size = far.copy(), len(far)
+    row = np.repeat(np.arange(len(start)), np.diff(np.append(start, size)))
+    step, longest = 1, int(np.diff(np.append(start, size)).max(initial=1))
+    while step < longest and (open_places := best > step * step).any():
+        same = row[step:] == row[:-step]
+        best[:-step] = np.where(same & open_places[:-step], np.minimum(best[:-step], far[step:] + step * step), best[:-step])
+        best[step:] = np.where(same & open_places[step:], np.minimum(best[step:], far[:-step] + step * step), best[step:])
+        step += 1
+    return np.where(np.isinf(best), np.nan, best)
 
 
 def interior(pixels: DataFrame, mask: str, out: str, quantile: float = 0.6) -> DataFrame:
     """The share of the mask's pixels farthest from its border, ties included; a mask without a border is all interior."""
-    far = squared_distance(pixels, mask, "__d2").withColumn("__d", F.sqrt("__d2"))
+    return interior_of(squared_distance(pixels, mask, "__d2"), "__d2", mask, out, quantile).drop("__d2")
+
+
+def interior_of(pixels: DataFrame, distance: str, mask: str, out: str, quantile: float = 0.6) -> DataFrame:
+    """interior where squared distances are known."""
+    far = pixels.withColumn("__d", F.sqrt(distance))
     limit = F.percentile(F.when(F.col(mask), F.col("__d")), 1.0 - quantile).over(_image())
-    return far.withColumn(out, F.col(mask) & (F.col("__d").isNull() | (F.col("__d") >= limit))).drop("__d", "__d2")
+    return far.withColumn(out, F.col(mask) & (F.col("__d").isNull() | (F.col("__d") >= limit))).drop("__d")
 
 
 def holes_filled(pixels: DataFrame, valid: str, values: Sequence[str], radius: int) -> DataFrame:
@@ -164,6 +201,21 @@ def holes_filled(pixels: DataFrame, valid: str, values: Sequence[str], radius: i
     return out.withColumn("newly_filled", filled).withColumn("unsupported", ~F.col(valid) & F.col("got").isNull()).drop("got")
 
 
+def fill_smoothed(pixels: DataFrame, values: Sequence[str], kernel: Sequence[float] = BINOMIAL_5) -> DataFrame:
+    """values of newly filled pixels blurred, so that copied patches don't show; all others stay."""
+    kinds = dict(pixels.dtypes)
+    for v in values:
+        pixels = convolved(pixels, v, kernel, "__blur")
+        fresh = F.floor(F.least(F.greatest(F.col("__blur") + 0.5, F.lit(0.0)), F.lit(255.0))).cast(kinds[v])
+        pixels = pixels.withColumn(v, F.when(F.col("newly_filled"), fresh).otherwise(F.col(v))).drop("__blur")
+    return pixels
+
+
+def mask_view(pixels: DataFrame, mask: str, out: str) -> DataFrame:
+    """A mask as a picture: 255 inside, 0 outside."""
+    return pixels.withColumn(out, F.when(F.col(mask), 255).otherwise(0))
+
+
 def border_crop(pixels: DataFrame, bad: str, border: float = 0.05, most_bad: float = 0.15) -> DataFrame:
     """image_key, bad_share, did_crop, and the part of the frame that stays: x0, y0 and, exclusive, x1, y1."""
     size = pixels.groupBy("image_key").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
@@ -223,6 +275,12 @@ def contact_sheet(panels: DataFrame, side: int = 320, columns: int = 5) -> DataF
     return tiles.withColumn("x", F.col("panel") % columns * side + F.col("x")).withColumn("y", F.floor(F.col("panel") / columns) * side + F.col("y")).drop("w", "h")
 
 
+def crossed(pixels: DataFrame, x: str, y: str, size: int = 6) -> DataFrame:
+    """r, g, b with a yellow cross at each image's (x, y), which are columns."""
+    at = ((F.col("x") == F.col(x)) & (F.abs(F.col("y") - F.col(y)) <= size)) | ((F.col("y") == F.col(y)) & (F.abs(F.col("x") - F.col(x)) <= size))
+    return pixels.withColumns({c: F.when(at, 0 if c == "b" else 255).otherwise(F.col(c)) for c in "rgb"})
+
+
 def overlaid(pixels: DataFrame, mask: str, interior: str, strength: float = 0.4) -> DataFrame:
     """r, g, b with the mask's outline in red and its interior tinted green."""
     edged = outlined(pixels, mask, "__edge")
@@ -259,7 +317,7 @@ def colour_matched(pixels: DataFrame, reference: DataFrame, channels: Sequence[s
 
 def outlined(pixels: DataFrame, mask: str, out: str) -> DataFrame:
     """Mask pixels with a 4-neighbour that is outside the mask or the image."""
-    same = F.lit(True)
+    same, pixels = F.lit(True), _by_image(pixels)
     for key, along in (("y", "x"), ("x", "y")):
         line = _image(key).orderBy(along)
         same = same & F.coalesce(F.lag(mask).over(line), F.lit(False)) & F.coalesce(F.lead(mask).over(line), F.lit(False))

@@ -1,7 +1,8 @@
 """Photographs to centred top-down views: the stages as one plan over pixel relations, with Parquet layers between them and a run record.
 
 Each stage is a function of relations; a stage whose results other stages share is written as a layer, which is where a plan's lineage
-ends and what a later run can take up. An image that fails stays in the summary with its error and stops no other.
+ends. A run that ended early is taken up under its own id: layers that are whole are read, the first that isn't is computed, and so is all
+behind it. An image that fails stays in the records with its error and stops no other.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from canopyspark.config import PipelineConfig
@@ -24,7 +25,15 @@ from canopyspark.operators import pixels as px
 from canopyspark.operators import points as pt
 from canopyspark.sources import codecs, images, tables
 
-RECORD = "image_key string, stage string, status string, runtime_seconds double, error string, config_hash string, source_sha256 string, source_size long"
+RECORD = "image_key string, stage string, status string, runtime_seconds double, error string, config_hash string, source_sha256 string, source_size long, finished_at timestamp, run_id string"
+_RUNS = "config_hash string, inputs_hash long, started_at timestamp, run_id string"
+#: The layer that each stage's result is in; a stage whose layer has a row of an image (with ok, if there is such a column) is done for it.
+LAYER_OF = {
+    "validate": "rasters", "initial_depth": "depth", "crop_mask": "masks", "ai_outpaint": "canvas", "extended_depth": "canvas_depth", "extended_crop_mask": "extended", "backprojection": "points",
+    "camera": "centres", "camera_fitting": "cameras", "render": "rendered", "fill": "frames", "post_warp_super_resolution": "upscaled", "finalize": "finals",
+}
+#: Errors of stages that give an image no row.
+NO_ROW = {"backprojection": "no finite points", "camera": "no original points to centre on"}
 
 
 @dataclass(frozen=True)
@@ -44,10 +53,19 @@ class Run:
     config: PipelineConfig
     models: Models
     run_id: str = field(default_factory=lambda: time.strftime("run_%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:6])
+    #: Layers by name, seconds that each took, and whether whole layers of an earlier attempt are still good.
+    layers: dict[str, DataFrame] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
+    taken_up: bool = False
 
     def layer(self, df: DataFrame, name: str) -> DataFrame:
-        tables.write_layer(df, self.root, name, self.run_id)
-        return self.spark.read.schema(df.schema).parquet(f"{self.root.rstrip('/')}/{name}/run_id={self.run_id}")
+        began = time.time()
+        self.taken_up = self.taken_up and tables.is_complete(self.spark, self.root, name, self.run_id)
+        if not self.taken_up:
+            tables.write_layer(df, self.root, name, self.run_id)
+        self.seconds[name] = time.time() - began
+        self.layers[name] = self.spark.read.schema(df.schema).parquet(tables.layer_path(self.root, name, self.run_id))
+        return self.layers[name]
 
 
 def vegetation(pixels: DataFrame, masks: DataFrame | None = None) -> DataFrame:
@@ -73,13 +91,17 @@ def extended_layers(run: Run, rasters: DataFrame, pixels: DataFrame) -> DataFram
     """The canvas's pixels with depth d, is_original, in_crop_mask and in_crop_interior: what the original has is kept where it is, and the
     canvas's depth is aligned to it."""
     masks = run.models.masks(rasters) if run.models.masks else None
+    depth = run.layer(models.estimated_depth(rasters, run.models.depth), "depth")
     own = px.interior(vegetation(pixels, masks), "mask", "interior", run.config.CROP_INTERIOR_QUANTILE).select("image_key", "x", "y", "mask", "interior")
-    own = own.join(models.estimated_depth(rasters, run.models.depth), ["image_key", "x", "y"]).withColumnRenamed("d", "own_d")
+    own = run.layer(own, "masks")
+    own = own.join(models.depth_pixels(depth), ["image_key", "x", "y"]).withColumnRenamed("d", "own_d")
     grown, pads = canvas(run, rasters)
+    wide_depth = run.layer(models.estimated_depth(grown, run.models.depth), "canvas_depth")
     wide = vegetation(codecs.pixels_of(grown)).select("image_key", "x", "y", "r", "g", "b", "w", "h", F.col("mask").alias("wide_mask"))
-    wide = wide.join(models.estimated_depth(grown, run.models.depth), ["image_key", "x", "y"])
+    wide = wide.join(models.depth_pixels(wide_depth), ["image_key", "x", "y"])
     moved = own.join(pads, "image_key").select("image_key", (F.col("x") + F.col("pad_x")).alias("x"), (F.col("y") + F.col("pad_y")).alias("y"), "mask", "interior", "own_d")
-    both = run.layer(wide.join(moved, ["image_key", "x", "y"], "left"), "extended")
+    both = wide.join(moved, ["image_key", "x", "y"], "left")
+    both = run.layer(both.join(own.select("image_key").distinct(), "image_key", "left_semi"), "extended")
     fit = px.affine_alignment(both.where(F.col("own_d").isNotNull()), "d", "own_d")
     aligned = F.least(F.greatest(F.col("a") * F.col("d") + F.col("b_"), F.lit(0.0)), F.lit(1.0))
     placed = both.join(fit.withColumnRenamed("b", "b_"), "image_key")
@@ -95,6 +117,7 @@ def rendered(run: Run, pixels: DataFrame, out_w: int, out_h: int) -> tuple[DataF
     c = run.config
     points = run.layer(pt.backproject(pixels, c.ASSUMED_HFOV_DEG, c.BACKPROJECT_STRIDE), "points")
     centres = pt.crop_centre(points)
+    run.layer(centres.where("fallback_used <> 'none'").select("image_key"), "centres")
     cameras = pt.placed_cameras(centres.where("fallback_used <> 'none'"), c.ALTITUDE_M, c.TILT_DEGREES)
     cameras = run.layer(pt.fitted_cameras(pt.selected(points, centres), cameras, out_w, out_h, c.CAMERA_FRAME_FILL, c.MIN_VIRTUAL_HFOV_DEG, c.MAX_VIRTUAL_HFOV_DEG), "cameras")
     hit = pt.zbuffer(points, cameras, out_w, out_h, c.SPLAT_RADIUS, ["r", "g", "b"])
@@ -102,7 +125,8 @@ def rendered(run: Run, pixels: DataFrame, out_w: int, out_h: int) -> tuple[DataF
     found = hit.select("image_key", F.col("u").alias("x"), F.col("v").alias("y"), "r", "g", "b", "z", "synthesized")
     frame = grid.withColumns({"x": F.col("x").cast("long"), "y": F.col("y").cast("long")}).join(found, ["image_key", "x", "y"], "left")
     frame = frame.withColumns({"valid": F.col("z").isNotNull(), "synthesized": F.coalesce("synthesized", F.lit(False)), **{k: F.coalesce(k, F.lit(0)) for k in "rgb"}})
-    filled = run.layer(px.holes_filled(frame, "valid", ["r", "g", "b"], c.FILL_RADIUS), "frames")
+    frame = run.layer(frame, "rendered")
+    filled = run.layer(px.fill_smoothed(px.holes_filled(frame, "valid", ["r", "g", "b"], c.FILL_RADIUS), ["r", "g", "b"]), "frames")
     return px.cropped(filled, px.border_crop(filled, "unsupported")), cameras
 
 
@@ -122,39 +146,117 @@ def run_images(run: Run, content: DataFrame, out_w: int = 640, out_h: int = 480)
     large = run.layer(small, "upscaled")
     finals = run.layer(codecs.rasters_of(finish.finished(codecs.pixels_of(large), frame)), "finals")
     shares = frame.groupBy("image_key").agg(*((F.avg(F.col(k).cast("double")) * 100).alias(f"{k}_pct") for k in ("valid", "synthesized", "newly_filled", "unsupported")))
-    out = rasters.select("image_key", "ok", "error", F.col("w").alias("original_width"), F.col("h").alias("original_height"))
-    out = out.join(cameras.select("image_key", "point_count", "fallback_used", "eye", "target", "hfov_deg"), "image_key", "left").join(shares, "image_key", "left")
-    out = out.join(large.select("image_key", F.col("scale").alias("effective_scale")), "image_key", "left").join(finals.select("image_key", F.col("w").alias("final_width"), F.col("h").alias("final_height")), "image_key", "left")
-    done = F.col("final_width").isNotNull()
-    error = F.coalesce("error", F.when(~done, "no original points to centre on"))
-    return out.withColumn("error", error).withColumn("status", F.when(done, mf.DONE).otherwise(mf.FAILED)).drop("ok")
+    masks = run.layers["masks"].groupBy("image_key").agg((F.avg(F.col("mask").cast("double")) * 100).alias("crop_mask_pct"))
+    ended = stage_records(run, rasters.select("image_key"))
+    status = ended.groupBy("image_key").agg(F.max(F.when(F.col("status") == mf.FAILED, F.col("error"))).alias("error"), F.bool_or(F.col("status") == mf.FAILED).alias("failed"), F.sum("runtime_seconds").alias("runtime_seconds"))
+    out = rasters.select("image_key", F.col("w").alias("original_width"), F.col("h").alias("original_height"))
+    out = out.join(status, "image_key").withColumn("status", F.when(F.col("failed"), mf.FAILED).otherwise(mf.DONE)).drop("failed")
+    out = out.join(masks, "image_key", "left").join(cameras.select("image_key", "point_count", "fallback_used", "eye", "target", "hfov_deg"), "image_key", "left").join(shares, "image_key", "left")
+    return out.join(large.select("image_key", F.col("scale").alias("effective_scale")), "image_key", "left").join(finals.select("image_key", F.col("w").alias("final_width"), F.col("h").alias("final_height")), "image_key", "left")
+
+
+def stage_records(run: Run, images: DataFrame) -> DataFrame:
+    """image_key, stage, status, runtime_seconds and error of all thirteen stages of the run's images.
+
+    An image's first stage without a good result is failed, with the error, and the later ones are pending; stages that are switched off
+    are skipped. runtime_seconds is an image's share of what its stage's layer took for all of them.
+    """
+    config = run.config
+    off = {"ai_outpaint": not config.AI_OUTPAINT_ENABLED, "post_warp_super_resolution": not config.POST_WARP_SUPER_RESOLUTION_ENABLED}
+    found = None
+    for place, (stage, name) in enumerate(LAYER_OF.items()):
+        layer = run.layers[name]
+        own = layer.select("image_key", "ok", "error") if "ok" in layer.columns else layer.select("image_key", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error")).distinct()
+        own = own.withColumns({"place": F.lit(place), "stage": F.lit(stage)})
+        found = own if found is None else found.unionByName(own)
+    number = max(1, images.count())
+    told = F.create_map(*(x for s, e in NO_ROW.items() for x in (F.lit(s), F.lit(e))))
+    stages = F.array(*(F.struct(F.lit(k).alias("place"), F.lit(s).alias("stage"), F.lit(run.seconds[name] / number).alias("seconds"), F.lit(off.get(s, False)).alias("off")) for k, (s, name) in enumerate(LAYER_OF.items())))
+    every = images.select("image_key", F.explode(stages).alias("s")).select("image_key", "s.*")
+    joined = every.join(found.drop("stage"), ["image_key", "place"], "left").withColumn("good", F.coalesce("ok", F.lit(False)))
+    first = F.min(F.when(~F.col("good"), F.col("place"))).over(Window.partitionBy("image_key"))
+    judged = joined.withColumn("first", first)
+    reached = F.col("first").isNull() | (F.col("place") <= F.col("first"))
+    status = F.when(F.col("place") == F.col("first"), mf.FAILED).when(~reached, mf.PENDING).when(F.col("off"), mf.SKIPPED).otherwise(mf.DONE)
+    error = F.when(F.col("place") == F.col("first"), F.coalesce("error", F.element_at(told, F.col("stage")), F.concat("stage", F.lit(" gave no result"))))
+    return judged.select("image_key", "stage", status.alias("status"), F.when(reached, F.col("seconds")).alias("runtime_seconds"), error.alias("error"))
+
+
+def _records(spark: SparkSession, root: str) -> DataFrame:
+    return mf.latest_runs(tables.read_layer(spark, root, "stage_runs", RECORD))
+
+
+def _manifest(records: DataFrame) -> DataFrame:
+    """One row per image: its stages, and the configuration and content that its last stage was computed from."""
+    record = F.struct("status", "runtime_seconds", "error")
+    last = {k: F.max_by(k, F.struct("finished_at", "run_id")).alias(k) for k in ("config_hash", "source_sha256", "source_size")}
+    return records.groupBy("image_key").agg(F.map_from_entries(F.collect_list(F.struct("stage", record))).alias("stages"), *last.values())
+
+
+def _unfinished(spark: SparkSession, root: str, config: PipelineConfig, inputs_hash: int) -> str | None:
+    """The last run, if it had the same configuration and inputs and left no records."""
+    last = tables.read_layer(spark, root, "runs", _RUNS).orderBy(F.desc("started_at")).first()
+    same = last and config.RESUME and not config.OVERWRITE and (last["config_hash"], last["inputs_hash"]) == (config.content_hash(), inputs_hash)
+    return last["run_id"] if same and not tables.is_complete(spark, root, "stage_runs", last["run_id"]) else None
 
 
 def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, config: PipelineConfig | None = None, parts: Models | None = None) -> DataFrame:
-    """The summary of all images below input_folder. Images whose last run had the same content and settings are not computed again, unless
-    the configuration says so; records of files that are gone stay, with present false."""
+    """The summary of all images below input_folder: one row each, with every stage's status. Images whose stages are all done with the same
+    content and settings are not computed again, unless the configuration says so; records of files that are gone stay, with present false.
+
+    Layers of the output folder: finals (raster rows), canopy_views (the same as files, under the sources' names), stage_runs, summaries and
+    summary_csv, runs and log, and the intermediate ones.
+    """
     config = config or PipelineConfig()
     config.validate()
-    run = Run(spark, output_folder, config, parts or Models())
+    began, events = time.time(), []
     listed = images.discovered(spark, input_folder, config.RECURSIVE)
     content = images.contents(spark, input_folder)
-    seen = images.checked(listed, content)
-    before = mf.latest_runs(tables.read_layer(spark, output_folder, "stage_runs", RECORD + ", run_id string, finished_at timestamp"))
-    known = before.where((F.col("stage") == "finalize") & (F.col("status") == mf.DONE) & (F.col("config_hash") == config.content_hash()))
-    same = known.select("image_key", F.col("source_sha256").alias("s"), F.col("source_size").alias("n"))
-    todo = content if config.OVERWRITE or not config.RESUME else content.join(same, "image_key", "left").where(~F.coalesce((F.col("source_sha256") == F.col("s")) & (F.col("source_size") == F.col("n")), F.lit(False))).drop("s", "n")
-    began = time.time()
-    summary = run.layer(run_images(run, todo), "summaries")
-    if not config.CONTINUE_ON_ERROR and not summary.where(F.col("status") == mf.FAILED).isEmpty():
-        raise RuntimeError(summary.where(F.col("status") == mf.FAILED).select("image_key", "error").first())
-    unread = seen.where(F.col("error").isNotNull()).select("image_key", F.lit("validate").alias("stage"), F.lit(mf.FAILED).alias("status"), F.lit(0.0).alias("runtime_seconds"), "error", "source_sha256", F.col("length").alias("source_size"))
-    ended = summary.join(seen.select("image_key", "source_sha256", "source_size"), "image_key").select("image_key", F.lit("finalize").alias("stage"), "status", F.lit(time.time() - began).alias("runtime_seconds"), "error", "source_sha256", "source_size")
-    records = ended.unionByName(unread).select("image_key", "stage", "status", "runtime_seconds", "error", F.lit(config.content_hash()).alias("config_hash"), "source_sha256", "source_size", F.current_timestamp().alias("finished_at"))
-    run.layer(records, "stage_runs")
-    everything = tables.read_layer(spark, output_folder, "stage_runs", RECORD + ", run_id string, finished_at timestamp")
-    last = everything.withColumn("stage", F.lit("image"))
+    run = Run(spark, output_folder, config, parts or Models())
+    seen = run.layer(images.checked(listed, content), "sources")
+    before = _records(spark, output_folder)
+    todo = mf.work_list(seen.where("error IS NULL").select("image_key", "source_sha256", "source_size"), _manifest(before), mf.STAGES[-1], config.content_hash(), config.RESUME, config.OVERWRITE)
+    inputs_hash = todo.agg(F.coalesce(F.bit_xor(F.xxhash64("image_key", "source_sha256")), F.lit(0).cast("long"))).first()[0]
+    if earlier := _unfinished(spark, output_folder, config, inputs_hash):
+        run.run_id, run.taken_up = earlier, True
+    else:
+        row = spark.createDataFrame([(config.content_hash(), inputs_hash)], "config_hash string, inputs_hash long").withColumn("started_at", F.current_timestamp())
+        tables.write_layer(row, output_folder, "runs", run.run_id)
+    tables.write_layer(todo, output_folder, "work", run.run_id)
+    todo = spark.read.parquet(tables.layer_path(output_folder, "work", run.run_id))
+    summary = run_images(run, content.join(todo.select("image_key"), "image_key", "left_semi"))
+    tables.write_layer(summary, output_folder, "summaries", run.run_id)
+    records = stage_records(run, run.layers["rasters"].select("image_key"))
+    unread = seen.where("error IS NOT NULL").select("image_key", F.lit(mf.STAGES[0]).alias("stage"), F.lit(mf.FAILED).alias("status"), F.lit(0.0).alias("runtime_seconds"), "error")
+    prints = seen.select("image_key", "source_sha256", F.coalesce("source_size", "length").alias("source_size"))
+    records = records.unionByName(unread).join(prints, "image_key").withColumns({"config_hash": F.lit(config.content_hash()), "finished_at": F.current_timestamp()})
+    codecs.exported(run.layers["finals"], f"{output_folder.rstrip('/')}/{tables.EXPORTS}").write.format("noop").mode("overwrite").save()
+    tables.write_layer(records, output_folder, "stage_runs", run.run_id)
+    events += [(name, float(seconds)) for name, seconds in run.seconds.items()] + [("all", time.time() - began)]
+    tables.write_layer(spark.createDataFrame(events, "layer string, seconds double").withColumn("logged_at", F.current_timestamp()), output_folder, "log", run.run_id, "json")
+    if not config.CONTINUE_ON_ERROR and (bad := records.where(F.col("status") == mf.FAILED).select("image_key", "error").first()):
+        raise RuntimeError(bad)
+    out = full_summary(spark, output_folder, seen)
+    flat = out.withColumns({k: F.to_json(k) for k, kind in out.dtypes if kind.startswith("struct")})
+    tables.write_layer(flat, output_folder, "summary_csv", run.run_id, "csv", header="true")
+    return out
+
+
+def full_summary(spark: SparkSession, output_folder: str, seen: DataFrame) -> DataFrame:
+    """One row per image that any run has a record of: status, error, seconds, fingerprint, base figures, and every stage's status and seconds."""
+    records = _records(spark, output_folder)
+    last = records.groupBy("image_key").agg(
+        F.max_by("run_id", F.struct("finished_at", "run_id")).alias("run_id"), F.max(F.when(F.col("status") == mf.FAILED, F.col("error"))).alias("error"),
+        *(F.max_by(k, F.struct("finished_at", "run_id")).alias(k) for k in ("config_hash", "source_sha256", "source_size")),
+    )
+    stages = mf.summary(records, mf.STAGES).withColumnsRenamed({"overall_status": "status", "total_seconds": "runtime_seconds"})
+    path = f"{output_folder.rstrip('/')}/summaries"
+    base = spark.read.parquet(path).drop("status", "error", "runtime_seconds") if tables.read_layer(spark, output_folder, "summaries", "image_key string").take(1) else None
+    out = last.join(stages, "image_key")
+    if base is not None:
+        out = out.join(base, ["image_key", "run_id"], "left")
     present = seen.select("image_key", F.lit(True).alias("present"))
-    return mf.latest_runs(last).join(present, "image_key", "left").select("image_key", "status", "error", "runtime_seconds", "config_hash", "source_sha256", "source_size", "run_id", F.coalesce("present", F.lit(False)).alias("present"))
+    return out.join(present, "image_key", "left").withColumn("present", F.coalesce("present", F.lit(False)))
 
 
 def process_single_image(spark: SparkSession, path: str, output_folder: str, config: PipelineConfig | None = None, parts: Models | None = None) -> DataFrame:

@@ -214,7 +214,7 @@ SELECT image_key, round(CASE WHEN share < 0.05 THEN 100.0 ELSE share * 100 END,
 
 
 def distance_interior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = px.interior(px.squared_distance(masked(spark, sf_dir), "mask", "d2"), "mask", "interior", QUANTILE)
+    out = px.interior_of(px.squared_distance(masked(spark, sf_dir), "mask", "d2"), "d2", "mask", "interior", QUANTILE)
     return out.select("image_key", "x", "y", F.when(F.col("mask"), F.col("d2")).otherwise(0.0).alias("d2"), "interior")
 
 

@@ -17,7 +17,7 @@ STATUS = {"click": mf.DONE, "view": mf.DONE, "purchase": mf.SKIPPED, "signup": m
 def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list of paths made from part: image and other files, hidden ones, and ones in owned folders."""
     ends = F.array(*(F.lit(e) for e in (".jpg", ".JPEG", ".png", ".txt", ".TIFF", ".webp", ".gif", "")))
-    folder = F.when(F.col("p_partkey") % 11 == 0, "_canopy_temp/").when(F.col("p_partkey") % 13 == 0, ".cache/").otherwise(F.concat(F.lit("farm_"), (F.col("p_partkey") % 4).cast("string"), F.lit("/")))
+    folder = F.when(F.col("p_partkey") % 11 == 0, f"{im.OWNED[0]}/").when(F.col("p_partkey") % 13 == 0, ".cache/").otherwise(F.concat(F.lit("farm_"), (F.col("p_partkey") % 4).cast("string"), F.lit("/")))
     name = F.concat(F.when(F.col("p_partkey") % 7 == 0, ".").otherwise(""), F.lit("f"), F.col("p_partkey").cast("string"))
     return table(spark, sf_dir, "part").select(F.concat(folder, name, ends[(F.col("p_partkey") % 8).cast("int")]).alias("image_key"))
 
@@ -27,7 +27,7 @@ def discover_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DISCOVER = f"""WITH p AS (
-    SELECT (CASE WHEN p_partkey % 11 = 0 THEN '_canopy_temp/' WHEN p_partkey % 13 = 0 THEN '.cache/' ELSE 'farm_' || (p_partkey % 4) || '/' END) || (CASE WHEN p_partkey % 7 = 0 THEN '.' ELSE '' END)
+    SELECT (CASE WHEN p_partkey % 11 = 0 THEN '{im.OWNED[0]}/' WHEN p_partkey % 13 = 0 THEN '.cache/' ELSE 'farm_' || (p_partkey % 4) || '/' END) || (CASE WHEN p_partkey % 7 = 0 THEN '.' ELSE '' END)
         || 'f' || p_partkey || list_extract(['.jpg', '.JPEG', '.png', '.txt', '.TIFF', '.webp', '.gif', ''], CAST(p_partkey % 8 + 1 AS INTEGER)) AS image_key FROM part)
 SELECT image_key, lower(regexp_extract(image_key, '(\\.[^./]+)$', 1)) AS extension FROM p
 WHERE lower(regexp_extract(image_key, '(\\.[^./]+)$', 1)) IN ({", ".join(f"'{e}'" for e in im.EXTENSIONS)}) AND NOT starts_with(list_extract(string_split(image_key, '/'), -1), '.')
@@ -87,12 +87,13 @@ SELECT image_key, stage, CASE WHEN list_position({_NAMES}, stage) > (CASE WHEN i
 
 
 def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = _manifest(spark, sf_dir).where("image_key % 2 = 0").select("image_key", "source_sha256", "source_size", F.lit("done").alias("status"))
-    return mf.upserted(old, _images(spark, sf_dir).where("image_key % 3 <> 0"))
+    """All images of events as the old records, all customers as the files that are there."""
+    old = _manifest(spark, sf_dir).select("image_key", "source_sha256", "source_size", F.lit("done").alias("status"))
+    return mf.upserted(old, _images(spark, sf_dir))
 
 
-UPSERT = f"""WITH {_IMAGES}, new AS (SELECT * FROM im WHERE image_key % 3 <> 0),
-old AS (SELECT DISTINCT user_id AS image_key, sha256(CAST(user_id AS VARCHAR)) AS source_sha256, user_id % 100 AS source_size, 'done' AS status FROM events WHERE user_id % 2 = 0)
+UPSERT = f"""WITH {_IMAGES}, new AS (SELECT * FROM im),
+old AS (SELECT DISTINCT user_id AS image_key, sha256(CAST(user_id AS VARCHAR)) AS source_sha256, user_id % 100 AS source_size, 'done' AS status FROM events)
 SELECT coalesce(new.image_key, old.image_key) AS image_key, coalesce(new.source_sha256, old.source_sha256) AS source_sha256, coalesce(new.source_size, old.source_size) AS source_size, coalesce(old.status, 'pending') AS status,
     coalesce(old.source_sha256 <> new.source_sha256, false) AS changed, new.image_key IS NOT NULL AS present FROM old FULL OUTER JOIN new ON old.image_key = new.image_key"""
 

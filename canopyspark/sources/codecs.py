@@ -38,7 +38,7 @@ def _ppm(content: bytes) -> np.ndarray:
 
 
 def _unfiltered(raw: np.ndarray, step: int) -> np.ndarray:
-    """Rows of a PNG (filter byte first) as plain bytes."""
+    """Rows of a PNG (filter byte first) as plain bytes. The last resort where Pillow is missing: two filters take a step a byte."""
     out = np.zeros((len(raw), raw.shape[1] - 1), np.uint8)
     above = np.zeros(out.shape[1], np.uint8)
     for row, line in zip(out, raw, strict=True):
@@ -154,12 +154,46 @@ def rasters_of(pixels: DataFrame) -> DataFrame:
     return pixels.select("image_key", "x", "y", "r", "g", "b").groupBy("image_key").applyInPandas(run, RASTER)
 
 
-def encoded(rasters: DataFrame) -> DataFrame:
-    """image_key and content: each raster as a PNG file's bytes."""
+def encode(image: np.ndarray, extension: str = ".png", quality: int = 95) -> bytes:
+    """A file's bytes, in the format of the extension where Pillow is installed; without it, PNG whatever the extension."""
+    if Image and extension.lower() != ".png":
+        kind = {".jpg": "JPEG", ".jpeg": "JPEG", ".tif": "TIFF", ".tiff": "TIFF", ".webp": "WEBP"}[extension.lower()]
+        out = io.BytesIO()
+        Image.fromarray(image).save(out, kind, **({"quality": quality} if kind in ("JPEG", "WEBP") else {}))
+        return out.getvalue()
+    return encode_png(image)
+
+
+def file_name(image_key: str) -> str:
+    """The source's own name; what can only be written as PNG gets that extension behind it."""
+    extension = image_key[image_key.rfind(".") :].lower()
+    return image_key if Image or extension == ".png" else f"{image_key}.png"
+
+
+def exported(rasters: DataFrame, root: str) -> DataFrame:
+    """image_key, path and size of a picture file below root for each raster, under its source's name. root is a folder of a file system
+    that all executors reach. A file is written beside its place and moved there, so a task that runs again does no harm."""
 
     def run(batches):
-        for batch in batches:
-            content = [encode_png(np.frombuffer(d.as_buffer(), np.uint8).reshape(h.as_py(), w.as_py(), 3)) for w, h, d in zip(*(batch.column(k) for k in (1, 2, 3)), strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(content, pa.binary())], ["image_key", "content"])
+        import uuid
 
-    return rasters.where("ok").select("image_key", "w", "h", "data").mapInArrow(run, "image_key string, content binary")
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        for batch in batches:
+            rows = []
+            for key, w, h, data in zip(*(batch.column(k) for k in range(4)), strict=True):
+                name = file_name(key.as_py())
+                image = np.frombuffer(data.as_buffer(), np.uint8).reshape(h.as_py(), w.as_py(), 3)
+                content = encode(image, name[name.rfind(".") :])
+                path = f"{base.rstrip('/')}/{name}"
+                store.create_dir(path.rpartition("/")[0], recursive=True)
+                part = f"{path}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
+                    out.write(content)
+                store.move(part, path)
+                rows.append((key.as_py(), path, len(content)))
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["image_key", "path", "size"])
+
+    return rasters.where("ok").select("image_key", "w", "h", "data").mapInArrow(run, "image_key string, path string, size long")

@@ -1,14 +1,15 @@
-"""Intermediate layers as Parquet tables by run: atomic writes, guarded reads, cleaning up."""
+"""Intermediate layers as Parquet tables by run: whole writes, guarded reads, cleaning up, unfinished runs."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-
-def write_layer(df: DataFrame, root: str, layer: str, run_id: str) -> None:
-    """Replaces the layer of one run; a reader sees the old table or the new one, as Spark commits a write as a whole."""
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{layer}/run_id={run_id}")
+#: Layers that stay when a run's others are deleted, and the folder of exported pictures.
+EXPORTS = "canopy_views"
+KEPT = ("finals", "stage_runs", "summaries", "summary_csv", "runs", "log", EXPORTS)
 
 
 def _store(spark: SparkSession, path: str):
@@ -16,8 +17,26 @@ def _store(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def layer_path(root: str, layer: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/run_id={run_id}"
+
+
+def write_layer(df: DataFrame, root: str, layer: str, run_id: str, format: str = "parquet", **options: str) -> None:
+    """Replaces the layer of one run. The new table is written beside the old one and renamed when it is whole, so that a run that ends
+    early leaves the old table; where the store renames in one step, a reader finds either or, for that moment, none."""
+    path = layer_path(root, layer, run_id)
+    beside = f"{root.rstrip('/')}/_{layer}-{run_id}-{uuid.uuid4().hex}"
+    df.write.format(format).options(**options).save(beside)
+    target, store = _store(df.sparkSession, path)
+    fresh, _ = _store(df.sparkSession, beside)
+    store.delete(target, True)
+    store.mkdirs(target.getParent())
+    if not store.rename(fresh, target):
+        raise OSError(f"{beside} could not be renamed to {path}")
+
+
 def is_complete(spark: SparkSession, root: str, layer: str, run_id: str) -> bool:
-    where, store = _store(spark, f"{root.rstrip('/')}/{layer}/run_id={run_id}/_SUCCESS")
+    where, store = _store(spark, layer_path(root, layer, run_id) + "/_SUCCESS")
     return store.exists(where)
 
 
@@ -29,13 +48,16 @@ def read_layer(spark: SparkSession, root: str, layer: str, schema: StructType |
     return spark.read.schema(schema).parquet(where.toString())
 
 
-def clean_run(spark: SparkSession, root: str, run_id: str, keep: tuple[str, ...] = ("manifest", "results")) -> list[str]:
-    """Deletes a run's intermediate layers, but those to keep; returns the layers that went."""
+def clean_run(spark: SparkSession, root: str, run_id: str, keep: tuple[str, ...] = KEPT) -> list[str]:
+    """Deletes a run's intermediate layers, but those to keep, and what writes that ended early have left; returns the layers that went."""
     top, store = _store(spark, root)
     gone = []
     for status in store.listStatus(top):
         layer = status.getPath().getName()
-        where, _ = _store(spark, f"{root.rstrip('/')}/{layer}/run_id={run_id}")
+        if layer.startswith("_") and f"-{run_id}-" in layer:
+            store.delete(status.getPath(), True)
+            continue
+        where, _ = _store(spark, layer_path(root, layer, run_id))
         if layer not in keep and store.exists(where):
             store.delete(where, True)
             gone.append(layer)

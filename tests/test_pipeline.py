@@ -25,14 +25,14 @@ def field_picture(h=40, w=56):
 def folder(tmp_path_factory):
     root = tmp_path_factory.mktemp("photos")
     (root / "farm_2").mkdir()
-    (root / "_canopy_temp").mkdir()
+    (root / "canopy_views").mkdir()
     (root / "a.png").write_bytes(codecs.encode_png(field_picture()))
     (root / "farm_2/b.PNG").write_bytes(codecs.encode_png(field_picture(32, 48)))
     (root / "broken.png").write_bytes(b"no picture")
     (root / "empty.jpg").write_bytes(b"")
     (root / ".hidden.jpg").write_bytes(b"x")
     (root / "notes.txt").write_text("x")
-    (root / "_canopy_temp/old.png").write_bytes(codecs.encode_png(field_picture()))
+    (root / "canopy_views/old.png").write_bytes(codecs.encode_png(field_picture()))
     return root
 
 
@@ -58,10 +58,108 @@ def test_whole_pipeline_and_resume(spark, folder, tmp_path, monkeypatch):
     assert finals["w"] * finals["h"] * 3 == len(finals["data"]) and finals["w"] > 32
     summary = spark.read.parquet(str(tmp_path / "summaries")).where(F.col("image_key") == "a.png").first()
     assert summary["hfov_deg"] <= 52 and summary["valid_pct"] > 20 and summary["eye"]["y"] - summary["target"]["y"] == pytest.approx(10)
-    gone = tables.clean_run(spark, str(tmp_path), first["a.png"]["run_id"], keep=("finals", "stage_runs", "summaries"))
+    assert all(first["a.png"][f"{stage}_status"] == "done" for stage in manifest.STAGES) and first["a.png"]["final_width"] == finals["w"] and first["a.png"]["crop_mask_pct"] > 10
+    assert first["broken.png"]["validate_status"] == "failed" and first["broken.png"]["initial_depth_status"] == "pending"
+    # pictures are under their sources' names
+    assert codecs.decode((tmp_path / "canopy_views/a.png").read_bytes()).shape == (finals["h"], finals["w"], 3) and len(list((tmp_path / "canopy_views/farm_2").iterdir())) == 1
+    table = spark.read.option("header", "true").csv(str(tmp_path / "summary_csv"))
+    assert {r["image_key"]: r["status"] for r in table.where(F.col("run_id") == again["a.png"]["run_id"]).collect()}["a.png"] == "done"
+    assert spark.read.json(str(tmp_path / "log")).where("layer = 'finals' AND seconds > 0").count() == 2
+    gone = tables.clean_run(spark, str(tmp_path), first["a.png"]["run_id"])
     assert "points" in gone and tables.is_complete(spark, str(tmp_path), "finals", first["a.png"]["run_id"])
 
 
+def test_a_failing_model_fails_its_image_alone(spark, tmp_path, monkeypatch):
+    class Picky(models.RowDepth):
+        def estimate(self, image):
+            if image.shape[0] == 32:
+                raise RuntimeError("no depth for this one")
+            return super().estimate(image)
+
+    real = pipeline.run_images
+    monkeypatch.setattr(pipeline, "run_images", lambda run, content: real(run, content, 32, 24))
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "good.png").write_bytes(codecs.encode_png(field_picture()))
+    (source / "bad.png").write_bytes(codecs.encode_png(field_picture(32, 48)))
+    got = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), target, SMALL, pipeline.Models(depth=Picky)).collect()}
+    assert got["good.png"]["status"] == "done" and got["bad.png"]["status"] == "failed" and "no depth for this one" in got["bad.png"]["error"]
+    assert (got["bad.png"]["validate_status"], got["bad.png"]["initial_depth_status"], got["bad.png"]["finalize_status"]) == ("done", "failed", "pending")
+    # the failed one alone is computed again, and now succeeds
+    (source / "good.png").rename(source / "kept.png")
+    got = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), target, SMALL).collect()}
+    assert {k: (r["status"], r["present"]) for k, r in got.items()} == {"bad.png": ("done", True), "kept.png": ("done", True), "good.png": ("done", False)}
+
+
+def test_an_unfinished_run_is_taken_up(spark, tmp_path, monkeypatch):
+    real, broken = pipeline.run_images, finish.finished
+
+    def fails(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(pipeline, "run_images", lambda run, content: real(run, content, 32, 24))
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.png").write_bytes(codecs.encode_png(field_picture()))
+    monkeypatch.setattr(finish, "finished", fails)
+    with pytest.raises(KeyboardInterrupt):
+        pipeline.run_pipeline(spark, str(source), target, SMALL)
+    monkeypatch.setattr(finish, "finished", broken)
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out/points").iterdir()}
+    first = next(p.name for p in (tmp_path / "out/runs").iterdir() if p.name.startswith("run_id="))
+    got = pipeline.run_pipeline(spark, str(source), target, SMALL).first()
+    assert got["status"] == "done" and f"run_id={got['run_id']}" == first
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out/points").iterdir()} == before
+    assert pipeline._unfinished(spark, target, SMALL, 1) is None
+
+
+def test_layers_are_replaced_whole(spark, tmp_path):
+    tables.write_layer(spark.range(3), str(tmp_path), "numbers", "r")
+    with pytest.raises(Exception):  # noqa: B017
+        tables.write_layer(spark.range(3).select(F.raise_error(F.lit("stop"))), str(tmp_path), "numbers", "r")
+    assert tables.read_layer(spark, str(tmp_path), "numbers", "id long, run_id string").count() == 3 and tables.is_complete(spark, str(tmp_path), "numbers", "r")
+    tables.write_layer(spark.range(5), str(tmp_path), "numbers", "r")
+    assert tables.read_layer(spark, str(tmp_path), "numbers", "id long, run_id string").count() == 5
+    assert tables.clean_run(spark, str(tmp_path), "r") == ["numbers"]
+
+
+def test_command_line_has_every_setting():
+    import argparse
+
+    from canopyspark import __main__ as command
+
+    parser = argparse.ArgumentParser()
+    command._settings(parser)
+    args = vars(parser.parse_args(["--no-resume", "--altitude-m", "4.5", "--splat-radius", "1"]))
+    config = PipelineConfig(**args)
+    assert (config.RESUME, config.ALTITUDE_M, config.SPLAT_RADIUS, config.TILT_DEGREES) == (False, 4.5, 1, 0.0)
+
+
+def test_fill_smoothing_and_views(spark):
+    rows = [(1, x, y, x * 20 + y, x != 4, x == 4) for x in range(9) for y in range(9)]
+    frame = spark.createDataFrame(rows, "image_key int, x int, y int, r int, valid boolean, newly_filled boolean")
+    got = {(r["x"], r["y"]): r["r"] for r in px.fill_smoothed(frame.withColumn("r", F.when(F.col("valid"), F.col("r")).otherwise(0)), ["r"]).collect()}
+    plain = {(x, y): (x * 20 + y if x != 4 else 0) for x in range(9) for y in range(9)}
+    mirrored = lambda k: abs(k) if abs(k) < 9 else 16 - k
+    blur = sum(w * v * plain[4 + dx, mirrored(4 + dy)] for dx, w in zip(range(-2, 3), px.BINOMIAL_5, strict=True) for dy, v in zip(range(-2, 3), px.BINOMIAL_5, strict=True))
+    assert got[4, 4] == int(blur + 0.5) and all(got[k] == plain[k] for k in plain if k[0] != 4)
+    assert {r["m"] for r in px.mask_view(frame, "valid", "m").collect()} == {0, 255}
+    cross = px.crossed(frame.selectExpr("image_key", "x", "y", "r", "r AS g", "r AS b", "3 AS cx", "5 AS cy"), "cx", "cy", 2)
+    assert {(r["x"], r["y"]) for r in cross.collect() if (r["r"], r["g"], r["b"]) == (255, 255, 0)} == {(3, k) for k in range(3, 8)} | {(k, 5) for k in range(1, 6)}
+
+
+def test_distances_of_a_larger_raster(spark):
+    rng = np.random.default_rng(7)
+    mask = rng.random((70, 256)) < 0.97
+    mask[20:60, 40:200] = True
+    rows = [(k, int(x), int(y), bool(mask[y, x]) or k == 2) for k in (1, 2) for y in range(70) for x in range(256)]
+    got = {(r["image_key"], r["x"], r["y"]): r["d"] for r in px.squared_distance(spark.createDataFrame(rows, "image_key int, x int, y int, mask boolean"), "mask", "d").collect()}
+    ys, xs = np.nonzero(~mask)
+    for y in range(0, 70, 7):
+        for x in range(0, 256, 5):
+            assert got[1, x, y] == ((xs - x) ** 2 + (ys - y) ** 2).min() and got[2, x, y] is None
+
+
 def test_png_and_ppm_round_trip():
     image = np.random.default_rng(1).integers(0, 255, (9, 7, 3), dtype=np.uint8)
     assert (codecs.decode(codecs.encode_png(image)) == image).all()
@@ -191,11 +289,28 @@ def test_models_are_checked(spark):
         def estimate(self, image):
             return image[:1, :1, 0] * np.nan
 
+        def outpaint(self, image, mask):
+            return image[:1]
+
+        def upscale(self, image, scale):
+            return image[:1]
+
     raster = spark.createDataFrame([("k", True, None, 2, 2, bytearray(12))], codecs.RASTER)
-    with pytest.raises(Exception, match="depth model"):
-        models.estimated_depth(raster, Wrong).collect()
+    for made, told in ((models.estimated_depth(raster, Wrong), "depth model"), (models.outpainted(raster, 0.5, 0.5, Wrong), "outpaint model"), (models.upscaled(raster, 2.0, 64, Wrong), "upscale model")):
+        r = made.first()
+        assert not r["ok"] and told in r["error"] and r["data"] is None
     calls = []
-    assert models.retried(lambda: calls.append(1) or (1 / 0 if len(calls) < 3 else 7), 3) == 7
+
+    def scarce():
+        calls.append(1)
+        if len(calls) < 3:
+            raise MemoryError
+        return 7
+
+    assert models.retried(scarce, 3) == 7
+    with pytest.raises(ZeroDivisionError):
+        models.retried(lambda: calls.append(1) or 1 / 0, 3)
+    assert len(calls) == 4
 
 
 def test_stage_marks(spark):
