@@ -264,13 +264,19 @@ def by_arrays(t: Threshold) -> Callable[[pa.Table], Callable[[int, np.ndarray],
 
 
 def shingle_arrays(docs: DataFrame, t: Threshold) -> DataFrame:
-    """tile (the family), vertex (f1), n, copies and the sorted hashes (bytes) of rows whose set has the fingerprint f1, f2 beside it."""
+    """tile (the family), vertex (f1), n, copies and the sorted hashes (bytes) of rows whose set has the fingerprint f1, f2 beside it; of
+    repeated rows, one for each task."""
 
     def run(batches):
+        seen = np.zeros(0, np.int64)
         for batch in batches:
             for part, value, _, count in _sets(batch, t.n):
                 f1, f2 = _prints(value, count)
-                same = (f1 == np.asarray(part.column(4))) & (f2 == np.asarray(part.column(5)))
+                same = (f1 == np.asarray(part.column(4))) & (f2 == np.asarray(part.column(5))) & ~np.isin(f1, seen)
+                rows = np.flatnonzero(same)
+                same[:] = False
+                same[rows[np.unique(f1[rows], return_index=True)[1]]] = True
+                seen = np.union1d(seen, f1[same])
                 sets = [v.tobytes() for v in np.split(value, np.cumsum(count)[:-1])]
                 out = pa.record_batch([part.column(2), part.column(4), pa.array(count, pa.int64()), part.column(3), pa.array(sets, pa.binary())], ["tile", "vertex", "n", "copies", "hashes"])
                 yield out.filter(pa.array(same))
@@ -326,10 +332,10 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     families = connected_components(connecting_edges(members, by_bitmaps(t), "bits", ROWS, UNITS, scratch), scratch)
     families = families.join(classes.where("least IS NOT NULL").select(F.col("f1").alias("vertex"), "f1", "f2", "copies", "least"), "vertex")
     asked = families.select(F.col("least").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2")
-    arrays = shingle_arrays(docs.join(asked, "doc_id"), t).dropDuplicates(["vertex"])
-    arrays = scratch.written(arrays, "arrays")
+    # the same join at every size, so that what small tables take tells what large ones will
+    arrays = scratch.written(shingle_arrays(docs.join(asked.hint("merge"), "doc_id"), t), "arrays")
     if count_links:
-        links = scratch.written(all_links(tiled(arrays, "tile", "vertex", ROWS, UNITS), t), "links")
+        links = scratch.written(all_links(tiled(arrays.dropDuplicates(["vertex"]), "tile", "vertex", ROWS, UNITS), t), "links")
     else:
         links = connecting_edges(arrays, by_arrays(t), "hashes", ROWS, UNITS, scratch)
 
