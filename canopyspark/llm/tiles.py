@@ -13,6 +13,8 @@ from canopyspark.llm.shared import Scratch
 
 #: Makes, of a tile's rows, the function that tells which of some rows (by number) are near one row.
 Nearness = Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]
+#: Blocks of a group up to which all its pairs are compared at once, each row being shuffled once for each block.
+FEW_BLOCKS = 8
 #: Parts that a block is cut into where rows are held against one row only, so that tasks are even.
 PARTS = 4
 
@@ -87,26 +89,27 @@ def roots(size: int, near: Callable[[int, np.ndarray], np.ndarray], side: np.nda
 def connecting_edges(members: DataFrame, nearness: Nearness, payload: str, rows: int, units: int, scratch: Scratch) -> DataFrame:
     """a, b: edges that connect the members of each group just as all near pairs of the group would.
 
-    members: tile (the group, named by one of its members), vertex, n and the payload that nearness reads. A group of at most one block
-    is one tile. A larger one is first held against its namesake alone, of which every block gets a copy; if all are near it, that is all,
+    members: tile (the group, named by one of its members), vertex, n and the payload that nearness reads. A group of at most
+    FEW_BLOCKS blocks is compared at once. A larger one is first held against its namesake alone, of which every block gets a copy; if all are near it, that is all,
     and the shuffle is in proportion to the group. Only those that are not (the far ones) are then dealt to tiles with each other, and with
     the near ones, which count as one.
     """
     weight = _weight(rows, units)
     columns = ["tile", "vertex", "n", payload]
     members = members.select(*columns)
-    large = scratch.written(members.groupBy("tile").agg(_blocks(F.sum(weight)).alias("blocks")).where("blocks > 1"), "large")
+    large = scratch.written(members.groupBy("tile").agg(_blocks(F.sum(weight)).alias("blocks")).where(F.col("blocks") > FEW_BLOCKS), "large")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in runs(batches, ["tile"]):
+        for tile in runs(batches, ["tile", "i", "j"]):
             if tile.num_rows > 1:
                 vertex = np.asarray(tile.column("vertex"))
-                root = roots(len(vertex), nearness(tile))
+                side = None if tile.column("i")[0] == tile.column("j")[0] else np.asarray(tile.column("block"))
+                root = roots(len(vertex), nearness(tile), side)
                 moved = root != np.arange(len(vertex))
                 yield pa.record_batch([pa.array(vertex[moved]), pa.array(vertex[root[moved]])], ["a", "b"])
 
-    small = members.join(large.select("tile"), "tile", "left_anti").repartition("tile").sortWithinPartitions("tile", "n")
-    edges = small.mapInArrow(whole, "a long, b long")
+    few = members.join(large.select("tile"), "tile", "left_anti")
+    edges = tiled(few, "tile", "vertex", rows, units).mapInArrow(whole, "a long, b long")
     if large.isEmpty():
         return edges
 
