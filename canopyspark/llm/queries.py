@@ -2,6 +2,7 @@
 
 from canopyspark.llm.bpe import op9_bpe
 from canopyspark.llm.decontamination import op4_benchmark_decontamination
+from canopyspark.llm.divergence import OP11_SQL, op11_source_divergence_audit
 from canopyspark.llm.html_text import op7_html_extraction
 from canopyspark.llm.license_scan import OP1_SQL, op1_license_scans
 from canopyspark.llm.line_dedup import OP5_SQL, op5_line_dedup
@@ -22,10 +23,12 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_source_divergence_audit": op11_source_divergence_audit,
 }
 ORACLES: dict[str, str] = {
     "op1_license_scans": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op6_url_filters": OP6_SQL,
     "op10_ngram_jaccard_join": OP10_SQL,
+    "op11_source_divergence_audit": OP11_SQL,
 }
