@@ -7,6 +7,7 @@ from canopyspark.llm.html_text import op7_html_extraction
 from canopyspark.llm.license_scan import OP1_SQL, op1_license_scans
 from canopyspark.llm.line_dedup import OP5_SQL, op5_line_dedup
 from canopyspark.llm.ngram_join import OP10_SQL, op10_ngram_jaccard_join
+from canopyspark.llm.periodic_runs import OP13_SQL, op13_periodic_run_detection
 from canopyspark.llm.quality import op3_quality_rules
 from canopyspark.llm.secrets import op2_secret_scans
 from canopyspark.llm.token_counts import op8_token_counts
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_source_divergence_audit": op11_source_divergence_audit,
+    "op13_periodic_run_detection": op13_periodic_run_detection,
 }
 ORACLES: dict[str, str] = {
     "op1_license_scans": OP1_SQL,
@@ -31,4 +33,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filters": OP6_SQL,
     "op10_ngram_jaccard_join": OP10_SQL,
     "op11_source_divergence_audit": OP11_SQL,
+    "op13_periodic_run_detection": OP13_SQL,
 }
