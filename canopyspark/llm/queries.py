@@ -11,6 +11,7 @@ from canopyspark.llm.periodic_runs import OP13_SQL, op13_periodic_run_detection
 from canopyspark.llm.quality import op3_quality_rules
 from canopyspark.llm.secrets import op2_secret_scans
 from canopyspark.llm.token_counts import op8_token_counts
+from canopyspark.llm.toxicity import op12_toxicity
 from canopyspark.llm.url_filters import OP6_SQL, op6_url_filters
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_source_divergence_audit": op11_source_divergence_audit,
+    "op12_toxicity": op12_toxicity,
     "op13_periodic_run_detection": op13_periodic_run_detection,
 }
 ORACLES: dict[str, str] = {
@@ -33,5 +35,6 @@ ORACLES: dict[str, str] = {
     "op6_url_filters": OP6_SQL,
     "op10_ngram_jaccard_join": OP10_SQL,
     "op11_source_divergence_audit": OP11_SQL,
+    "op12_toxicity": op12_toxicity,
     "op13_periodic_run_detection": OP13_SQL,
 }
