@@ -97,8 +97,8 @@ def distances(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 class Tile:
     """The pair submatrix of two blocks of sources (or of one with itself), summed up over the chunks of a range."""
 
-    def __init__(self, lang: str, terms: int):
-        self.lang, self.unread = lang, terms
+    def __init__(self, lang: str, terms: int, itself: bool):
+        self.lang, self.unread, self.itself = lang, terms, itself
         self.names: tuple[list, list] = ([], [])
         self.totals: tuple[list, list] = ([], [])
         self.place: dict[tuple[int, str], int] = {}
@@ -125,7 +125,7 @@ class Tile:
 
     def _add(self, counts: list[np.ndarray], times: int) -> None:
         one, two = (shares(c + SMOOTHING, np.array(t, np.int64)[:, None]) for c, t in zip(counts, self.totals, strict=True))
-        found = distances(one, two if self.names[1] else one) * times
+        found = distances(one, one if self.itself else two) * times
         self.sums = found if self.sums is None else self.sums + found
 
     def pairs(self) -> pa.RecordBatch:
@@ -134,11 +134,11 @@ class Tile:
         zero = [np.zeros((len(names), 1), np.int64) for names in self.names]
         if self.unread:
             self._add(zero, self.unread)
-        elif self.sums is None:
-            self.sums = np.zeros((len(self.names[0]), len(self.names[1] or self.names[0])), np.int64)
-        rows, columns = self.names[0], self.names[1] or self.names[0]
+        rows, columns = self.names[0], self.names[0 if self.itself else 1]
+        if self.sums is None:
+            self.sums = np.zeros((len(rows), len(columns)), np.int64)
         a, b, value = np.repeat(np.array(rows, object), len(columns)), np.tile(np.array(columns, object), len(rows)), self.sums.ravel()
-        if self.names[1]:
+        if not self.itself:
             a, b, value = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([value, value])
         other = a != b
         return pa.record_batch([pa.array([self.lang] * int(other.sum()), pa.string()), pa.array(a[other], pa.string()), pa.array(b[other], pa.string()), pa.array(value[other])], ["lang", "a", "b", "value"])
@@ -152,7 +152,7 @@ def _tile_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (row["lang"], row["i"], row["j"], row["span"]) != key:
                 if tile:
                     yield tile.pairs()
-                key, tile = (row["lang"], row["i"], row["j"], row["span"]), Tile(row["lang"], row["width"])
+                key, tile = (row["lang"], row["i"], row["j"], row["span"]), Tile(row["lang"], row["width"], row["i"] == row["j"])
             if row["chunk"] < 0:
                 tile.source(row["side"], row["source"], row["total"])
             else:

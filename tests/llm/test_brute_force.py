@@ -27,7 +27,7 @@ def texts(docs):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(name, spark, duck, sf_dir):
-    got, want = QUERIES[name](spark, sf_dir).toPandas(), duck.execute(ORACLES[name]).df()
+    got, want = (t.to_pandas(integer_object_nulls=True) for t in (QUERIES[name](spark, sf_dir).toArrow(), duck.execute(ORACLES[name]).to_arrow_table()))
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
 

@@ -4,7 +4,7 @@ use inside."""
 import pytest
 from pyspark.sql import functions as F
 
-from canopyspark.llm import bpe, components, decontamination, html_text, license_scan, line_dedup, ngram_join, quality, secrets, shared, token_counts, url_filters
+from canopyspark.llm import bpe, components, decontamination, divergence, html_text, license_scan, line_dedup, ngram_join, periodic_runs, quality, secrets, shared, token_counts, toxicity, url_filters
 
 #: Names that operators give their own columns.
 CLASHING = "host row kept hit keys salt line lines n text_ vertex component tile f1 f2 bits a b key one two level word bits_ findings kind best edits item_id score own dir up depth origin __gone __hit n_words label family copies".split()
@@ -44,10 +44,13 @@ OPERATORS = {
     "bpe": lambda spark, d: bpe.op9_columns(d, _path()),
     "ngram_join": lambda spark, d: ngram_join.ngram_jaccard_join(d),
     "near_duplicates": lambda spark, d: ngram_join.near_duplicates_removed(d),
+    "divergence": lambda spark, d: divergence.source_divergence(d),
+    "toxicity": lambda spark, d: toxicity.toxicity(d, toxicity.lexicon_of(d, _labels(spark).withColumnRenamed("quality", "toxic"))),
+    "periodic_runs": lambda spark, d: periodic_runs.periodic_runs(d),
     "licences": lambda spark, d: license_scan.license_scan(d.withColumn("path", F.col("source"))),
 }
 #: Operators that return a part of the rows.
-PARTIAL = {"quality_kept", "contaminated", "decontaminated", "near_duplicates"}
+PARTIAL = {"divergence", "quality_kept", "contaminated", "decontaminated", "near_duplicates"}
 
 
 def _docs(spark, rows):
