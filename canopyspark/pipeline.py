@@ -210,10 +210,9 @@ def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, con
     config = config or PipelineConfig()
     config.validate()
     began, events = time.time(), []
-    listed = images.discovered(spark, input_folder, config.RECURSIVE)
-    content = images.contents(spark, input_folder)
+    content = images.contents(spark, input_folder, config.RECURSIVE)
     run = Run(spark, output_folder, config, parts or Models())
-    seen = run.layer(images.checked(listed, content), "sources")
+    seen = run.layer(images.checked(spark, input_folder, config.RECURSIVE), "sources")
     before = _records(spark, output_folder)
     todo = mf.work_list(seen.where("error IS NULL").select("image_key", "source_sha256", "source_size"), _manifest(before), mf.STAGES[-1], config.content_hash(), config.RESUME, config.OVERWRITE)
     inputs_hash = todo.agg(F.coalesce(F.bit_xor(F.xxhash64("image_key", "source_sha256")), F.lit(0).cast("long"))).first()[0]

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from canopyspark.sources.images import processable
+from canopyspark.sources.images import processable, qualified
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def arriving(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
     """image_key, path, seen, source_sha256 and source_size of the images that arrive below root."""
-    base = root.rstrip("/") + "/"
+    base = qualified(spark, root).rstrip("/") + "/"
     read = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger).load(root)
-    named = read.select(F.substring_index(F.col("path"), base, -1).alias("image_key"), "path", F.col("modificationTime").alias("seen"), F.sha2("content", 256).alias("source_sha256"), F.col("length").alias("source_size"))
+    named = read.select(F.substring("path", len(base) + 1, 1 << 30).alias("image_key"), "path", F.col("modificationTime").alias("seen"), F.sha2("content", 256).alias("source_sha256"), F.col("length").alias("source_size"))
     return processable(named)
 
 

@@ -1,5 +1,7 @@
 """The photograph pipeline end to end on small synthetic pictures, and its parts."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +48,25 @@ def test_discovery(spark, folder):
         images.discovered(spark, str(folder / "none"))
 
 
+def test_folders_of_any_name_and_relative_roots(spark, tmp_path, monkeypatch):
+    """A root whose name stands again in a file's path, folders with leading underscores and dots, files without content or readable by
+    nobody."""
+    for name in ("in/main/b.png", "in/in/c.PNG", "in/_x/d.png", "in/.d/e.jpg", "in/_x/.f.png", "in/canopy_views/g.png"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    (tmp_path / "in/empty.webp").write_bytes(b"")
+    (tmp_path / "in/gone.png").symlink_to(tmp_path / "nowhere")
+    keys = {".d/e.jpg", "_x/d.png", "in/c.PNG", "main/b.png"}
+    # Spark resolves a relative root by the JVM's folder
+    here = spark._jvm.java.lang.System.getProperty("user.dir")
+    for root in (str(tmp_path / "in"), f"file:{tmp_path}/in/", os.path.relpath(tmp_path / "in", here)):
+        got = {r["image_key"]: r for r in images.checked(spark, root).collect()}
+        assert keys | {"empty.webp"} <= set(got) <= keys | {"empty.webp", "gone.png"}
+        assert all(got[k]["error"] is None and got[k]["source_size"] == len(f"in/{k}") for k in keys) and got["empty.webp"]["error"] == images.EMPTY
+        assert {r["image_key"]: bytes(r["content"]) for r in images.contents(spark, root).collect()} == {k: f"in/{k}".encode() for k in keys}
+    assert images.ImageReader(str(tmp_path / "in"), True, False).partitions()[0].prefix == "" and len(images.ImageReader(str(tmp_path / "in"), True, False).partitions()) == 5
+
+
 def test_whole_pipeline_and_resume(spark, folder, tmp_path, monkeypatch):
     real = pipeline.run_images
     monkeypatch.setattr(pipeline, "run_images", lambda run, content, out_w=32, out_h=24: real(run, content, 32, 24))
