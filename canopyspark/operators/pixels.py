@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from canopyspark.functions.colour import byte
 from canopyspark.operators.groups import run_starts, whole_groups
+from canopyspark.operators.quantiles import quantiles
 
 #: Half widths of the rows of a 7x7 elliptic structuring element.
 ELLIPSE_7 = (0, 2, 3, 3, 3, 2, 0)
@@ -30,7 +31,7 @@ def min_max_normalised(pixels: DataFrame, value: str, out: str) -> DataFrame:
 
 def affine_alignment(pairs: DataFrame, source: str, target: str, low: float = 0.1, high: float = 0.9) -> DataFrame:
     """image_key, a, b: the line through two quantiles of source and target; without a spread of source, a shift."""
-    both = pairs.groupBy("image_key").agg(F.percentile(source, [low, high]).alias("s"), F.percentile(target, [low, high]).alias("t"))
+    both = quantiles(pairs, {"s": (F.col(source), [low, high]), "t": (F.col(target), [low, high])})
     spread = F.col("s")[1] - F.col("s")[0]
     a = F.when(F.abs(spread) < 1e-6, 1.0).otherwise((F.col("t")[1] - F.col("t")[0]) / spread)
     return both.withColumn("a", a).select("image_key", "a", (F.col("t")[0] - F.col("a") * F.col("s")[0]).alias("b"))
@@ -181,8 +182,8 @@ def interior(pixels: DataFrame, mask: str, out: str, quantile: float = 0.6) -> D
 def interior_of(pixels: DataFrame, distance: str, mask: str, out: str, quantile: float = 0.6) -> DataFrame:
     """interior where squared distances are known."""
     far = pixels.withColumn("__d", F.sqrt(distance))
-    limit = F.percentile(F.when(F.col(mask), F.col("__d")), 1.0 - quantile).over(_image())
-    return far.withColumn(out, F.col(mask) & (F.col("__d").isNull() | (F.col("__d") >= limit))).drop("__d")
+    limit = quantiles(far, {"__limit": (F.when(F.col(mask), F.col("__d")), [1.0 - quantile])})
+    return far.join(limit, "image_key", "left").withColumn(out, F.col(mask) & (F.col("__d").isNull() | (F.col("__d") >= F.col("__limit")[0]))).drop("__d", "__limit")
 
 
 def holes_filled(pixels: DataFrame, valid: str, values: Sequence[str], radius: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyspark.functions import geometry as g
+from canopyspark.operators.quantiles import quantiles
 
 #: Least counts of interior points and of points in general.
 MIN_INTERIOR, MIN_FALLBACK = 50, 10
@@ -31,17 +32,16 @@ def backproject(pixels: DataFrame, hfov_deg: float = 70.0, stride: int = 1, dept
 def crop_centre(points: DataFrame, min_interior: int = MIN_INTERIOR, min_fallback: int = MIN_FALLBACK, canopy_quantile: float = 0.9) -> DataFrame:
     """One row per image: center_x, center_z (medians), canopy_top_y (quantile), point_count and fallback_used, over the points of the
     first tier that has enough: interior, full_crop_mask, original_region. An image without an original finite point gets nulls and
-    fallback_used 'none'. One aggregation: each tier's counts and statistics side by side, then the choice."""
+    fallback_used 'none'. The tiers' points are counted first, so that statistics are those of the chosen tier alone."""
     usable = F.col("is_original") & F.col("is_finite")
-    tiers = {"interior": usable & F.col("in_crop_interior"), "full_crop_mask": usable & F.col("in_crop_mask"), "original_region": usable}
-    stats = []
-    for name, member in tiers.items():
-        pick = lambda c, member=member: F.when(member, F.col(c))
-        stats.append(F.struct(F.count_if(member).alias("n"), F.median(pick("x")).alias("x"), F.median(pick("z")).alias("z"), F.percentile(pick("y"), canopy_quantile).alias("top"), F.lit(name).alias("tier")).alias(name))
-    found = points.groupBy("image_key").agg(*stats)
-    first = F.when(F.col("interior.n") >= min_interior, F.col("interior")).otherwise(F.col("full_crop_mask"))
-    chosen = found.select("image_key", F.when(first["n"] >= min_fallback, first).otherwise(F.col("original_region")).alias("c"))
-    return chosen.select("image_key", F.col("c.x").alias("center_x"), F.col("c.z").alias("center_z"), F.col("c.top").alias("canopy_top_y"), F.col("c.n").alias("point_count"), F.when(F.col("c.n") == 0, "none").otherwise(F.col("c.tier")).alias("fallback_used"))
+    counted = points.groupBy("image_key").agg(F.count_if(usable & F.col("in_crop_interior")).alias("n1"), F.count_if(usable & F.col("in_crop_mask")).alias("n2"), F.count_if(usable).alias("n3"))
+    tier = F.when(F.col("n1") >= min_interior, "interior").otherwise("full_crop_mask")
+    enough = F.when(F.col("n1") >= min_interior, F.col("n1")).otherwise(F.col("n2")) >= min_fallback
+    tiers = counted.withColumn("fallback_used", F.when(F.col("n3") == 0, "none").when(enough, tier).otherwise("original_region"))
+    number = F.when(F.col("fallback_used") == "interior", F.col("n1")).when(F.col("fallback_used") == "full_crop_mask", F.col("n2")).otherwise(F.col("n3"))
+    tiers = tiers.select("image_key", number.alias("point_count"), "fallback_used")
+    found = quantiles(selected(points, tiers), {"x": (F.col("x"), [0.5]), "z": (F.col("z"), [0.5]), "top": (F.col("y"), [canopy_quantile])})
+    return tiers.join(found, "image_key", "left").select("image_key", F.col("x")[0].alias("center_x"), F.col("z")[0].alias("center_z"), F.col("top")[0].alias("canopy_top_y"), "point_count", "fallback_used")
 
 
 def selected(points: DataFrame, centres: DataFrame) -> DataFrame:
@@ -68,8 +68,8 @@ def fitted_cameras(points: DataFrame, cameras: DataFrame, out_w: int, out_h: int
     """cameras with fx and hfov_deg, so that the points' robust extent fills frame_fill of the frame."""
     seen = in_camera(points, cameras)
     z = F.greatest(F.col("cam.z"), F.lit(g.LEAST))
-    extent = seen.groupBy("image_key").agg(*(F.percentile(F.abs(F.col(f"cam.{a}") / z), quantile).alias(f"__{a}") for a in "xy"))
-    hfov, focal = g.clamped_focal(F.col("__x"), F.col("__y"), out_w, out_h, frame_fill, min_hfov, max_hfov)
+    extent = quantiles(seen, {a: (F.abs(F.col(f"cam.{a}") / z), [quantile]) for a in "xy"})
+    hfov, focal = g.clamped_focal(F.col("x")[0], F.col("y")[0], out_w, out_h, frame_fill, min_hfov, max_hfov)
     return cameras.join(extent.select("image_key", hfov.alias("hfov_deg"), focal.alias("fx")), "image_key")
 
 
