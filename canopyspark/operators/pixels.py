@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from canopyspark.functions.colour import byte
 from canopyspark.operators.groups import run_starts, whole_groups
 from canopyspark.operators.quantiles import quantiles
+from canopyspark.operators.tiles import by_tiles, separable, swept
 
 #: Half widths of the rows of a 7x7 elliptic structuring element.
 ELLIPSE_7 = (0, 2, 3, 3, 3, 2, 0)
@@ -58,48 +59,35 @@ def dilated(pixels: DataFrame, mask: str, k: int, out: str) -> DataFrame:
     return wide.withColumn(out, F.max("__wide").over(_rows("x", "y", k, k))).drop("__wide")
 
 
-def _swept(pixels: DataFrame, mask: str, out: str, halves: Sequence[int], pick, fold) -> DataFrame:
-    """The structuring element's rows as windows along x, then their shifts along y; pixels outside the image don't count."""
-    for half in sorted(set(halves)):
-        pixels = pixels.withColumn(f"__h{half}", pick(mask).over(_rows("y", "x", half, half)))
-    column = _image("x").orderBy("y")
-    reach = len(halves) // 2
-    shifted = [F.lag(f"__h{half}", reach - k).over(column) if k < reach else F.lead(f"__h{half}", k - reach).over(column) if k > reach else F.col(f"__h{half}") for k, half in enumerate(halves)]
-    return pixels.withColumn(out, fold(*shifted)).drop(*(f"__h{half}" for half in set(halves)))
-
-
 def eroded_by(pixels: DataFrame, mask: str, out: str, halves: Sequence[int] = ELLIPSE_7) -> DataFrame:
-    return _swept(pixels, mask, out, halves, F.min, F.least)
+    return by_tiles(pixels, [mask], _reach(halves), lambda a, there: {out: swept(a[mask], there, halves, False)}, {out: "boolean"})
 
 
 def dilated_by(pixels: DataFrame, mask: str, out: str, halves: Sequence[int] = ELLIPSE_7) -> DataFrame:
-    return _swept(pixels, mask, out, halves, F.max, F.greatest)
+    return by_tiles(pixels, [mask], _reach(halves), lambda a, there: {out: swept(a[mask], there, halves, True)}, {out: "boolean"})
 
 
 def opened_and_closed(pixels: DataFrame, mask: str, out: str, halves: Sequence[int] = ELLIPSE_7) -> DataFrame:
-    """Small specks go, small holes fill."""
-    step = dilated_by(eroded_by(_by_image(pixels), mask, "__a", halves), "__a", "__b", halves)
-    return eroded_by(dilated_by(step, "__b", "__c", halves), "__c", out, halves).drop("__a", "__b", "__c")
+    """Small specks go, small holes fill: four sweeps, for which tiles have halos four times as wide as one needs."""
+
+    def kernel(arrays, there):
+        value = arrays[mask]
+        for grow in (False, True, True, False):
+            value = swept(value, there, halves, grow)
+        return {out: value}
+
+    return by_tiles(pixels, [mask], 4 * _reach(halves), kernel, {out: "boolean"})
 
 
-def _tap(value: str, along: str, across: str, k: int) -> Column:
-    """The pixel k further along; beyond the border the mirrored one, the border itself not repeated. At least |k| + 1 pixels a side."""
-    line = _image(across).orderBy(along)
-    at, last = F.col(along), F.max(along).over(_image())
-    index = F.abs(at + k)
-    index = F.when(index > last, 2 * last - index).otherwise(index) - at
-    out = F.col(value)
-    for shift in range(-abs(k), abs(k) + 1):
-        if shift:
-            out = F.when(index == shift, F.lag(value, -shift).over(line) if shift < 0 else F.lead(value, shift).over(line)).otherwise(out)
-    return out
+def _reach(halves: Sequence[int]) -> int:
+    return max(*halves, len(halves) // 2)
 
 
-def convolved(pixels: DataFrame, value: str, kernel: Sequence[float], out: str) -> DataFrame:
-    """A separable kernel with mirrored borders: one pass along rows, one along columns."""
-    half = len(kernel) // 2
-    wide = _by_image(pixels).withColumn("__row", sum((_tap(value, "x", "y", k - half) * w for k, w in enumerate(kernel)), F.lit(0.0)))
-    return wide.withColumn(out, sum((_tap("__row", "y", "x", k - half) * w for k, w in enumerate(kernel)), F.lit(0.0))).drop("__row")
+def convolved(pixels: DataFrame, values: str | Sequence[str], kernel: Sequence[float], out: str | Sequence[str]) -> DataFrame:
+    """A separable kernel with mirrored borders (the border itself not repeated) over one column, or over several at once."""
+    values, out = ([c] if isinstance(c, str) else list(c) for c in (values, out))
+    blur = lambda a, there: {o: separable(a[v], kernel) for v, o in zip(values, out, strict=True)}
+    return by_tiles(pixels, values, len(kernel) // 2, blur, dict.fromkeys(out, "double"))
 
 
 def gaussian_kernel(sigma: float) -> list[float]:
@@ -133,9 +121,12 @@ def feathered(pixels: DataFrame, original: str, values: Sequence[str], width: in
     return band.withColumns(fresh).drop("__band", *(f"__{v}" for v in values))
 
 
-def sharpened(pixels: DataFrame, value: str, out: str, amount: float = 0.4, kernel: Sequence[float] = BINOMIAL_5) -> DataFrame:
-    """value plus amount of its difference from its blur, as a byte."""
-    return convolved(pixels, value, kernel, "__blur").withColumn(out, byte(F.col(value) + amount * (F.col(value) - F.col("__blur")))).drop("__blur")
+def sharpened(pixels: DataFrame, values: str | Sequence[str], out: str | Sequence[str], amount: float = 0.4, kernel: Sequence[float] = BINOMIAL_5) -> DataFrame:
+    """Values plus amount of their difference from their blur, as bytes."""
+    values, out = ([c] if isinstance(c, str) else list(c) for c in (values, out))
+    blurred = convolved(pixels, values, kernel, [f"__blur_{v}" for v in values])
+    fresh = {o: byte(F.col(v) + amount * (F.col(v) - F.col(f"__blur_{v}"))) for v, o in zip(values, out, strict=True)}
+    return blurred.withColumns(fresh).drop(*(f"__blur_{v}" for v in values))
 
 
 def squared_distance(pixels: DataFrame, mask: str, out: str) -> DataFrame:
@@ -204,12 +195,9 @@ def holes_filled(pixels: DataFrame, valid: str, values: Sequence[str], radius: i
 
 def fill_smoothed(pixels: DataFrame, values: Sequence[str], kernel: Sequence[float] = BINOMIAL_5) -> DataFrame:
     """values of newly filled pixels blurred, so that copied patches don't show; all others stay."""
-    kinds = dict(pixels.dtypes)
-    for v in values:
-        pixels = convolved(pixels, v, kernel, "__blur")
-        fresh = F.floor(F.least(F.greatest(F.col("__blur") + 0.5, F.lit(0.0)), F.lit(255.0))).cast(kinds[v])
-        pixels = pixels.withColumn(v, F.when(F.col("newly_filled"), fresh).otherwise(F.col(v))).drop("__blur")
-    return pixels
+    kinds, blurs = dict(pixels.dtypes), [f"__blur_{v}" for v in values]
+    fresh = {v: F.when(F.col("newly_filled"), F.floor(F.least(F.greatest(F.col(b) + 0.5, F.lit(0.0)), F.lit(255.0))).cast(kinds[v])).otherwise(F.col(v)) for v, b in zip(values, blurs, strict=True)}
+    return convolved(pixels, values, kernel, blurs).withColumns(fresh).drop(*blurs)
 
 
 def mask_view(pixels: DataFrame, mask: str, out: str) -> DataFrame:
