@@ -1,62 +1,14 @@
-"""Finishing of pictures: local contrast, denoising, and the fixed order of all steps. The first two look at a pixel's surroundings in ways
-that windows don't express, so they work on one image at a time; the others are relational."""
+"""Finishing of pictures: denoising, and the fixed order of all steps."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
 from canopyspark.operators import pixels as px
+from canopyspark.operators.contrast import locally_contrasted
 from canopyspark.operators.tiles import by_tiles, mirrored
 
-#: Luminance weights of red, green and blue.
-LUMA = np.array([0.299, 0.587, 0.114])
-
-
-def _grid(frame: pd.DataFrame) -> np.ndarray:
-    image = np.zeros((int(frame["y"].max()) + 1, int(frame["x"].max()) + 1, 3))
-    image[frame["y"], frame["x"]] = frame[["r", "g", "b"]].to_numpy(float)
-    return image
-
-
-def _placed(frame: pd.DataFrame, image: np.ndarray) -> pd.DataFrame:
-    out = frame.copy()
-    out[["r", "g", "b"]] = np.clip(image, 0, 255).astype(np.int32)[frame["y"], frame["x"]]
-    return out
-
-
-def equalised(luma: np.ndarray, tiles: int = 8, clip: float = 1.5) -> np.ndarray:
-    """Contrast-limited adaptive equalisation: each tile's clipped histogram, what is cut spread evenly, and the four nearest tiles' curves
-    mixed bilinearly."""
-    h, w = luma.shape
-    rows, columns = min(tiles, h), min(tiles, w)
-    level = np.clip(luma, 0, 255).astype(int)
-    ty, tx = np.arange(h) * rows // h, np.arange(w) * columns // w
-    place = (ty[:, None] * columns + tx[None, :]) * 256 + level
-    counts = np.bincount(place.ravel(), minlength=rows * columns * 256).reshape(rows * columns, 256).astype(float)
-    total = counts.sum(axis=1, keepdims=True)
-    limit = np.maximum(1.0, clip * total / 256)
-    cut = np.minimum(counts, limit)
-    curve = ((cut + (total - cut.sum(axis=1, keepdims=True)) / 256).cumsum(axis=1) * 255 / total).reshape(rows, columns, 256)
-    y, x = (np.arange(h) + 0.5) * rows / h - 0.5, (np.arange(w) + 0.5) * columns / w - 0.5
-    y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
-    fy, fx = (y - y0)[:, None], (x - x0)[None, :]
-    pick = lambda a, b: curve[np.clip(a, 0, rows - 1)[:, None], np.clip(b, 0, columns - 1)[None, :], level]
-    return (pick(y0, x0) * (1 - fx) + pick(y0, x0 + 1) * fx) * (1 - fy) + (pick(y0 + 1, x0) * (1 - fx) + pick(y0 + 1, x0 + 1) * fx) * fy
-
-
-def locally_contrasted(pixels: DataFrame, tiles: int = 8, clip: float = 1.5) -> DataFrame:
-    """r, g, b scaled so that luminance is equalised tile by tile."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        image = _grid(frame)
-        luma = image @ LUMA
-        return _placed(frame, image * (equalised(luma, tiles, clip) / np.maximum(luma, 1.0))[:, :, None])
-
-    return pixels.groupBy("image_key").applyInPandas(run, pixels.schema)
-
-
 def bilateral(image: np.ndarray, radius: int, sigma_colour: float, sigma_space: float) -> np.ndarray:
     """Means over a disc with mirrored borders, weighted by distance and by difference of colour (the sum over the last axis)."""
     h, w, _ = image.shape

@@ -141,6 +141,12 @@ def depth_pixels(depths: DataFrame) -> DataFrame:
     return depths.where("ok").select("image_key", "w", "h", "data").mapInPandas(run, "image_key string, x long, y long, d double")
 
 
+def _shares(old: int, new: int) -> np.ndarray:
+    """Of each of new places on a line, the part of it that each of old pixels covers."""
+    place, pixel = np.arange(new)[:, None] * old / new, np.arange(old)[None]
+    return np.clip(np.minimum(place + old / new, pixel + 1) - np.maximum(place, pixel), 0, None) * new / old
+
+
 def _painted(model, image: np.ndarray, mask: np.ndarray, max_side: int | None) -> np.ndarray:
     """What the model makes of an image, shrunk for it to max_side and enlarged again."""
     h, w = image.shape[:2]
@@ -148,7 +154,8 @@ def _painted(model, image: np.ndarray, mask: np.ndarray, max_side: int | None) -
         return np.asarray(model.outpaint(image, mask), np.uint8)
     small = [max(1, round(n * max_side / max(h, w))) for n in (h, w)]
     y, x = (((np.arange(n) + 0.5) * old / n).astype(int) for n, old in zip(small, (h, w), strict=True))
-    made = np.asarray(model.outpaint(_linear(image, *small), mask[y][:, x]), np.uint8)
+    shrunk = np.einsum("ya,xb,abc->yxc", _shares(h, small[0]), _shares(w, small[1]), image.astype(float), optimize=True)
+    made = np.asarray(model.outpaint(np.rint(shrunk).astype(np.uint8), mask[y][:, x]), np.uint8)
     return _linear(made, h, w) if made.shape == (*small, 3) else made
 
 

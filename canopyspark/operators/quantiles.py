@@ -1,9 +1,9 @@
 """Exact quantiles of many groups at once by radix selection, without a buffer of a group's values.
 
-Doubles are rounded to fewer and fewer lost digits: first to 12 significant bits, then 24, then not at all. At each level the values that can
-still be the answer are counted by their rounded form, which is a partial aggregate of bounded size (at most 2^13 forms within one form of
-the level before, and some thousands at the first level), and the form that holds the wanted rank is chosen. Rounding keeps order, so the
-values of other forms don't matter any more but for how many of them are smaller.
+Doubles are rounded to fewer and fewer lost digits: first to 14 significant bits, then, by default, not at all. At each level the values
+that can still be the answer are counted by their rounded form, in a partial aggregate (some thousands of forms a power of two at the first
+level, and then what one of those holds), and the form that holds the wanted rank is chosen. Rounding keeps order, so the values of other
+forms don't matter any more but for how many of them are smaller.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Significant bits that are kept at each level; a double has 53.
-LEVELS = (12, 24, 53)
+LEVELS = (14, 53)
 #: Beyond this, rounding could overflow; such values are forms of their own.
 _LARGEST = 1e290
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from canopyspark import pipeline
 from canopyspark.config import PipelineConfig
 from canopyspark.functions import colour
-from canopyspark.operators import components, finish, manifest, models
+from canopyspark.operators import components, contrast, finish, manifest, models, resize
 from canopyspark.operators import pixels as px
 from canopyspark.operators import points as pt
 from canopyspark.sources import codecs, images, tables
@@ -260,11 +260,94 @@ def test_border_crop_limit(spark):
         assert px.border_crop(_mask(spark, set(edge[:bad])), "mask", 0.05, 4 / 32).first()["did_crop"] == crops
 
 
-def test_finishing_is_gentle():
-    flat = np.full((32, 32), 100.0)
-    assert np.ptp(finish.equalised(flat)) < 1e-9
-    ramp = np.tile(np.linspace(0, 255, 64), (64, 1))
-    assert (np.diff(finish.equalised(ramp, tiles=1), axis=1) >= 0).all()
+def test_local_contrast_is_gentle(spark):
+    grid = [(1, x, y, 100, 100, 100) for x in range(33) for y in range(20)] + [(2, x, y, 4 * x, 4 * x, 4 * x) for x in range(64) for y in range(9)]
+    rows = spark.createDataFrame(grid, "image_key int, x int, y int, r int, g int, b int")
+    got = {(r["image_key"], r["x"], r["y"]): (r["r"], r["g"], r["b"]) for r in contrast.locally_contrasted(rows).collect()}
+    assert len({v for (k, _, _), v in got.items() if k == 1}) == 1
+    assert all(max(v) - min(v) <= 3 for v in got.values())
+
+
+@pytest.mark.parametrize(("w", "h", "tiles", "clip"), [(33, 20, 8, 1.5), (64, 64, 8, 1.5), (7, 5, 8, 2.0), (50, 41, 3, 4.0), (1, 9, 4, 1.0)])
+def test_equalisation_by_definition(spark, w, h, tiles, clip):
+    image = np.clip(np.random.default_rng(6).normal(90, 30, (h, w)), 0, 255).astype(int)
+    rows = spark.createDataFrame([(1, x, y, int(image[y, x])) for x in range(w) for y in range(h)], "image_key int, x int, y int, v int")
+    got = {(r["y"], r["x"]): r["e"] for r in contrast.equalised(rows, "v", "e", tiles, clip).collect()}
+    tw, th = -(-w // tiles), -(-h // tiles)
+    fold = lambda n, size: [0 if size == 1 else min(k % (2 * size - 2), 2 * size - 2 - k % (2 * size - 2)) for k in range(n)]
+    wide = image[np.ix_(fold(th * tiles, h), fold(tw * tiles, w))]
+    curves = np.zeros((tiles, tiles, 256))
+    for i, j in np.ndindex(tiles, tiles):
+        counts = np.bincount(wide[i * th : (i + 1) * th, j * tw : (j + 1) * tw].ravel(), minlength=256)
+        limit = max(1, int(clip * tw * th / 256))
+        excess = int(np.maximum(counts - limit, 0).sum())
+        counts = np.minimum(counts, limit) + excess // 256
+        rest = excess % 256
+        for k in range(0, 256, max(1, 256 // rest) if rest else 256):
+            if rest:
+                counts[k] += 1
+                rest -= 1
+        curves[i, j] = np.clip(np.rint(np.cumsum(counts) * (255.0 / (tw * th))), 0, 255)
+    for y, x in np.ndindex(h, w):
+        fy, fx = y / th - 0.5, x / tw - 0.5
+        y1, x1 = int(np.floor(fy)), int(np.floor(fx))
+        value = lambda a, b, y=y, x=x: curves[min(max(a, 0), tiles - 1), min(max(b, 0), tiles - 1), image[y, x]]
+        a, b = fx - x1, fy - y1
+        upper, lower = value(y1, x1) * (1 - a) + value(y1, x1 + 1) * a, value(y1 + 1, x1) * (1 - a) + value(y1 + 1, x1 + 1) * a
+        assert got[y, x] == np.rint(upper * (1 - b) + lower * b)
+
+
+def test_lab_and_back(spark):
+    rows = spark.createDataFrame([(r, g, b) for r in range(0, 256, 15) for g in range(0, 256, 17) for b in range(0, 256, 51)], "r int, g int, b int")
+    back = rows.withColumn("lab", colour.lab(F.col("r"), F.col("g"), F.col("b"))).withColumn("rgb", colour.from_lab(F.col("lab.l"), F.col("lab.a"), F.col("lab.b"))).toPandas()
+    rgb, found = back[["r", "g", "b"]].to_numpy(), np.array([[row[c] for c in "lab"] for row in back["lab"]], float)
+    light = np.where(rgb / 255 <= 0.04045, rgb / 255 / 12.92, ((rgb / 255 + 0.055) / 1.055) ** 2.4)
+    xyz = light @ np.array(colour.TO_XYZ).T / colour.WHITE
+    f = np.where(xyz > 0.008856, np.cbrt(xyz), 7.787 * xyz + 16 / 116)
+    lightness = np.where(xyz[:, 1] > 0.008856, 116 * f[:, 1] - 16, 903.3 * xyz[:, 1])
+    exact = np.stack([lightness * 2.55, 500 * (f[:, 0] - f[:, 1]) + 128, 200 * (f[:, 1] - f[:, 2]) + 128], axis=1)
+    assert np.abs(found - exact).max() <= 0.5 + 1e-6
+    # the way back, of what was not rounded, is the way there
+    whole = spark.createDataFrame([tuple(map(float, e)) for e in exact], "l double, a double, b double").select(colour.from_lab(F.col("l"), F.col("a"), F.col("b")).alias("rgb")).toPandas()
+    assert np.abs(np.array([[row[c] for c in "rgb"] for row in whole["rgb"]]) - rgb).max() <= 1
+    known = {(255, 255, 255): (255, 128, 128), (0, 0, 0): (0, 128, 128), (255, 0, 0): (136, 208, 195), (0, 255, 0): (224, 42, 211), (0, 0, 255): (82, 207, 20)}
+    assert all(tuple(row.lab) == known[row.r, row.g, row.b] for row in back.itertuples() if (row.r, row.g, row.b) in known)
+
+
+@pytest.mark.parametrize(("w", "h", "new_w", "new_h"), [(8, 8, 5, 3), (9, 4, 9, 1), (7, 7, 2, 7), (6, 4, 3, 2)])
+def test_area_resize(spark, w, h, new_w, new_h):
+    image = np.random.default_rng(4).integers(0, 256, (h, w))
+    rows = spark.createDataFrame([(1, x, y, int(image[y, x])) for x in range(w) for y in range(h)], "image_key int, x int, y int, v int")
+    got = {(r["y"], r["x"]): r["v"] for r in resize.resized_area(rows, w, h, new_w, new_h, ["v"]).collect()}
+    want = models._shares(h, new_h) @ image @ models._shares(w, new_w).T
+    assert len(got) == new_w * new_h and all(got[c] == pytest.approx(want[c]) for c in np.ndindex(new_h, new_w))
+
+
+@pytest.mark.parametrize("kernel", ["cubic", "lanczos4"])
+@pytest.mark.parametrize(("w", "h", "new_w", "new_h"), [(8, 6, 13, 9), (5, 5, 3, 5), (1, 4, 3, 4)])
+def test_smooth_resize(spark, kernel, w, h, new_w, new_h):
+    import math
+
+    image = np.random.default_rng(5).random((h, w))
+    rows = spark.createDataFrame([(1, x, y, float(image[y, x])) for x in range(w) for y in range(h)], "image_key int, x int, y int, v double")
+    got = {(r["y"], r["x"]): r["v"] for r in resize.resized_smooth(rows, w, h, new_w, new_h, ["v"], kernel).collect()}
+
+    def weight(d):
+        d = abs(d)
+        if kernel == "lanczos4":
+            return 1.0 if d < 1e-9 else math.sin(math.pi * d) * math.sin(math.pi * d / 4) * 4 / (math.pi * d) ** 2 if d < 4 else 0.0
+        return (1.25 * d - 2.25) * d * d + 1 if d <= 1 else ((-0.75 * d + 3.75) * d - 6) * d + 3 if d < 2 else 0.0
+
+    def line(old, new):
+        out, reach = np.zeros((new, old)), 2 if kernel == "cubic" else 4
+        for t in range(new):
+            s = (t + 0.5) * old / new - 0.5
+            for k in range(math.floor(s) + 1 - reach, math.floor(s) + reach + 1):
+                out[t, min(max(k, 0), old - 1)] += weight(s - k)
+        return out / out.sum(axis=1, keepdims=True)
+
+    want = line(h, new_h) @ image @ line(w, new_w).T
+    assert len(got) == new_w * new_h and all(got[c] == pytest.approx(want[c], abs=1e-9) for c in np.ndindex(new_h, new_w))
 
 
 def test_denoising_keeps_edges(spark):
