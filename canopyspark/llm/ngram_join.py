@@ -10,7 +10,8 @@
 4. Families are compared in the same way with the whole arrays: bitmaps first, then exact intersection.
 5. Connected components over the links.
 
-A text is read twice at most: once for its bitmap and keys, which are written, and once more for its array if it is in a family. Nothing is
+A text is read twice at most: once for its bitmap and keys, which are written, and once more, compressed for the shuffle and found by its
+doc_id and a hash of it, for its array if it is in a family. Nothing is
 approximate but for 64-bit hash collisions, and nothing is capped.
 """
 
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,22 +157,48 @@ def _keys(value: np.ndarray, text: np.ndarray, count: np.ndarray, t: Threshold,
 
 
 def profile(docs: DataFrame, t: Threshold) -> DataFrame:
-    """doc_id, n, f1, f2 (fingerprint of the set), bitmap and segment keys of every row."""
+    """doc_id, text_key, n, f1, f2 (fingerprint of the set), bitmap and segment keys of every row; of a set that a task meets again, the
+    last two are null."""
 
     def run(batches):
-        bands = t.bands(1 << 16)
+        bands, seen = t.bands(1 << 16), set()
         for batch in batches:
             for part, value, text, count in _sets(batch, t.n):
                 if count.max(initial=0) >= bands.low[-1]:
                     bands = t.bands(int(count.max()))
                 f1, f2 = _prints(value, count)
-                maps = [bitmap(v, _words_for(len(v))).tobytes() if len(v) else b"" for v in np.split(value, np.cumsum(count)[:-1])]
-                key, owner = _keys(value, text, count, t, bands)
+                fresh = np.zeros(len(count), bool)
+                for row, name in enumerate(zip(f1.tolist(), f2.tolist(), count.tolist(), strict=True)):
+                    fresh[row] = name not in seen
+                    seen.add(name)
+                inside = fresh[text]
+                value, text, kept = value[inside], text[inside], np.where(fresh, count, 0)
+                maps = [bitmap(v, _words_for(len(v))).tobytes() if new else None for v, new in zip(np.split(value, np.cumsum(kept)[:-1]), fresh & (count > 0), strict=True)]
+                key, owner = _keys(value, text, kept, t, bands)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(count)))]).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key.view(np.int64)))
-                yield pa.record_batch([part.column(0), pa.array(count, pa.int64()), pa.array(f1), pa.array(f2), pa.array(maps, pa.binary()), keys], ["doc_id", "n", "f1", "f2", "bits", "keys"])
+                columns = [part.column(0), part.column(2), pa.array(count, pa.int64()), pa.array(f1), pa.array(f2), pa.array(maps, pa.binary()), keys]
+                yield pa.record_batch(columns, ["doc_id", "text_key", "n", "f1", "f2", "bits", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bits binary, keys array<long>")
+    return docs.select("doc_id", "text", "text_key").mapInArrow(run, "doc_id long, text_key long, n long, f1 long, f2 long, bits binary, keys array<long>")
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key and the text compressed, as it is shuffled; of rows that a task meets again, the first."""
+
+    def run(batches):
+        packer, seen = zstandard.ZstdCompressor(3), set()
+        for batch in batches:
+            rows = []
+            for row, name in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if name not in seen:
+                    seen.add(name)
+                    rows.append(row)
+            texts = batch.column(1).take(pa.array(rows, pa.int64()))
+            packed = pa.array([packer.compress((x.as_py() or "").encode()) for x in texts], pa.binary())
+            yield pa.record_batch([batch.column(0).take(pa.array(rows, pa.int64())), packed, batch.column(2).take(pa.array(rows, pa.int64()))], ["doc_id", "packed", "text_key"])
+
+    return docs.select("doc_id", "text", "text_key").mapInArrow(run, "doc_id long, packed binary, text_key long")
 
 
 def stars(keyed: DataFrame, scratch: Scratch) -> DataFrame:
@@ -264,12 +292,14 @@ def by_arrays(t: Threshold) -> Callable[[pa.Table], Callable[[int, np.ndarray],
 
 
 def shingle_arrays(docs: DataFrame, t: Threshold) -> DataFrame:
-    """tile (the family), vertex (f1), n, copies and the sorted hashes (bytes) of rows whose set has the fingerprint f1, f2 beside it; of
-    repeated rows, one for each task."""
+    """tile (the family), vertex (f1), n, copies and the sorted hashes (bytes) of rows (packed texts) whose set has the fingerprint f1, f2
+    beside it; of repeated rows, one for each task."""
 
     def run(batches):
-        seen = np.zeros(0, np.int64)
-        for batch in batches:
+        seen, opener = np.zeros(0, np.int64), zstandard.ZstdDecompressor()
+        for rows in batches:
+            texts = pa.array([opener.decompress(x.as_py()) for x in rows.column(1)], pa.binary()).cast(pa.string())
+            batch = pa.record_batch([rows.column(0), texts, *rows.columns[2:]], ["doc_id", "text", *rows.schema.names[2:]])
             for part, value, _, count in _sets(batch, t.n):
                 f1, f2 = _prints(value, count)
                 same = (f1 == np.asarray(part.column(4))) & (f2 == np.asarray(part.column(5))) & ~np.isin(f1, seen)
@@ -281,7 +311,7 @@ def shingle_arrays(docs: DataFrame, t: Threshold) -> DataFrame:
                 out = pa.record_batch([part.column(2), part.column(4), pa.array(count, pa.int64()), part.column(3), pa.array(sets, pa.binary())], ["tile", "vertex", "n", "copies", "hashes"])
                 yield out.filter(pa.array(same))
 
-    return docs.select("doc_id", "text", "family", "copies", "f1", "f2").mapInArrow(run, "tile long, vertex long, n long, copies long, hashes binary")
+    return docs.select("doc_id", "packed", "family", "copies", "f1", "f2").mapInArrow(run, "tile long, vertex long, n long, copies long, hashes binary")
 
 
 def all_links(tiles: DataFrame, t: Threshold) -> DataFrame:
@@ -310,8 +340,9 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     A set is the distinct runs of n words (A-Z lower-cased; words are separated by space and \\x09-\\x0D); a shorter text is one run.
     Two documents are linked if den * intersection >= num * union. component_id is the smallest doc_id reachable. A null or blank text has
-    an empty set, its own id as component and no links. Rows that share a doc_id are one document, and so reach what any of them reaches;
-    a null doc_id stays null and is linked through its copies only. An empty table gives an empty result.
+    an empty set, its own id as component and no links. Rows that share a doc_id are one document, and so reach what any of them reaches.
+    A row without a doc_id links what it is like as any other row, and has null as component_id only if it reaches no doc_id. An empty table
+    gives an empty result.
 
     With count_links there is also n_links, the number of other rows that a row's set is linked with: then every pair of a family is
     intersected, and a family of m different sets is shuffled m / ROWS times, instead of once.
@@ -321,19 +352,24 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     small_batches(spark)
     scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
     known = scratch.written(profile(docs, t), "sets")
     worded = known.where("n > 0")
-    classes = worded.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    # a row that stands for the class: one with the least doc_id, or else one without
+    first = F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
+    classes = worded.groupBy("f1", "f2", "n").agg(first.alias("first"), F.count("*").alias("copies")).withColumn("least", F.col("first.doc_id"))
 
     star = scratch.written(stars(worded.select(F.explode("keys").alias("key"), "f1"), scratch), "stars")
     members = star.select("tile", F.col("f1").alias("vertex")).union(star.select("tile", F.col("tile").alias("vertex")).distinct())
-    bitmaps = worded.where("doc_id IS NOT NULL").select(F.col("f1").alias("vertex"), "n", "bits").dropDuplicates(["vertex", "n"])
+    bitmaps = worded.where("bits IS NOT NULL").select(F.col("f1").alias("vertex"), "n", "bits").dropDuplicates(["vertex", "n"])
     members = scratch.written(members.join(bitmaps, "vertex").select("tile", "vertex", "n", "bits"), "members")
     families = connected_components(connecting_edges(members, by_bitmaps(t), "bits", ROWS, UNITS, scratch), scratch)
-    families = families.join(classes.where("least IS NOT NULL").select(F.col("f1").alias("vertex"), "f1", "f2", "copies", "least"), "vertex")
-    asked = families.select(F.col("least").alias("doc_id"), F.col("component").alias("family"), "copies", "f1", "f2")
+    families = families.join(classes.select(F.col("f1").alias("vertex"), "f1", "f2", "copies", "first"), "vertex")
+    asked = families.select(F.col("first.doc_id").alias("own_id"), F.col("first.text_key").alias("own_key"), F.col("component").alias("family"), "copies", "f1", "f2")
     # the same join at every size, so that what small tables take tells what large ones will
-    arrays = scratch.written(shingle_arrays(docs.join(asked.hint("merge"), "doc_id"), t), "arrays")
+    texts, asked = packed_texts(docs), asked.hint("merge")
+    texts = texts.join(asked, (F.col("text_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+    arrays = scratch.written(shingle_arrays(texts, t), "arrays")
     if count_links:
         links = scratch.written(all_links(tiled(arrays.dropDuplicates(["vertex"]), "tile", "vertex", ROWS, UNITS), t), "links")
     else:

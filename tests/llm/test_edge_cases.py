@@ -130,6 +130,24 @@ def test_rows_of_one_id_are_one_document(spark):
     assert got == [(5, 5, 1), (5, 5, 1), (6, 5, 1), (7, 5, 1), (8, 8, 0)]
 
 
+def test_links_through_rows_without_an_id(spark):
+    """A row without an id between two others, one with copies, and two that reach no id."""
+    a = [f"w{k}" for k in range(60)]
+    text = lambda n: " ".join([*a, *(f"v{k}" for k in range(n))])
+    b = " ".join(f"u{k}" for k in range(60))
+    rows = [(1, text(0)), (None, text(4)), (None, text(4)), (2, text(8)), (None, "x " + b), (None, "y " + b), (3, "nothing like it " + " ".join(reversed(a)))]
+    got = [(r["doc_id"], r["component_id"]) for r in ngram_join.ngram_jaccard_join(_docs(spark, [(i, t, "en", "s", 1) for i, t in rows]), 3, 90, 100).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1), (None, 1), (None, 1), (2, 1), (None, None), (None, None), (3, 3)], key=str)
+
+
+def test_many_texts_of_one_id_are_joined_one_by_one(spark):
+    rows = [(7, " ".join([f"a{i}x{k}" for k in range(40)]), "en", "s", 1) for i in range(60)] + [(8, " ".join([f"a3x{k}" for k in range(40)]) + " more", "en", "s", 1)]
+    docs = _docs(spark, rows)
+    assert {r["component_id"] for r in ngram_join.ngram_jaccard_join(docs, 3, 90, 100).collect()} == {7}
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    assert ngram_join.packed_texts(keyed.union(keyed).coalesce(1)).count() == len(rows)
+
+
 def test_components_of_a_long_path(spark):
     """Ids that rise along a chain, as of revisions of a page, take few rounds."""
     scratch = shared.Scratch(spark, "components-test")
