@@ -78,3 +78,8 @@ class PipelineConfig(RenderSettings, CameraSettings, OutpaintSettings, RunSettin
         run_only = {f.name for f in fields(RunSettings)}
         kept = {k: v for k, v in asdict(self).items() if k not in run_only}
         return hashlib.sha256(json.dumps(kept, sort_keys=True).encode()).hexdigest()[:16]
+
+    def part_hash(self, names: tuple[str, ...]) -> str:
+        """The same for configurations that agree in these settings."""
+        value = asdict(self)
+        return hashlib.sha256(json.dumps([[n, value[n]] for n in sorted(names)]).encode()).hexdigest()[:16]

@@ -1,12 +1,13 @@
 """Photographs to centred top-down views: the stages as one plan over pixel relations, with Parquet layers between them and a run record.
 
 Each stage is a function of relations; a stage whose results other stages share is written as a layer, which is where a plan's lineage
-ends. A run that ended early is taken up under its own id: layers that are whole are read, the first that isn't is computed, and so is all
-behind it. An image that fails stays in the records with its error and stops no other.
+ends. A layer's key is a hash of its settings and of the keys of the layers that it is made of: rows of the same key and content are taken
+over from earlier runs, and a run that ended early is taken up under its own id in the same way. An image that fails stays in the records with its error and stops no other.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Callable
@@ -14,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from canopyspark.config import PipelineConfig
 from canopyspark.functions import colour
@@ -26,12 +28,22 @@ from canopyspark.operators import points as pt
 from canopyspark.sources import codecs, images, tables
 
 RECORD = "image_key string, stage string, status string, runtime_seconds double, error string, config_hash string, source_sha256 string, source_size long, finished_at timestamp, run_id string"
-_RUNS = "config_hash string, inputs_hash long, started_at timestamp, run_id string"
+_RUNS = "config_hash string, inputs_hash long, chain map<string,string>, started_at timestamp, run_id string"
+_SOURCES = "image_key string, source_sha256 string, run_id string"
 #: The layer that each stage's result is in; a stage whose layer has a row of an image (with ok, if there is such a column) is done for it.
 LAYER_OF = {
     "validate": "rasters", "initial_depth": "depth", "crop_mask": "masks", "ai_outpaint": "canvas", "extended_depth": "canvas_depth", "extended_crop_mask": "extended", "backprojection": "points",
     "camera": "centres", "camera_fitting": "cameras", "render": "rendered", "fill": "frames", "post_warp_super_resolution": "upscaled", "finalize": "finals",
 }
+#: Of each layer, the layers that it is made of and the settings and models that it depends on itself.
+MADE_OF: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "rasters": ((), ()), "depth": (("rasters",), ("depth",)), "masks": (("rasters",), ("CROP_INTERIOR_QUANTILE", "masks")),
+    "canvas": (("rasters",), ("AI_OUTPAINT_ENABLED", "AI_OUTPAINT_PAD_FRAC", "AI_OUTPAINT_STEP_FRAC", "AI_OUTPAINT_MAX_SIDE", "AI_OUTPAINT_MAX_RETRIES", "outpaint")), "canvas_depth": (("canvas",), ("depth",)),
+    "extended": (("depth", "masks", "canvas", "canvas_depth"), ()), "points": (("extended",), ("AI_OUTPAINT_FEATHER_PX", "ASSUMED_HFOV_DEG", "BACKPROJECT_STRIDE")), "centres": (("points",), ()),
+    "cameras": (("centres",), ("ALTITUDE_M", "TILT_DEGREES", "CAMERA_FRAME_FILL", "MIN_VIRTUAL_HFOV_DEG", "MAX_VIRTUAL_HFOV_DEG", "frame")), "rendered": (("points", "cameras"), ("SPLAT_RADIUS", "frame")),
+    "frames": (("rendered",), ("FILL_RADIUS",)), "cropped": (("frames",), ()), "upscaled": (("cropped",), ("POST_WARP_SUPER_RESOLUTION_ENABLED", "POST_WARP_SUPER_RESOLUTION_SCALE", "POST_WARP_MAX_OUTPUT_DIMENSION", "upscale")),
+    "finals": (("upscaled", "cropped"), ()),
+}
 #: Errors of stages that give an image no row.
 NO_ROW = {"backprojection": "no finite points", "camera": "no original points to centre on"}
 
@@ -53,18 +65,66 @@ class Run:
     config: PipelineConfig
     models: Models
     run_id: str = field(default_factory=lambda: time.strftime("run_%Y%m%d_%H%M%S_") + uuid.uuid4().hex[:6])
-    #: Layers by name, seconds that each took, and whether whole layers of an earlier attempt are still good.
+    #: The frame's width and height.
+    frame: tuple[int, int] = (640, 480)
+    #: Layers by name, seconds that each took, those that were written, and the images with the content that they are made of.
     layers: dict[str, DataFrame] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
-    taken_up: bool = False
+    written: list[str] = field(default_factory=list)
+    work: DataFrame | None = None
+    #: The chains of all runs by id, once they are asked for.
+    runs: dict[str, dict[str, str]] | None = None
+
+    def chain(self) -> dict[str, str]:
+        """Of each layer, a hash of its settings and models and of the hashes of the layers that it is made of."""
+        own = {"frame": str(self.frame)} | {k: self._identity(getattr(self.models, k)) for k in ("depth", "outpaint", "upscale", "masks")}
+        found: dict[str, str] = {}
+        for name, (made_of, needs) in MADE_OF.items():
+            parts = [self.config.part_hash(tuple(n for n in needs if n not in own)), *(own[n] for n in needs if n in own), *(found[m] for m in made_of)]
+            found[name] = hashlib.sha256("|".join(parts).encode()).hexdigest()[:16]
+        return found
+
+    def _identity(self, model: Callable | None) -> str:
+        """A model's name and version; one that is defined within a function has no name that others can't have, and is this run's alone."""
+        name = f"{getattr(model, '__module__', '')}.{getattr(model, '__qualname__', type(model).__name__)}:{getattr(model, 'version', '')}"
+        return name if "<" not in name or hasattr(model, "version") else name + self.run_id
+
+    def known(self, schema: StructType, name: str) -> DataFrame | None:
+        """Rows of the layer, with their run_id, that an earlier run, or attempt, has made of the same content with the same settings; of
+        each image, the last run's. None if nothing can be taken over."""
+        if self.work is None or not self.config.RESUME or self.config.OVERWRITE or name not in MADE_OF:
+            return None
+        if self.runs is None:
+            self.runs = {r["run_id"]: r["chain"] or {} for r in tables.read_layer(self.spark, self.root, "runs", _RUNS).select("run_id", "chain").collect()}
+        own = self.chain()[name]
+        alike = [run for run, chain in self.runs.items() if chain.get(name) == own and tables.is_complete(self.spark, self.root, name, run)]
+        if not alike:
+            return None
+        of_those = F.col("run_id").isin(alike)
+        rows = tables.read_layer(self.spark, self.root, name, StructType([*schema.fields, StructField("run_id", StringType())])).where(of_those)
+        good = rows.where("ok") if "ok" in schema.names else rows
+        same = tables.read_layer(self.spark, self.root, "sources", _SOURCES).where(of_those).join(self.work.select("image_key", "source_sha256"), ["image_key", "source_sha256"])
+        last = good.select("image_key", "run_id").distinct().join(same.select("image_key", "run_id"), ["image_key", "run_id"]).groupBy("image_key").agg(F.max("run_id").alias("run_id"))
+        return good.join(last, ["image_key", "run_id"], "left_semi")
 
     def layer(self, df: DataFrame, name: str) -> DataFrame:
+        """df as the layer of this run. What is known of it is taken over and not written again; only images that lack are computed."""
         began = time.time()
-        self.taken_up = self.taken_up and tables.is_complete(self.spark, self.root, name, self.run_id)
-        if not self.taken_up:
+        known = self.known(df.schema, name)
+        lacks = None if known is None else self.work.select("image_key").join(known.select("image_key").distinct(), "image_key", "left_anti")
+        if lacks is not None and lacks.isEmpty():
+            self.layers[name] = known.drop("run_id")
+        else:
+            others = None
+            if lacks is not None:
+                # a run's layer is replaced whole, so what it has of an earlier attempt is written again
+                own, others = (known.where(F.col("run_id") == self.run_id).drop("run_id"), known.where(F.col("run_id") != self.run_id).drop("run_id"))
+                df = df.join(lacks, "image_key", "left_semi").unionByName(own)
             tables.write_layer(df, self.root, name, self.run_id)
+            self.written.append(name)
+            fresh = self.spark.read.schema(df.schema).parquet(tables.layer_path(self.root, name, self.run_id))
+            self.layers[name] = fresh if others is None else fresh.unionByName(others)
         self.seconds[name] = time.time() - began
-        self.layers[name] = self.spark.read.schema(df.schema).parquet(tables.layer_path(self.root, name, self.run_id))
         return self.layers[name]
 
 
@@ -134,6 +194,7 @@ def run_images(run: Run, content: DataFrame, out_w: int = 640, out_h: int = 480)
     """One row per image (image_key, content): status, error, original size, camera figures, shares of the frame, final size. Results are
     in the layer finals, as raster rows."""
     run.config.validate()
+    run.frame = (out_w, out_h)
     rasters = run.layer(codecs.decoded(content), "rasters")
     pixels = codecs.pixels_of(rasters)
     frame, cameras = rendered(run, extended_layers(run, rasters, pixels), out_w, out_h)
@@ -200,9 +261,10 @@ def _unfinished(spark: SparkSession, root: str, config: PipelineConfig, inputs_h
     return last["run_id"] if same and not tables.is_complete(spark, root, "stage_runs", last["run_id"]) else None
 
 
-def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, config: PipelineConfig | None = None, parts: Models | None = None) -> DataFrame:
+def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, config: PipelineConfig | None = None, parts: Models | None = None, frame: tuple[int, int] = (640, 480)) -> DataFrame:
     """The summary of all images below input_folder: one row each, with every stage's status. Images whose stages are all done with the same
-    content and settings are not computed again, unless the configuration says so; records of files that are gone stay, with present false.
+    content and settings are not computed again, unless the configuration says so, and of the others, stages that a changed setting doesn't
+    reach are taken over from earlier runs; records of files that are gone stay, with present false.
 
     Layers of the output folder: finals (raster rows), canopy_views (the same as files, under the sources' names), stage_runs, summaries and
     summary_csv, runs and log, and the intermediate ones.
@@ -214,16 +276,22 @@ def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, con
     run = Run(spark, output_folder, config, parts or Models())
     seen = run.layer(images.checked(spark, input_folder, config.RECURSIVE), "sources")
     before = _records(spark, output_folder)
-    todo = mf.work_list(seen.where("error IS NULL").select("image_key", "source_sha256", "source_size"), _manifest(before), mf.STAGES[-1], config.content_hash(), config.RESUME, config.OVERWRITE)
+    asked = lambda seen: mf.work_list(seen.where("error IS NULL").select("image_key", "source_sha256", "source_size"), _manifest(before), mf.STAGES[-1], config.content_hash(), config.RESUME, config.OVERWRITE)
+    todo = asked(seen)
     inputs_hash = todo.agg(F.coalesce(F.bit_xor(F.xxhash64("image_key", "source_sha256")), F.lit(0).cast("long"))).first()[0]
+    run.frame = frame
     if earlier := _unfinished(spark, output_folder, config, inputs_hash):
-        run.run_id, run.taken_up = earlier, True
+        tables.moved_layer(spark, output_folder, "sources", run.run_id, earlier)
+        run.run_id = earlier
+        seen = spark.read.schema(seen.schema).parquet(tables.layer_path(output_folder, "sources", earlier))
+        todo = asked(seen)
     else:
-        row = spark.createDataFrame([(config.content_hash(), inputs_hash)], "config_hash string, inputs_hash long").withColumn("started_at", F.current_timestamp())
+        row = spark.createDataFrame([(config.content_hash(), inputs_hash, run.chain())], "config_hash string, inputs_hash long, chain map<string,string>").withColumn("started_at", F.current_timestamp())
         tables.write_layer(row, output_folder, "runs", run.run_id)
-    tables.write_layer(todo, output_folder, "work", run.run_id)
-    todo = spark.read.parquet(tables.layer_path(output_folder, "work", run.run_id))
-    summary = run_images(run, content.join(todo.select("image_key"), "image_key", "left_semi"))
+    fingerprints = seen.select("image_key", "source_sha256")
+    tables.write_layer(todo.select("image_key").join(fingerprints, "image_key"), output_folder, "work", run.run_id)
+    todo = run.work = spark.read.parquet(tables.layer_path(output_folder, "work", run.run_id))
+    summary = run_images(run, content.join(todo.select("image_key"), "image_key", "left_semi"), *frame)
     tables.write_layer(summary, output_folder, "summaries", run.run_id)
     records = stage_records(run, run.layers["rasters"].select("image_key"))
     unread = seen.where("error IS NOT NULL").select("image_key", F.lit(mf.STAGES[0]).alias("stage"), F.lit(mf.FAILED).alias("status"), F.lit(0.0).alias("runtime_seconds"), "error")

@@ -1,6 +1,7 @@
 """The photograph pipeline end to end on small synthetic pictures, and its parts."""
 
 import os
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -68,12 +69,10 @@ def test_folders_of_any_name_and_relative_roots(spark, tmp_path, monkeypatch):
 
 
 def test_whole_pipeline_and_resume(spark, folder, tmp_path, monkeypatch):
-    real = pipeline.run_images
-    monkeypatch.setattr(pipeline, "run_images", lambda run, content, out_w=32, out_h=24: real(run, content, 32, 24))
-    first = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(folder), str(tmp_path), SMALL).collect()}
+    first = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(folder), str(tmp_path), SMALL, frame=(32, 24)).collect()}
     assert {k: r["status"] for k, r in first.items()} == {"a.png": "done", "farm_2/b.PNG": "done", "broken.png": "failed", "empty.jpg": "failed"}
     assert first["empty.jpg"]["error"] == "file is empty"
-    again = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(folder), str(tmp_path), SMALL).collect()}
+    again = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(folder), str(tmp_path), SMALL, frame=(32, 24)).collect()}
     assert again["a.png"]["run_id"] == first["a.png"]["run_id"] and again["broken.png"]["run_id"] != first["broken.png"]["run_id"]
     finals = spark.read.parquet(str(tmp_path / "finals")).where(F.col("image_key") == "a.png").first()
     assert finals["w"] * finals["h"] * 3 == len(finals["data"]) and finals["w"] > 32
@@ -97,43 +96,87 @@ def test_a_failing_model_fails_its_image_alone(spark, tmp_path, monkeypatch):
                 raise RuntimeError("no depth for this one")
             return super().estimate(image)
 
-    real = pipeline.run_images
-    monkeypatch.setattr(pipeline, "run_images", lambda run, content: real(run, content, 32, 24))
     source, target = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
     (source / "good.png").write_bytes(codecs.encode_png(field_picture()))
     (source / "bad.png").write_bytes(codecs.encode_png(field_picture(32, 48)))
-    got = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), target, SMALL, pipeline.Models(depth=Picky)).collect()}
+    got = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), target, SMALL, pipeline.Models(depth=Picky), frame=(32, 24)).collect()}
     assert got["good.png"]["status"] == "done" and got["bad.png"]["status"] == "failed" and "no depth for this one" in got["bad.png"]["error"]
     assert (got["bad.png"]["validate_status"], got["bad.png"]["initial_depth_status"], got["bad.png"]["finalize_status"]) == ("done", "failed", "pending")
     # the failed one alone is computed again, and now succeeds
     (source / "good.png").rename(source / "kept.png")
-    got = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), target, SMALL).collect()}
+    got = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), target, SMALL, frame=(32, 24)).collect()}
     assert {k: (r["status"], r["present"]) for k, r in got.items()} == {"bad.png": ("done", True), "kept.png": ("done", True), "good.png": ("done", False)}
 
 
 def test_an_unfinished_run_is_taken_up(spark, tmp_path, monkeypatch):
-    real, broken = pipeline.run_images, finish.finished
+    broken = finish.finished
 
     def fails(*_):
         raise KeyboardInterrupt
 
-    monkeypatch.setattr(pipeline, "run_images", lambda run, content: real(run, content, 32, 24))
     source, target = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
     (source / "a.png").write_bytes(codecs.encode_png(field_picture()))
     monkeypatch.setattr(finish, "finished", fails)
     with pytest.raises(KeyboardInterrupt):
-        pipeline.run_pipeline(spark, str(source), target, SMALL)
+        pipeline.run_pipeline(spark, str(source), target, SMALL, frame=(32, 24))
     monkeypatch.setattr(finish, "finished", broken)
     before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out/points").iterdir()}
     first = next(p.name for p in (tmp_path / "out/runs").iterdir() if p.name.startswith("run_id="))
-    got = pipeline.run_pipeline(spark, str(source), target, SMALL).first()
+    got = pipeline.run_pipeline(spark, str(source), target, SMALL, frame=(32, 24)).first()
     assert got["status"] == "done" and f"run_id={got['run_id']}" == first
     assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out/points").iterdir()} == before
     assert pipeline._unfinished(spark, target, SMALL, 1) is None
 
 
+def test_a_changed_setting_computes_what_it_reaches_alone(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.png").write_bytes(codecs.encode_png(field_picture()))
+    rows = lambda layer: spark.read.parquet(str(target / layer))
+    first = pipeline.run_pipeline(spark, str(source), str(target), SMALL, frame=(32, 24)).first()["run_id"]
+    changed = replace(SMALL, FILL_RADIUS=1)
+    second = pipeline.run_pipeline(spark, str(source), str(target), changed, frame=(32, 24)).first()
+    has = lambda run: {d.name for d in target.iterdir() if (d / f"run_id={run}").exists()}
+    assert second["status"] == "done" and second["run_id"] != first
+    fresh = {"frames", "cropped", "upscaled", "finals"}
+    assert has(second["run_id"]) & set(pipeline.MADE_OF) == fresh and set(pipeline.MADE_OF) <= has(first)
+    # a new image needs all stages, and the old one is taken over as it is
+    (source / "b.png").write_bytes(codecs.encode_png(field_picture(32, 48)))
+    third = {r["image_key"]: r for r in pipeline.run_pipeline(spark, str(source), str(target), replace(SMALL, FILL_RADIUS=2), frame=(32, 24)).collect()}
+    run = third["b.png"]["run_id"]
+    assert {r["status"] for r in third.values()} == {"done"} and third["a.png"]["run_id"] == run
+    assert {r["image_key"] for r in rows("depth").where(F.col("run_id") == run).collect()} == {"b.png"}
+    assert {r["image_key"] for r in rows("finals").where(F.col("run_id") == run).collect()} == {"a.png", "b.png"}
+    # the same pictures as a run from the start gives
+    whole = pipeline.run_pipeline(spark, str(source), str(tmp_path / "again"), replace(SMALL, FILL_RADIUS=2), frame=(32, 24)).first()["run_id"]
+    picture = lambda path, run: {r["image_key"]: bytes(r["data"]) for r in spark.read.parquet(str(path / "finals")).where(F.col("run_id") == run).collect()}
+    assert picture(target, run) == picture(tmp_path / "again", whole)
+
+
+def test_a_replacement_stopped_at_any_step_loses_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    read = lambda: tables.read_layer(spark, root, "numbers", "id long, run_id string").count()
+    held, old = tmp_path / "numbers/run_id=r", tmp_path / "_numbers-r-old"
+    tables.write_layer(spark.range(3), root, "numbers", "r")
+    # the old table is set aside, and the new one isn't there yet
+    held.rename(old)
+    assert read() == 3 and tables.is_complete(spark, root, "numbers", "r") and not old.exists()
+    held.rename(old)
+    assert tables.is_complete(spark, root, "numbers", "r")
+    # the new one is there, and the old one isn't gone yet
+    held.rename(old)
+    spark.range(5).write.parquet(str(held))
+    assert read() == 5 and not old.exists()
+    held.rename(old)
+    tables.write_layer(spark.range(7), root, "numbers", "r")
+    assert read() == 7 and not old.exists()
+    tables.write_layer(spark.range(2), root, "numbers", "s")
+    tables.moved_layer(spark, root, "numbers", "s", "r")
+    assert read() == 2 and not (tmp_path / "numbers/run_id=s").exists()
+
+
 def test_layers_are_replaced_whole(spark, tmp_path):
     tables.write_layer(spark.range(3), str(tmp_path), "numbers", "r")
     with pytest.raises(Exception):  # noqa: B017
