@@ -24,9 +24,11 @@ class OutpaintSettings:
     AI_OUTPAINT_ENABLED: bool = True
     AI_OUTPAINT_PAD_FRAC: float = 0.45
     AI_OUTPAINT_STEP_FRAC: float = 0.12
+    AI_OUTPAINT_OVERLAP_PX: int = 96
     AI_OUTPAINT_FEATHER_PX: int = 48
     AI_OUTPAINT_MAX_SIDE: int = 2048
     AI_OUTPAINT_MAX_RETRIES: int = 3
+    AI_OUTPAINT_PROGRESSIVE: bool = True
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ class PipelineConfig(RenderSettings, CameraSettings, OutpaintSettings, RunSettin
             "POST_WARP_MAX_OUTPUT_DIMENSION": (0, None), "POST_WARP_SUPER_RESOLUTION_SCALE": (1, None),
         }
         found = [f"{k} must be above {low}" + (f" and below {high}" if high else "") for k, (low, high) in between.items() if not (value[k] > low and (not high or value[k] < high))]
-        least = {"AI_OUTPAINT_PAD_FRAC": 0, "AI_OUTPAINT_FEATHER_PX": 0, "AI_OUTPAINT_MAX_RETRIES": 0, "SPLAT_RADIUS": 0, "FILL_RADIUS": 0, "BACKPROJECT_STRIDE": 1}
+        least = {"AI_OUTPAINT_PAD_FRAC": 0, "AI_OUTPAINT_OVERLAP_PX": 0, "AI_OUTPAINT_FEATHER_PX": 0, "AI_OUTPAINT_MAX_RETRIES": 0, "SPLAT_RADIUS": 0, "FILL_RADIUS": 0, "BACKPROJECT_STRIDE": 1}
         found += [f"{k} must be at least {low}" for k, low in least.items() if not value[k] >= low]
         found += [f"{k} must be above 0 and at most 1" for k in ("AI_OUTPAINT_STEP_FRAC", "CROP_INTERIOR_QUANTILE", "CAMERA_FRAME_FILL") if not 0 < value[k] <= 1]
         if not 0 <= self.TILT_DEGREES < 90:

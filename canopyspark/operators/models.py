@@ -159,14 +159,29 @@ def _painted(model, image: np.ndarray, mask: np.ndarray, max_side: int | None) -
     return _linear(made, h, w) if made.shape == (*small, 3) else made
 
 
-def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, make: Callable = NearestOutpaint, attempts: int = 4, max_side: int | None = None) -> DataFrame:
-    """Raster rows with pad_x and pad_y: each raster grown ring by ring to its pads (halves to even). What was there is pasted back
-    after the last ring, so that no model can change it. A model is given at most max_side pixels a side; only what it adds is enlarged."""
+def _weights(ring: np.ndarray, more: list[int], inner: tuple[int, int], overlap: int) -> np.ndarray:
+    """1 on the ring, less and less within overlap pixels of it, else 0. A side that nothing was added to has no ring."""
+    weight = ring.astype(float)
+    if overlap > 0:
+        far = np.full(inner, np.inf)
+        for size, added, shape in ((inner[0], more[1], (-1, 1)), (inner[1], more[0], (1, -1))):
+            if added:
+                at = np.arange(size)
+                far = np.minimum(far, np.minimum(at + 1, size - at).reshape(shape))
+        weight[more[1] : more[1] + inner[0], more[0] : more[0] + inner[1]] = np.clip((overlap + 1 - far) / (overlap + 1), 0, None)
+    return weight
+
+
+def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, make: Callable = NearestOutpaint, attempts: int = 4, max_side: int | None = None, overlap: int = 0, progressive: bool = True) -> DataFrame:
+    """Raster rows with pad_x and pad_y: each raster grown ring by ring to its pads (halves to even), or in one step. With each ring, what
+    was generated before within overlap pixels of it is generated anew and mixed in, the less the farther it is from the ring. What was
+    there is pasted back after the last ring, so that no model can change it. A model is given at most max_side pixels a side; only what it
+    adds is enlarged."""
 
     def work(model, row):
         original = _image(row)
         pads = [round(n * pad_fraction) for n in (row.w, row.h)]
-        steps = [max(1, round(n * step_fraction)) for n in (row.w, row.h)]
+        steps = [max(1, round(n * step_fraction) if progressive else p) for n, p in zip((row.w, row.h), pads, strict=True)]
         canvas, done = original, [0, 0]
         while done[0] < pads[0] or done[1] < pads[1]:
             more = [min(s, p - n) for s, p, n in zip(steps, pads, done, strict=True)]
@@ -175,10 +190,12 @@ def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, ma
             seed = np.pad(seed, ((more[1] - room[1],) * 2, (more[0] - room[0],) * 2, (0, 0)), mode="edge")
             ring = np.ones(seed.shape[:2], bool)
             ring[more[1] : more[1] + canvas.shape[0], more[0] : more[0] + canvas.shape[1]] = False
-            filled = np.asarray(retried(lambda seed=seed, ring=ring: _painted(model, seed, ring, max_side), attempts), np.uint8)
+            weight = _weights(ring, more, canvas.shape[:2], overlap)
+            weight[done[1] + more[1] :, done[0] + more[0] :][: row.h, : row.w] = 0
+            filled = np.asarray(retried(lambda seed=seed, weight=weight: _painted(model, seed, weight > 0, max_side), attempts), np.uint8)
             if filled.shape != seed.shape:
                 raise ValueError(f"the outpaint model gave {filled.shape} for {seed.shape}")
-            canvas = np.where(ring[:, :, None], filled, seed)
+            canvas = np.rint(seed + (filled.astype(float) - seed) * weight[:, :, None]).astype(np.uint8)
             done = [n + m for n, m in zip(done, more, strict=True)]
         canvas = canvas.copy()
         canvas[pads[1] : pads[1] + row.h, pads[0] : pads[0] + row.w] = original

@@ -38,7 +38,7 @@ LAYER_OF = {
 #: Of each layer, the layers that it is made of and the settings and models that it depends on itself.
 MADE_OF: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "rasters": ((), ()), "depth": (("rasters",), ("depth",)), "masks": (("rasters",), ("CROP_INTERIOR_QUANTILE", "masks")),
-    "canvas": (("rasters",), ("AI_OUTPAINT_ENABLED", "AI_OUTPAINT_PAD_FRAC", "AI_OUTPAINT_STEP_FRAC", "AI_OUTPAINT_MAX_SIDE", "AI_OUTPAINT_MAX_RETRIES", "outpaint")), "canvas_depth": (("canvas",), ("depth",)),
+    "canvas": (("rasters",), ("AI_OUTPAINT_ENABLED", "AI_OUTPAINT_PAD_FRAC", "AI_OUTPAINT_STEP_FRAC", "AI_OUTPAINT_OVERLAP_PX", "AI_OUTPAINT_PROGRESSIVE", "AI_OUTPAINT_MAX_SIDE", "AI_OUTPAINT_MAX_RETRIES", "outpaint")), "canvas_depth": (("canvas",), ("depth",)),
     "extended": (("depth", "masks", "canvas", "canvas_depth"), ()), "points": (("extended",), ("AI_OUTPAINT_FEATHER_PX", "ASSUMED_HFOV_DEG", "BACKPROJECT_STRIDE")), "centres": (("points",), ()),
     "cameras": (("centres",), ("ALTITUDE_M", "TILT_DEGREES", "CAMERA_FRAME_FILL", "MIN_VIRTUAL_HFOV_DEG", "MAX_VIRTUAL_HFOV_DEG", "frame")), "rendered": (("points", "cameras"), ("SPLAT_RADIUS", "frame")),
     "frames": (("rendered",), ("FILL_RADIUS",)), "cropped": (("frames",), ()), "upscaled": (("cropped",), ("POST_WARP_SUPER_RESOLUTION_ENABLED", "POST_WARP_SUPER_RESOLUTION_SCALE", "POST_WARP_MAX_OUTPUT_DIMENSION", "upscale")),
@@ -142,7 +142,8 @@ def vegetation(pixels: DataFrame, masks: DataFrame | None = None) -> DataFrame:
 def canvas(run: Run, rasters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raster rows of the extended images, and their pads."""
     pad = run.config.AI_OUTPAINT_PAD_FRAC if run.config.AI_OUTPAINT_ENABLED else 0.0
-    grown = models.outpainted(rasters, pad, run.config.AI_OUTPAINT_STEP_FRAC, run.models.outpaint, run.config.AI_OUTPAINT_MAX_RETRIES + 1, run.config.AI_OUTPAINT_MAX_SIDE)
+    c = run.config
+    grown = models.outpainted(rasters, pad, c.AI_OUTPAINT_STEP_FRAC, run.models.outpaint, c.AI_OUTPAINT_MAX_RETRIES + 1, c.AI_OUTPAINT_MAX_SIDE, overlap=c.AI_OUTPAINT_OVERLAP_PX, progressive=c.AI_OUTPAINT_PROGRESSIVE)
     grown = run.layer(grown, "canvas")
     return grown, grown.select("image_key", "pad_x", "pad_y")
 

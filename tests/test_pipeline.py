@@ -407,6 +407,31 @@ def test_outpaint_keeps_the_original(spark):
     assert (r["pad_x"], r["pad_y"], wide.shape) == (6, 4, (18, 26, 3)) and (wide[4:14, 6:20] == image).all()
 
 
+def test_outpaint_blends_into_what_it_generated(spark):
+    class CountingOutpaint(models.NearestOutpaint):
+        """Paints what is asked for in the shade of the step."""
+
+        steps = 0
+
+        def outpaint(self, image, mask):
+            self.steps += 1
+            return np.where(mask[:, :, None], np.uint8(self.steps * 50), image).astype(np.uint8)
+
+    image = np.full((20, 20, 3), 7, np.uint8)
+    raster = spark.createDataFrame([("k", True, None, 20, 20, bytearray(image.tobytes()))], codecs.RASTER)
+
+    def row(*rest):
+        r = models.outpainted(raster, 0.3, 0.15, CountingOutpaint, 1, None, *rest).first()
+        wide = np.frombuffer(r["data"], np.uint8).reshape(r["h"], r["w"], 3)
+        assert wide.shape == (32, 32, 3) and (wide[6:26, 6:26] == image).all()
+        return wide[16, :6, 0].tolist()
+
+    # two rings of three; the inner one is mixed with the second step's shade, and the original is untouched
+    assert row() == [100] * 3 + [50] * 3
+    assert row(3) == [100] * 3 + [88, 75, 62] and row(1) == [100] * 3 + [75, 50, 50] and row(9)[3:] == [95, 90, 85]
+    assert row(3, False) == [50] * 6
+
+
 def test_outpaint_side_limit(spark):
     class Limited(models.NearestOutpaint):
         def outpaint(self, image, mask):
@@ -422,7 +447,7 @@ def test_outpaint_side_limit(spark):
 
 def test_masks_and_side_limit_reach_the_run(spark, tmp_path, monkeypatch):
     sides, plain = [], models.outpainted
-    monkeypatch.setattr(models, "outpainted", lambda *a: sides.append(a[-1]) or plain(*a))
+    monkeypatch.setattr(models, "outpainted", lambda *a, **more: sides.append(a[-1]) or plain(*a, **more))
     image = field_picture(40, 56)
     raster = spark.createDataFrame([("a", True, None, 56, 40, image.tobytes())], models._RASTER)
     left = lambda rasters: codecs.pixels_of(rasters).select("image_key", "x", "y", (F.col("x") < 20).alias("mask"))
