@@ -24,9 +24,13 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset, one in the warehouse, which driver and executors share as well."""
+    """The folder that spark.checkpoint.dir names; where it is unset, one in the warehouse. Raises ValueError if that is a folder of one
+    machine and the session has others."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/canopyspark-scratch").rstrip("/")
+    root = (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/canopyspark-scratch").rstrip("/")
+    if not named and not spark.sparkContext.master.startswith("local") and root.startswith(("file:", "/")):
+        raise ValueError(f"{root} is on one machine: spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return root
 
 
 class Scratch:

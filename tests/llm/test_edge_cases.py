@@ -168,3 +168,18 @@ def test_smaller_limit_of_batches_stays(spark):
         shared.small_batches(spark)
         assert spark.conf.get(key) == want
     spark.conf.set(key, held)
+
+
+def test_a_local_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    def session(master, **conf):
+        held = {k.replace("_", "."): v for k, v in conf.items()}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, *other: held.get(k.replace(".sql.warehouse.", ".warehouse."), *other)), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+
+    assert shared.shared_root(session("local[4]", spark_warehouse_dir="file:/w/")) == "file:/w/canopyspark-scratch"
+    assert shared.shared_root(session("yarn", spark_warehouse_dir="hdfs://n/w")) == "hdfs://n/w/canopyspark-scratch"
+    assert shared.shared_root(session("yarn", spark_warehouse_dir="file:/w", spark_checkpoint_dir="file:/shared")) == "file:/shared"
+    for where in ("file:/w", "/w"):
+        with pytest.raises(ValueError):
+            shared.shared_root(session("spark://host:7077", spark_warehouse_dir=where))
