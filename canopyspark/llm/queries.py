@@ -35,6 +35,5 @@ ORACLES: dict[str, str] = {
     "op6_url_filters": OP6_SQL,
     "op10_ngram_jaccard_join": OP10_SQL,
     "op11_source_divergence_audit": OP11_SQL,
-    "op12_toxicity": op12_toxicity,
     "op13_periodic_run_detection": OP13_SQL,
 }
