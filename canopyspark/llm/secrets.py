@@ -2,11 +2,13 @@
 
 The network learns from two kinds of labelled findings: those of the corpus, where the patterns' findings are the secrets and other runs of
 the same characters are not, and made ones, which show kinds of keys that no pattern knows. A run of the corpus that a network taught by
-the made ones alone takes for a secret counts as unlabelled. The threshold keeps a share of held-out secrets of either kind.
+the made ones alone takes for a secret counts as unlabelled. The threshold keeps a share of secrets of either kind that nothing was learned
+from; what the network then does is stated for findings that neither taught it nor set the threshold.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import string
 from collections.abc import Iterator
@@ -40,8 +42,8 @@ _OTHER[list((string.ascii_letters + string.digits + "+/_=-").encode())] = False
 #: Made findings that the network is trained on; findings of the corpus with either label, at most, chosen by hash; and the share of
 #: held-out secrets, in texts, that its threshold keeps.
 FINDINGS, CORPUS_FINDINGS, RECALL = 3000, 1000, 0.98
-#: Characters of a corpus finding that are shown to the network in training.
-SHOWN = 10 * charnet.INSIDE
+#: Of the corpus's findings, one in so many sets the threshold, and another one is what figures are stated for.
+FOLDS = 5
 
 
 def base_spans(text: str, kind: int) -> list[tuple[int, int]]:
@@ -214,44 +216,90 @@ def network(count: int = FINDINGS, recall: float = RECALL) -> charnet.CharNet:
     return net
 
 
+def labelled_windows(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, str, str, int]]:
+    """inside, before, after and label of every window of every run. Of a longer run that overlaps a span, windows with fewer than 16
+    characters of any span have no label and are left out."""
+    spans, k = _merged(taken), 0
+    for a, b, hit in labelled_runs(text, taken):
+        for w in charnet.starts(b - a):
+            begin, stop = a + w, min(a + w + charnet.INSIDE, b)
+            if hit and b - a > charnet.INSIDE:
+                while k and spans[k - 1][1] > begin:  # windows overlap, so a span is met again
+                    k -= 1
+                while k < len(spans) and spans[k][1] - begin < MIN_TOKEN:
+                    k += 1
+                if k == len(spans) or stop - spans[k][0] < MIN_TOKEN:
+                    continue
+            before, inside, after = context(text, begin, stop)
+            yield inside, before, after, int(hit)
+
+
+class _First:
+    """The first so many different windows by hash of what has been added, each with its least context. A window that has been left out
+    stays out, so the choice is the same in any order."""
+
+    def __init__(self, most: int):
+        self.most, self.kept, self.limit = most, {}, b"\xff" * 9
+
+    def add(self, inside: str, before: str, after: str) -> None:
+        rank = hashlib.blake2b(inside.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        if rank <= self.limit:
+            own = self.kept.get((rank, inside))
+            self.kept[rank, inside] = min(own, (before, after)) if own else (before, after)
+            if len(self.kept) > 2 * self.most:
+                self.cut()
+
+    def cut(self) -> None:
+        self.kept = dict(sorted(self.kept.items())[: self.most])
+        self.limit = max(self.kept)[0] if len(self.kept) == self.most else self.limit
+
+
 def corpus_findings(docs: DataFrame, most: int = CORPUS_FINDINGS) -> pd.DataFrame:
-    """inside, before, after, label: at most so many different runs of the corpus with either label, the first by hash. All texts are
-    read; what comes to the driver is bounded by most and SHOWN."""
+    """inside, before, after, label: at most so many different windows of the corpus's runs with either label, the first by hash. All texts
+    are read whole; a task keeps the first of its own, so that shuffle and driver are bounded by most, whatever the texts. A window that
+    is chosen with both labels is a secret."""
     small_batches(docs.sparkSession)
 
     def run(batches):
+        first = (_First(most), _First(most))
         for batch in batches:
-            rows = []
             for text, spans, dense in _scanned(batch.column(0)):
                 if dense:
-                    rows += [(*context(text, a, b), hit) for a, b, hit in labelled_runs(text, [(a, b) for a, _, b in spans])]
-            columns = list(zip(*((x[:SHOWN], before, after, int(hit)) for before, x, after, hit in rows), strict=True)) or [()] * 4
-            yield pa.record_batch([*(pa.array(c, pa.string()) for c in columns[:3]), pa.array(columns[3], pa.int32())], ["inside", "before", "after", "label"])
-
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "inside string, before string, after string, label int")
-    once = found.groupBy("inside").agg(F.max("label").alias("label"), F.min(F.struct("before", "after")).alias("around"))
-    parts = [once.where(F.col("label") == k).orderBy(F.xxhash64("inside"), "inside").limit(most).toPandas() for k in (0, 1)]
+                    for inside, before, after, label in labelled_windows(text, [(a, b) for a, _, b in spans]):
+                        first[label].add(inside, before, after)
+        for label, own in enumerate(first):
+            own.cut()
+            rows = [(rank, inside, *around, label) for (rank, inside), around in own.kept.items()]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.binary(), *[pa.string()] * 3, pa.int32()), strict=True)], ["rank", "inside", "before", "after", "label"])
+
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "rank binary, inside string, before string, after string, label int")
+    once = found.groupBy("rank", "inside").agg(F.max("label").alias("label"), F.min(F.struct("before", "after")).alias("around"))
+    parts = [once.where(F.col("label") == k).orderBy("rank", "inside").limit(most).toPandas() for k in (0, 1)]
     rows = pd.concat(parts, ignore_index=True)
     return rows.assign(before=[a["before"] for a in rows["around"]], after=[a["after"] for a in rows["around"]])[["inside", "before", "after", "label"]]
 
 
 def trained(found: pd.DataFrame, count: int = FINDINGS, recall: float = RECALL) -> tuple[charnet.CharNet, dict[str, float]]:
-    """The network taught by made findings and three quarters of those of a corpus; its threshold keeps the recall among held-out made
-    ones and among the last quarter's secrets. And what it does on that quarter: recall, precision and the numbers of both labels."""
+    """The network taught by made findings and three fifths of those of a corpus; its threshold keeps the recall among held-out made ones
+    and among another fifth's secrets. And what it does on the last fifth, which had no part in either: recall, precision and the numbers
+    of both labels."""
     base = network(count, recall)
     rows = [(b, i, a) for b, i, a in zip(found["before"], found["inside"], found["after"], strict=True)]
     label = found["label"].to_numpy(bool)
     unlabelled = ~label & (base.score(charnet.encoded(rows)) >= base.threshold)
-    held = np.arange(len(rows)) % 4 == 3
+    fold = np.arange(len(rows)) % FOLDS
+    setting, held = fold == FOLDS - 2, fold == FOLDS - 1
+    taught = ~setting & ~held & ~unlabelled
     made, labels = _made(count)
-    shown = charnet.encoded([rows[k] for k in np.flatnonzero(~held & ~unlabelled)])
-    own = np.repeat(label[~held & ~unlabelled], np.diff(np.append(shown.first, len(shown.codes))))
+    shown = charnet.encoded([rows[k] for k in np.flatnonzero(taught)])
+    own = np.repeat(label[taught], np.diff(np.append(shown.first, len(shown.codes))))
     net = charnet.train(np.concatenate([made, shown.codes]), np.concatenate([labels, own.astype(float)]), epochs=3, start=base)
-    score = net.score(charnet.encoded([rows[k] for k in np.flatnonzero(held)]))
-    secret = label[held]
-    kept = [np.quantile(secret_scores(net, count, 12), 1 - recall), *([np.quantile(score[secret], 1 - recall, method="lower")] if secret.any() else [])]
+    known = net.score(charnet.encoded([rows[k] for k in np.flatnonzero(setting & label)]))
+    kept = [np.quantile(secret_scores(net, count, 12), 1 - recall), *([np.quantile(known, 1 - recall, method="lower")] if len(known) else [])]
     net.threshold = float(min(kept))
-    hit = score >= net.threshold
+    secret = label[held]
+    hit = net.score(charnet.encoded([rows[k] for k in np.flatnonzero(held)])) >= net.threshold
     figures = {"secrets": int(secret.sum()), "others": int((~secret).sum()), "recall": float(hit[secret].mean()) if secret.any() else 1.0, "precision": float(secret[hit].mean()) if hit.any() else 1.0}
     return net, figures
 

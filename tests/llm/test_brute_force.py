@@ -718,3 +718,19 @@ def _tiktoken():
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def test_windows_of_long_runs_are_labelled_apart(spark):
+    """A long run is shown in windows, all of it; those beside its secret have no label. The choice is the same however rows are dealt."""
+    key = "0123456789abcdef" * 3
+    text = "see " + "Q" * 200 + "=" + key + " and sixteen_letters_x"
+    start = text.index(key)
+    every = list(secrets.labelled_windows(text, [(start, start + len(key))]))
+    assert [label for *_, label in every][-1] == 0 and sum(label for *_, label in every) >= 2
+    assert all(any(key[k : k + 16] in inside for k in range(16)) for inside, _, _, label in every if label)
+    plain = list(secrets.labelled_windows(text.replace(key, ""), []))
+    assert sum(len(inside) for inside, *_ in plain) >= 200 and not any(label for *_, label in plain)
+    rows = [(k, f"a{k:020d}z b{k % 7:030d} password={'x' * 8}{k:012d}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = secrets.corpus_findings(docs.coalesce(1), 20), secrets.corpus_findings(docs.repartition(7), 20)
+    assert one.equals(many) and list(one["label"]) == [0] * 20 + [1] * 20
