@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyspark.llm import charnet
@@ -275,8 +275,8 @@ def corpus_findings(docs: DataFrame, most: int = CORPUS_FINDINGS) -> pd.DataFram
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "rank binary, inside string, before string, after string, label int")
     once = found.groupBy("rank", "inside").agg(F.max("label").alias("label"), F.min(F.struct("before", "after")).alias("around"))
-    parts = [once.where(F.col("label") == k).orderBy("rank", "inside").limit(most).toPandas() for k in (0, 1)]
-    rows = pd.concat(parts, ignore_index=True)
+    place = F.row_number().over(Window.partitionBy("label").orderBy("rank", "inside"))
+    rows = once.withColumn("place", place).where(F.col("place") <= most).toPandas().sort_values(["label", "place"], ignore_index=True)
     return rows.assign(before=[a["before"] for a in rows["around"]], after=[a["after"] for a in rows["around"]])[["inside", "before", "after", "label"]]
 
 
