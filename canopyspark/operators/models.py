@@ -204,14 +204,79 @@ def outpainted(rasters: DataFrame, pad_fraction: float, step_fraction: float, ma
     return _by_row(rasters, make, work, "pad_x int, pad_y int", (0, 0))
 
 
-def upscaled(rasters: DataFrame, scale: float, max_dimension: int, make: Callable = LinearUpscale, attempts: int = 4) -> DataFrame:
-    """Raster rows with scale: each raster enlarged as far as its longer side may grow, never made smaller."""
+#: Least side of a tile that a model is given.
+LEAST_TILE = 64
+
+
+def _tile_places(old: int, new: int, tile: int, pad: int) -> list[tuple[int, int, slice, np.ndarray, np.ndarray]]:
+    """Tiles of an axis of old pixels that is enlarged to new: begin and end, the new places that each reaches, where these are in the tile
+    (in its pixels) and what they count. Tiles reach pad pixels beyond what is theirs; what a place counts changes evenly within half of
+    that on either side of the border between two, and adds up to 1."""
+    step = max(1, tile - 2 * pad)
+    spans = [(0, old)] if old <= tile else [(max(0, at - pad), min(old, at + step + pad)) for at in range(0, old, step)]
+    found, total = [], np.zeros(new)
+    for begin, end in spans:
+        reach = slice(*(int(np.ceil(edge * new / old - 0.5)) for edge in (begin, end)))
+        centre = (np.arange(reach.start, reach.stop) + 0.5) * old / new
+        weight = np.ones(len(centre))
+        if pad:
+            weight *= np.clip((centre - begin) / pad - 0.5, 0, 1) if begin else 1
+            weight *= np.clip((end - centre) / pad - 0.5, 0, 1) if end < old else 1
+        total[reach] += weight
+        found.append((begin, end, reach, centre - begin, weight))
+    return [(begin, end, reach, at, weight / total[reach]) for begin, end, reach, at, weight in found]
+
+
+def _sampled(image: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Bilinear at rows y and columns x; whole numbers are taken as they are."""
+    for axis, at in ((0, y), (1, x)):
+        at = np.clip(np.round(at, 6), 0, image.shape[axis] - 1)
+        low = at.astype(int)
+        share = (at - low).astype(np.float32).reshape((-1, 1, 1) if axis == 0 else (1, -1, 1))
+        near = np.take(image, low, axis).astype(np.float32)
+        image = near + share * (np.take(image, np.minimum(low + 1, image.shape[axis] - 1), axis) - near) if share.any() else near
+    return image
+
+
+def upscaled_in_tiles(model, image: np.ndarray, scale: float, tile: int, pad: int) -> np.ndarray:
+    """What the model makes of an image, tile by tile; an image that fits in a tile is given whole."""
+    h, w = image.shape[:2]
+    if max(h, w) <= tile:
+        return np.asarray(model.upscale(image, scale), np.uint8)
+    pad = min(pad, tile // 4)
+    new = [max(1, round(n * scale)) for n in (h, w)]
+    out = np.zeros((*new, 3), np.float32)
+    for top, bottom, rows, y, wy in _tile_places(h, new[0], tile, pad):
+        for left, right, columns, x, wx in _tile_places(w, new[1], tile, pad):
+            part = image[top:bottom, left:right]
+            made = np.asarray(model.upscale(part, scale), np.uint8)
+            _checked_upscale(made, part, scale)
+            own = _sampled(made, y * made.shape[0] / part.shape[0] - 0.5, x * made.shape[1] / part.shape[1] - 0.5)
+            out[rows, columns] += own * (wy[:, None] * wx[None]).astype(np.float32)[:, :, None]
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+
+
+def _checked_upscale(made: np.ndarray, image: np.ndarray, scale: float) -> None:
+    if made.ndim != 3 or made.shape[2] != 3 or made.shape[0] < image.shape[0] or made.shape[1] < image.shape[1]:
+        raise ValueError(f"the upscale model gave {made.shape} for {image.shape} at {scale}")
+
+
+def upscaled(rasters: DataFrame, scale: float, max_dimension: int, make: Callable = LinearUpscale, attempts: int = 4, tile: int = 256, pad: int = 16) -> DataFrame:
+    """Raster rows with scale, requested_scale, model, tile and attempts: each raster enlarged as far as its longer side may grow, never made
+    smaller. A model is given tiles of at most tile pixels a side, pads included, which are mixed where they overlap; after each lack of
+    memory, tiles have half the side, but LEAST_TILE at least. tile and attempts are those that gave the result."""
 
     def work(model, row):
         own = max(1.0, min(scale, max_dimension / max(row.w, row.h)))
-        image = np.asarray(retried(lambda: model.upscale(_image(row), own), attempts), np.uint8)
-        if image.ndim != 3 or image.shape[2] != 3 or image.shape[0] < row.h or image.shape[1] < row.w:
-            raise ValueError(f"the upscale model gave {image.shape} for {(row.h, row.w, 3)} at {own}")
-        return image.shape[0], image.shape[1], image.tobytes(), own
-
-    return _by_row(rasters, make, work, "scale double", (1.0,))
+        sides = [max(min(LEAST_TILE, tile), tile >> k) for k in range(attempts)]
+        for k, side in enumerate(sides):
+            try:
+                image = upscaled_in_tiles(model, _image(row), own, side, pad)
+                break
+            except MemoryError:
+                if k == attempts - 1:
+                    raise
+        _checked_upscale(image, _image(row), own)
+        return image.shape[0], image.shape[1], image.tobytes(), own, float(scale), type(model).__name__, side, k + 1
+
+    return _by_row(rasters, make, work, "scale double, requested_scale double, model string, tile int, attempts int", (1.0, float(scale), None, None, None))

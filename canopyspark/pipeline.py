@@ -25,6 +25,7 @@ from canopyspark.operators import finish, models
 from canopyspark.operators import manifest as mf
 from canopyspark.operators import pixels as px
 from canopyspark.operators import points as pt
+from canopyspark.operators.sheets import labelled_sheet
 from canopyspark.sources import codecs, images, tables
 
 RECORD = "image_key string, stage string, status string, runtime_seconds double, error string, config_hash string, source_sha256 string, source_size long, finished_at timestamp, run_id string"
@@ -41,7 +42,7 @@ MADE_OF: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "canvas": (("rasters",), ("AI_OUTPAINT_ENABLED", "AI_OUTPAINT_PAD_FRAC", "AI_OUTPAINT_STEP_FRAC", "AI_OUTPAINT_OVERLAP_PX", "AI_OUTPAINT_PROGRESSIVE", "AI_OUTPAINT_MAX_SIDE", "AI_OUTPAINT_MAX_RETRIES", "outpaint")), "canvas_depth": (("canvas",), ("depth",)),
     "extended": (("depth", "masks", "canvas", "canvas_depth"), ()), "points": (("extended",), ("AI_OUTPAINT_FEATHER_PX", "ASSUMED_HFOV_DEG", "BACKPROJECT_STRIDE")), "centres": (("points",), ()),
     "cameras": (("centres",), ("ALTITUDE_M", "TILT_DEGREES", "CAMERA_FRAME_FILL", "MIN_VIRTUAL_HFOV_DEG", "MAX_VIRTUAL_HFOV_DEG", "frame")), "rendered": (("points", "cameras"), ("SPLAT_RADIUS", "frame")),
-    "frames": (("rendered",), ("FILL_RADIUS",)), "cropped": (("frames",), ()), "upscaled": (("cropped",), ("POST_WARP_SUPER_RESOLUTION_ENABLED", "POST_WARP_SUPER_RESOLUTION_SCALE", "POST_WARP_MAX_OUTPUT_DIMENSION", "upscale")),
+    "frames": (("rendered",), ("FILL_RADIUS",)), "cropped": (("frames",), ()), "upscaled": (("cropped",), ("POST_WARP_SUPER_RESOLUTION_ENABLED", "POST_WARP_SUPER_RESOLUTION_SCALE", "POST_WARP_SUPER_RESOLUTION_TILE", "POST_WARP_SUPER_RESOLUTION_TILE_PAD", "POST_WARP_MAX_OUTPUT_DIMENSION", "upscale")),
     "finals": (("upscaled", "cropped"), ()),
 }
 #: Errors of stages that give an image no row.
@@ -202,7 +203,8 @@ def run_images(run: Run, content: DataFrame, out_w: int = 640, out_h: int = 480)
     frame = run.layer(frame, "cropped")
     small = codecs.rasters_of(frame)
     if run.config.POST_WARP_SUPER_RESOLUTION_ENABLED:
-        small = models.upscaled(small, run.config.POST_WARP_SUPER_RESOLUTION_SCALE, run.config.POST_WARP_MAX_OUTPUT_DIMENSION, run.models.upscale)
+        c = run.config
+        small = models.upscaled(small, c.POST_WARP_SUPER_RESOLUTION_SCALE, c.POST_WARP_MAX_OUTPUT_DIMENSION, run.models.upscale, tile=c.POST_WARP_SUPER_RESOLUTION_TILE, pad=c.POST_WARP_SUPER_RESOLUTION_TILE_PAD)
     else:
         small = small.withColumn("scale", F.lit(1.0))
     large = run.layer(small, "upscaled")
@@ -217,6 +219,53 @@ def run_images(run: Run, content: DataFrame, out_w: int = 640, out_h: int = 480)
     return out.join(large.select("image_key", F.col("scale").alias("effective_scale")), "image_key", "left").join(finals.select("image_key", F.col("w").alias("final_width"), F.col("h").alias("final_height")), "image_key", "left")
 
 
+#: What a sheet shows, panel by panel.
+PANELS = ("source", "depth", "crop mask", "canvas", "canvas depth", "canvas mask", "rendered", "validity", "filled", "upscaled", "final")
+
+
+def panels(run: Run) -> DataFrame:
+    """image_key, panel, x, y, r, g, b, w, h: pictures of what the stages made of each image that has a final result. The layers must be
+    written; each is read once."""
+    layers, key = run.layers, ["image_key", "x", "y"]
+    sizes = lambda rasters: rasters.where("ok").select("image_key", F.col("w").cast("long").alias("w"), F.col("h").cast("long").alias("h"))
+    coloured = lambda depth: models.depth_pixels(depth).withColumn("c", colour.depth_colour(F.col("d"))).select(*key, "c.r", "c.g", "c.b").join(sizes(depth), "image_key")
+    source, wide = codecs.pixels_of(layers["rasters"]), layers["extended"]
+    wide_masks = wide.select(*key, "r", "g", "b", "w", "h", F.coalesce("mask", "wide_mask").alias("mask"), F.coalesce("interior", F.lit(False)).alias("interior"))
+    w, h = (F.lit(n).cast("long") for n in run.frame)
+    frame = lambda df: df.withColumns({"w": w, "h": h})
+    white = F.when(F.col("valid"), 255).otherwise(0)
+    shown = {
+        "source": source, "depth": coloured(layers["depth"]), "crop mask": px.overlaid(source.join(layers["masks"].select(*key, "mask", "interior"), key), "mask", "interior"),
+        "canvas": codecs.pixels_of(layers["canvas"]), "canvas depth": coloured(layers["canvas_depth"]), "canvas mask": px.overlaid(wide_masks, "mask", "interior"),
+        "rendered": frame(layers["rendered"]), "validity": frame(layers["rendered"].withColumns({c: white for c in "rgb"})), "filled": frame(layers["frames"]),
+        "upscaled": codecs.pixels_of(layers["upscaled"]), "final": codecs.pixels_of(layers["finals"]),
+    }
+    out = None
+    for k, name in enumerate(PANELS):
+        own = shown[name].select(*key, *(F.col(c).cast("int").alias(c) for c in "rgb"), "w", "h", F.lit(k).alias("panel"))
+        out = own if out is None else out.unionByName(own)
+    return out.join(layers["finals"].where("ok").select("image_key"), "image_key", "left_semi")
+
+
+def diagnostic_sheets(run: Run) -> DataFrame:
+    """Raster rows of one labelled sheet for each image that has a final result; image_key is the sheet's file name."""
+    labels = run.spark.createDataFrame(list(enumerate(PANELS)), "panel int, label string")
+    sheets = codecs.rasters_of(labelled_sheet(panels(run), labels))
+    return sheets.withColumn("image_key", F.concat("image_key", F.lit(SHEET_ENDING)))
+
+
+#: Behind a source's name in that of its sheet.
+SHEET_ENDING = ".diagnostic.png"
+
+
+def diagnostic_sheet(spark: SparkSession, output_folder: str, stem: str) -> DataFrame:
+    """image_key, path and content of the first sheet, by path, of a source whose name without its extension is stem; no row if there is
+    none."""
+    files = images.contents(spark, f"{output_folder.rstrip('/')}/{tables.SHEETS}")
+    named = files.withColumn("image_key", F.regexp_replace("image_key", SHEET_ENDING.replace(".", r"\.") + "$", ""))
+    return images.first_with_stem(named, stem)
+
+
 def stage_records(run: Run, images: DataFrame) -> DataFrame:
     """image_key, stage, status, runtime_seconds and error of all thirteen stages of the run's images.
 
@@ -267,8 +316,9 @@ def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, con
     content and settings are not computed again, unless the configuration says so, and of the others, stages that a changed setting doesn't
     reach are taken over from earlier runs; records of files that are gone stay, with present false.
 
-    Layers of the output folder: finals (raster rows), canopy_views (the same as files, under the sources' names), stage_runs, summaries and
-    summary_csv, runs and log, and the intermediate ones.
+    Layers of the output folder: finals (raster rows), canopy_views (the same as files, under the sources' names), canopy_sheets (one
+    labelled sheet of the stages' pictures for each source, as files), stage_runs, summaries and summary_csv, runs and log, and the
+    intermediate ones.
     """
     config = config or PipelineConfig()
     config.validate()
@@ -299,6 +349,10 @@ def run_pipeline(spark: SparkSession, input_folder: str, output_folder: str, con
     prints = seen.select("image_key", "source_sha256", F.coalesce("source_size", "length").alias("source_size"))
     records = records.unionByName(unread).join(prints, "image_key").withColumns({"config_hash": F.lit(config.content_hash()), "finished_at": F.current_timestamp()})
     codecs.exported(run.layers["finals"], f"{output_folder.rstrip('/')}/{tables.EXPORTS}").write.format("noop").mode("overwrite").save()
+    if config.SAVE_DEBUG_VISUALIZATION and not run.layers["finals"].isEmpty():
+        began_sheets = time.time()
+        codecs.exported(diagnostic_sheets(run), f"{output_folder.rstrip('/')}/{tables.SHEETS}").write.format("noop").mode("overwrite").save()
+        run.seconds["sheets"] = time.time() - began_sheets
     tables.write_layer(records, output_folder, "stage_runs", run.run_id)
     events += [(name, float(seconds)) for name, seconds in run.seconds.items()] + [("all", time.time() - began)]
     tables.write_layer(spark.createDataFrame(events, "layer string, seconds double").withColumn("logged_at", F.current_timestamp()), output_folder, "log", run.run_id, "json")

@@ -10,6 +10,7 @@ from canopyspark.functions import geometry as g
 from canopyspark.operators import components as cc
 from canopyspark.operators import pixels as px
 from canopyspark.operators import points as pt
+from canopyspark.operators import sheets
 from canopyspark.plans.inputs import COLOURED, MASKED, NORMALISED, RASTERS, SIDE, coloured, masked, rasters, rounded, table
 
 #: Parameters of the queries: interior share, least counts of the tiers for rasters of 64 pixels, field of view, altitude and tilt, frame.
@@ -420,6 +421,23 @@ CONTACT_SHEET = f"""WITH {RASTERS} SELECT image_key // 7 AS image_key, image_key
 FROM px JOIN (SELECT c AS nx, c * {SIDE} // 12 AS sx FROM range(0, 12) r(c)) ON x = sx JOIN (SELECT c AS ny, c * {SIDE} // 12 AS sy FROM range(0, 12) r(c)) ON y = sy"""
 
 
+def labelled_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven coloured rasters a sheet, in tiles of 24 pixels, three in a row; a tile's label is the name of the nation of its number."""
+    rows = coloured(spark, sf_dir).select(F.floor(F.col("image_key") / 7).alias("image_key"), (F.col("image_key") % 7).alias("panel"), "x", "y", "r", "g", "b", F.lit(SIDE).alias("w"), F.lit(SIDE).alias("h"))
+    labels = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("panel"), F.col("n_name").alias("label"))
+    sheet = sheets.labelled_sheet(rows, labels, 24, 3, 1)
+    return sheet.select("image_key", "panel", *(F.col(c).cast("long").alias(c) for c in ("x", "y", "r", "g", "b")))
+
+
+LABELLED_SHEET = f"""WITH {COLOURED}, gl(letter, gx, gy) AS (VALUES {", ".join(map(str, sheets.lit_cells()))}),
+letters AS (SELECT n_nationkey AS panel, upper(n_name) AS label, unnest(range(0, length(n_name))) AS i FROM nation),
+dots AS (SELECT panel, i * {sheets.PITCH} + 1 + gx AS dx, 1 + gy AS dy FROM letters JOIN gl ON substr(label, CAST(i + 1 AS BIGINT), 1) = letter)
+SELECT image_key // 7 AS image_key, image_key % 7 AS panel, image_key % 7 % 3 * 24 + nx AS x, image_key % 7 // 3 * 24 + ny AS y,
+    {", ".join(f"CASE WHEN dx IS NOT NULL THEN 255 WHEN ny < {sheets.BAND} THEN {c} // 4 ELSE {c} END AS {c}" for c in "rgb")}
+FROM cl JOIN (SELECT c AS nx, c * {SIDE} // 24 AS sx FROM range(0, 24) r(c)) ON x = sx JOIN (SELECT c AS ny, c * {SIDE} // 24 AS sy FROM range(0, 24) r(c)) ON y = sy
+LEFT JOIN dots ON panel = image_key % 7 AND dx = nx AND dy = ny"""
+
+
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten points of every raster's cloud."""
     return pt.seeded_sample(cloud(spark, sf_dir), 10).select("image_key", "point_id")
@@ -463,7 +481,7 @@ w AS (SELECT *, avg(m) OVER (PARTITION BY image_key, x ORDER BY y ROWS BETWEEN 1
 SELECT image_key, x, y, round(CASE WHEN near AND NOT own THEN mm ELSE v END, 6) + 0.0 AS v FROM w"""
 
 QUERIES = {
-    "seam_feather": (seam_feather, SEAM), "mask_overlay": (mask_overlay, OVERLAY), "look_at_projection": (look_at_projection, LOOK_AT), "contact_sheet": (contact_sheet, CONTACT_SHEET), "seeded_sample": (seeded_sample, SEEDED),
+    "seam_feather": (seam_feather, SEAM), "mask_overlay": (mask_overlay, OVERLAY), "look_at_projection": (look_at_projection, LOOK_AT), "contact_sheet": (contact_sheet, CONTACT_SHEET), "labelled_sheet": (labelled_sheet, LABELLED_SHEET), "seeded_sample": (seeded_sample, SEEDED),
     "ground_plane": (ground_plane, GROUND_PLANE),
     "camera_pose": (camera_pose, CAMERA_POSE), "backproject_points": (backproject_points, BACKPROJECT), "depth_minmax_norm": (depth_minmax_norm, DEPTH_NORM),
     "affine_align": (affine_align, AFFINE_ALIGN), "virtual_fov": (virtual_fov, VIRTUAL_FOV), "zbuffer_render": (zbuffer_render, ZBUFFER), "render_coverage": (render_coverage, COVERAGE),

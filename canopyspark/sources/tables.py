@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-#: Layers that stay when a run's others are deleted, and the folder of exported pictures.
-EXPORTS = "canopy_views"
-KEPT = ("finals", "stage_runs", "summaries", "summary_csv", "runs", "log", EXPORTS)
+#: Layers that stay when a run's others are deleted, and the folders of exported pictures and of sheets that show how they came about.
+EXPORTS, SHEETS = "canopy_views", "canopy_sheets"
+KEPT = ("finals", "stage_runs", "summaries", "summary_csv", "runs", "log", EXPORTS, SHEETS)
 
 
 def _store(spark: SparkSession, path: str):
