@@ -17,7 +17,7 @@ class RunSettings:
     OVERWRITE: bool = False
     RESUME: bool = True
     CONTINUE_ON_ERROR: bool = True
-    SAVE_DEBUG_VISUALIZATION: bool = True
+    SAVE_DEBUG_VISUALIZATION: bool = False
 
 
 @dataclass(frozen=True)

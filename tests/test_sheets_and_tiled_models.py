@@ -38,7 +38,7 @@ def test_a_run_writes_a_sheet_for_each_image(spark, tmp_path):
     (tmp_path / "in/farm").mkdir(parents=True)
     (tmp_path / "in/farm/field.png").write_bytes(codecs.encode_png(picture(30, 40)))
     (tmp_path / "in/bad.png").write_bytes(b"no picture")
-    config = PipelineConfig(AI_OUTPAINT_PAD_FRAC=0.2, BACKPROJECT_STRIDE=1, AI_OUTPAINT_FEATHER_PX=3, POST_WARP_SUPER_RESOLUTION_SCALE=1.5)
+    config = PipelineConfig(AI_OUTPAINT_PAD_FRAC=0.2, BACKPROJECT_STRIDE=1, AI_OUTPAINT_FEATHER_PX=3, POST_WARP_SUPER_RESOLUTION_SCALE=1.5, SAVE_DEBUG_VISUALIZATION=True)
     pipeline.run_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "out"), config, frame=(32, 24))
     path = tmp_path / "out" / tables.SHEETS / "farm/field.png.diagnostic.png"
     sheet = codecs.decode(path.read_bytes())
