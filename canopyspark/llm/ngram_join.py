@@ -396,6 +396,8 @@ def near_duplicates_removed(docs: DataFrame, n: int = 5, num: int = 80, den: int
     doc_id, and texts without words, stay."""
     found = ngram_jaccard_join(docs, n, num, den)
     gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    # the same join at every size: the ids are broadcast while they are few, and texts would be shuffled from some size on only
+    gone = gone.hint("merge")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
 
 
