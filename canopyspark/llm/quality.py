@@ -6,15 +6,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyspark.llm import textarrays as ta
-from canopyspark.llm.boosting import Forest, fit
-from canopyspark.llm.shared import small_batches, table
-
-#: Labelled documents that the trees are fitted on, at most (by hash of doc_id).
-SAMPLE_ROWS = 4000
+from canopyspark.llm import boosting
+from canopyspark.llm.boosting import Forest
+from canopyspark.llm.shared import Scratch, small_batches, table
+
+#: Labelled documents up to which the trees are fitted in the driver; beyond, tasks add up the histograms of their rows.
+IN_MEMORY_ROWS = 4000
+#: Steps to which held-out scores are rounded down before they are counted.
+SCORE_STEPS = 1 << 14
 #: Share of the held-out good documents that must keep.
 GOOD_KEPT = 0.998
 #: The fixed limits: least words, and largest percentage of words in repeated windows.
@@ -26,6 +29,8 @@ FEATURES = {
     "other_mark_share": 0, "beyond_ascii_share": 0, "distinct_word_share": 0, "words_per_line": 0, "longest_word": 0,
 }
 
+MONOTONE = np.array(list(FEATURES.values()))
+
 
 def _flags(characters: str) -> np.ndarray:
     out = np.zeros(256, bool)
@@ -111,31 +116,93 @@ def features_of(docs: DataFrame, min_words: int, max_repeat_percent: int) -> Dat
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def train(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, good_kept: float = GOOD_KEPT, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT
-) -> QualityModel:
-    """Trees fitted on three quarters of at most sample_rows labelled documents, without those that the limits reject anyway; the threshold
-    keeps good_kept of the good rest, and lies halfway from there to the next bad one, so that good documents unlike the sample's have room.
+def train(docs: DataFrame, labels: DataFrame, good_kept: float = GOOD_KEPT, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> QualityModel:
+    """Trees fitted on three quarters of all labelled documents (by a hash of the id), without those that the limits reject anyway; the
+    threshold keeps good_kept of the good ones of the rest, and lies halfway from there to the next bad one.
 
-    Labels with a null doc_id or quality are left out, of a repeated one any is taken, and so of a repeated document; at most sample_rows
-    rows come to the driver. Without labels of both kinds, all documents that
-    pass the limits are kept.
+    Labels with a null doc_id or quality are left out; of a repeated one the least is taken, and of a repeated document the one with the
+    least features. More than IN_MEMORY_ROWS documents stay in a table: each level of a tree is one pass over their bins, from which the
+    driver gets a histogram a task; the forest is the same. Without labels of both kinds, all documents that pass the limits are kept.
     """
-    small_batches(docs.sparkSession)
-    named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label")).dropna().dropDuplicates(["doc_id"])
-    chosen = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    features = features_of(wanted, min_words, max_repeat_percent).dropDuplicates(["doc_id"])
-    rows = features.join(F.broadcast(chosen), "doc_id").toPandas().sort_values("doc_id")
-    x, y = rows[list(FEATURES)].to_numpy(float), rows["label"].to_numpy(float)
-    held = np.arange(len(rows)) % 4 == 3
-    forest = fit(x[~held], y[~held], np.array(list(FEATURES.values())))
-    score = forest.score(x)
-    good, bad = score[held & (y > 0.5)], score[held & (y < 0.5)]
-    if not len(good) or not len(forest.roots):
+    spark = docs.sparkSession
+    small_batches(spark)
+    scratch = Scratch(spark, "quality")
+    named = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label")).dropna().groupBy("doc_id").agg(F.min("label").alias("label"))
+    features = features_of(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), min_words, max_repeat_percent).where("doc_id IS NOT NULL")
+    rows = features.join(named.hint("merge"), "doc_id").groupBy("doc_id").agg(F.min(F.struct(*FEATURES, "label")).alias("r"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 3
+    rows = scratch.written(rows.select(held.alias("held"), "r.*"), "labelled")
+    fitted = rows.where("NOT held").agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    if rows.count() <= IN_MEMORY_ROWS:
+        near = rows.toPandas()
+        own = near[~near["held"]]
+        forest = boosting.fit(own[list(FEATURES)].to_numpy(float), own["label"].to_numpy(float), MONOTONE)
+        rest = near[near["held"]]
+        score, label = np.floor(forest.score(rest[list(FEATURES)].to_numpy(float)) * SCORE_STEPS), rest["label"].to_numpy(float)
+        counts = [(s, bool(y > 0.5), 1) for s, y in zip(score.tolist(), label.tolist(), strict=True)]
+    else:
+        forest = _fitted_in_tasks(rows.where("NOT held"), fitted[0], fitted[1], scratch)
+        counts = [tuple(r) for r in _scores(rows.where("held"), forest).groupBy("score", "good").count().collect()]
+    scratch.drop()
+    good, bad = sorted((s, n) for s, g, n in counts if g), [s for s, g, _ in counts if not g]
+    if not good or not len(forest.roots):
         return QualityModel(forest, 0.0)
-    limit = float(np.quantile(good, 1 - good_kept))
-    return QualityModel(forest, (limit + float(bad[bad < limit].max(initial=0.0))) / 2)
+    upto = np.cumsum([n for _, n in good])
+    limit = good[int(np.searchsorted(upto, (1 - good_kept) * (upto[-1] - 1), "right"))][0]
+    return QualityModel(forest, (limit + max((s for s in bad if s < limit), default=0.0)) / 2 / SCORE_STEPS)
+
+
+def _features(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([np.asarray(batch.column(f)) for f in FEATURES], axis=1)
+
+
+def _fitted_in_tasks(rows: DataFrame, count: int, positive: float, scratch: Scratch) -> Forest:
+    """boosting.fit for a table: edges from counts of rounded values, then the rows' bins as a table of blocks, then the trees."""
+
+    def forms(batches):
+        for batch in batches:
+            for f, column in enumerate(_features(batch).T):
+                form, n = np.unique(boosting.rounded(column), return_counts=True)
+                yield pa.record_batch([pa.array(np.full(len(form), f), pa.int32()), pa.array(form), pa.array(n, pa.int64())], ["f", "form", "n"])
+
+    counted = rows.mapInArrow(forms, "f int, form double, n long").groupBy("f", "form").agg(F.sum("n").alias("n"))
+    feature = Window.partitionBy("f")
+    counted = counted.withColumns({"upto": F.sum("n").over(feature.orderBy("form")) * boosting.BINS, "all": F.sum("n").over(feature), "n": F.col("n") * boosting.BINS})
+    k = F.explode(F.sequence(F.lit(1), F.lit(boosting.BINS - 1))).alias("k")
+    found = counted.select("*", k).where("upto - n < k * all AND k * all <= upto").select("f", "form").distinct().collect()
+    edges = [np.array(sorted(r["form"] for r in found if r["f"] == f)) for f in range(len(FEATURES))]
+
+    def blocks(batches):
+        for batch in batches:
+            if batch.num_rows:
+                bins, label = boosting.binned(_features(batch), edges), np.asarray(batch.column("label"))
+                yield pa.record_batch([pa.array([bins.tobytes()], pa.binary()), pa.array([label.tobytes()], pa.binary())], ["bins", "label"])
+
+    held = scratch.written(rows.mapInArrow(blocks, "bins binary, label binary"), "bins")
+
+    def sums(nodes, roots, base, wanted):
+        def run(batches):
+            total = 0
+            for batch in batches:
+                for bins, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    bins = np.frombuffer(bins, np.uint8).reshape(len(FEATURES), -1)
+                    total = total + boosting.histograms(bins, np.frombuffer(label), nodes, roots, base, wanted)
+            if np.ndim(total):
+                yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        shape = (len(wanted), len(FEATURES), boosting.BINS, 2)
+        return sum(np.frombuffer(r[0], np.int64).reshape(shape) for r in held.mapInArrow(run, "sums binary").collect())
+
+    return boosting.grown(sums, edges, count, positive, MONOTONE)
+
+
+def _scores(rows: DataFrame, forest: Forest) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            score = np.floor(forest.score(_features(batch)) * SCORE_STEPS)
+            yield pa.record_batch([pa.array(score), pa.array(np.asarray(batch.column("label")) > 0.5)], ["score", "good"])
+
+    return rows.mapInArrow(run, "score double, good boolean")
 
 
 def quality_kept(docs: DataFrame, labels: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
