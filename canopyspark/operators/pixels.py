@@ -171,10 +171,11 @@ def interior(pixels: DataFrame, mask: str, out: str, quantile: float = 0.6) -> D
 
 
 def interior_of(pixels: DataFrame, distance: str, mask: str, out: str, quantile: float = 0.6) -> DataFrame:
-    """interior where squared distances are known."""
+    """interior where squared distances are known. Distances are read once; the limit's buffer counts an image's distinct ones, which are
+    roots of whole numbers and so few."""
     far = pixels.withColumn("__d", F.sqrt(distance))
-    limit = quantiles(far, {"__limit": (F.when(F.col(mask), F.col("__d")), [1.0 - quantile])})
-    return far.join(limit, "image_key", "left").withColumn(out, F.col(mask) & (F.col("__d").isNull() | (F.col("__d") >= F.col("__limit")[0]))).drop("__d", "__limit")
+    limit = F.percentile(F.when(F.col(mask), F.col("__d")), 1.0 - quantile).over(_image())
+    return far.withColumn("__limit", limit).withColumn(out, F.col(mask) & (F.col("__d").isNull() | (F.col("__d") >= F.col("__limit")))).drop("__d", "__limit")
 
 
 def holes_filled(pixels: DataFrame, valid: str, values: Sequence[str], radius: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from canopyspark.functions import geometry as g
-from canopyspark.operators.quantiles import quantiles
+from canopyspark.operators.quantiles import ranked_quantiles
 
 #: Least counts of interior points and of points in general.
 MIN_INTERIOR, MIN_FALLBACK = 50, 10
@@ -32,23 +32,30 @@ def backproject(pixels: DataFrame, hfov_deg: float = 70.0, stride: int = 1, dept
 def crop_centre(points: DataFrame, min_interior: int = MIN_INTERIOR, min_fallback: int = MIN_FALLBACK, canopy_quantile: float = 0.9) -> DataFrame:
     """One row per image: center_x, center_z (medians), canopy_top_y (quantile), point_count and fallback_used, over the points of the
     first tier that has enough: interior, full_crop_mask, original_region. An image without an original finite point gets nulls and
-    fallback_used 'none'. The tiers' points are counted first, so that statistics are those of the chosen tier alone."""
+    fallback_used 'none'. The tiers' points are counted first, so that statistics are those of the chosen tier alone. Points are dealt by
+    image once, or not at all where they lie so already."""
     usable = F.col("is_original") & F.col("is_finite")
-    counted = points.groupBy("image_key").agg(F.count_if(usable & F.col("in_crop_interior")).alias("n1"), F.count_if(usable & F.col("in_crop_mask")).alias("n2"), F.count_if(usable).alias("n3"))
+    count = lambda what: F.count(F.when(what, 1)).over(Window.partitionBy("image_key"))
+    counted = points.withColumns({"n1": count(usable & F.col("in_crop_interior")), "n2": count(usable & F.col("in_crop_mask")), "n3": count(usable)})
     tier = F.when(F.col("n1") >= min_interior, "interior").otherwise("full_crop_mask")
     enough = F.when(F.col("n1") >= min_interior, F.col("n1")).otherwise(F.col("n2")) >= min_fallback
     tiers = counted.withColumn("fallback_used", F.when(F.col("n3") == 0, "none").when(enough, tier).otherwise("original_region"))
     number = F.when(F.col("fallback_used") == "interior", F.col("n1")).when(F.col("fallback_used") == "full_crop_mask", F.col("n2")).otherwise(F.col("n3"))
-    tiers = tiers.select("image_key", number.alias("point_count"), "fallback_used")
-    found = quantiles(selected(points, tiers), {"x": (F.col("x"), [0.5]), "z": (F.col("z"), [0.5]), "top": (F.col("y"), [canopy_quantile])})
-    return tiers.join(found, "image_key", "left").select("image_key", F.col("x")[0].alias("center_x"), F.col("z")[0].alias("center_z"), F.col("top")[0].alias("canopy_top_y"), "point_count", "fallback_used")
+    chosen = tiers.withColumn("point_count", number).where((F.col("n3") == 0) | (usable & _member()))
+    of = lambda c: F.when(F.col("n3") > 0, F.col(c))
+    wanted = {"cx": (of("x"), [0.5]), "cz": (of("z"), [0.5]), "top": (of("y"), [canopy_quantile])}
+    found = ranked_quantiles(chosen, wanted, [F.max("point_count").alias("point_count"), F.max("fallback_used").alias("fallback_used")])
+    return found.select("image_key", F.col("cx")[0].alias("center_x"), F.col("cz")[0].alias("center_z"), F.col("top")[0].alias("canopy_top_y"), "point_count", "fallback_used")
+
+
+def _member():
+    return F.when(F.col("fallback_used") == "interior", F.col("in_crop_interior")).when(F.col("fallback_used") == "full_crop_mask", F.col("in_crop_mask")).otherwise(True)
 
 
 def selected(points: DataFrame, centres: DataFrame) -> DataFrame:
     """The points that each image's centre was computed from. Centres are one row per image."""
     tier = points.join(centres.select("image_key", "fallback_used"), "image_key")
-    member = F.when(F.col("fallback_used") == "interior", F.col("in_crop_interior")).when(F.col("fallback_used") == "full_crop_mask", F.col("in_crop_mask")).otherwise(True)
-    return tier.where(F.col("is_original") & F.col("is_finite") & member)
+    return tier.where(F.col("is_original") & F.col("is_finite") & _member())
 
 
 def placed_cameras(centres: DataFrame, altitude_m: float = 10.0, tilt_deg: float = 0.0) -> DataFrame:
@@ -68,7 +75,7 @@ def fitted_cameras(points: DataFrame, cameras: DataFrame, out_w: int, out_h: int
     """cameras with fx and hfov_deg, so that the points' robust extent fills frame_fill of the frame."""
     seen = in_camera(points, cameras)
     z = F.greatest(F.col("cam.z"), F.lit(g.LEAST))
-    extent = quantiles(seen, {a: (F.abs(F.col(f"cam.{a}") / z), [quantile]) for a in "xy"})
+    extent = ranked_quantiles(seen, {a: (F.abs(F.col(f"cam.{a}") / z), [quantile]) for a in "xy"})
     hfov, focal = g.clamped_focal(F.col("x")[0], F.col("y")[0], out_w, out_h, frame_fill, min_hfov, max_hfov)
     return cameras.join(extent.select("image_key", hfov.alias("hfov_deg"), focal.alias("fx")), "image_key")
 

@@ -99,7 +99,8 @@ SELECT image_key, x, y, round(a, 5) + 0.0 AS a, round(t0 - a * s0, 5) + 0.0 AS b
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    points = cloud(spark, sf_dir)
+    # dealt by image here, so that Spark reuses this shuffle for all that reads the points
+    points = cloud(spark, sf_dir).repartition("image_key")
     centres = _centres(points)
     return points, pt.fitted_cameras(pt.selected(points, centres), pt.placed_cameras(centres, ALTITUDE, TILT), FRAME, FRAME)
 
